@@ -586,4 +586,18 @@ def oracle_sql() -> dict[str, str]:
             count(*) FILTER (torque_nm IS NULL) AS missing_sensor, avg(CAST(type = 'X' OR torque_nm IS NULL AS INT)) AS bad_share
             FROM telemetry""", ["bad_share"]),
     }
+    vehicle = sql(
+        CLEAN, f"SELECT vehicle_id, unit_id, {rolling_exprs('vehicle_id', 'ts, unit_id')} FROM clean", names())
+    out |= {
+        "stream_rolling_features": rolling_sql(),
+        "stream_vehicle_features": vehicle,
+        "stream_late_rows": sql(CLEAN, """SELECT vehicle_id, unit_id FROM clean c WHERE unit_id % 29 = 0 AND EXISTS (
+            SELECT 1 FROM clean e WHERE e.vehicle_id = c.vehicle_id AND e.unit_id % 29 <> 0
+              AND (e.ts > c.ts OR (e.ts = c.ts AND e.unit_id > c.unit_id)))"""),
+        "stream_rejections": out["request_contract"],
+        "stream_status_mix": out["status_mix"],
+        "stream_throughput": out["throughput"],
+        "stream_error_rate": out["error_rate"],
+        "stream_drift": out["drift_summary"],
+    }
     return out

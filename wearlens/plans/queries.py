@@ -425,7 +425,3 @@ def batch_queries() -> dict:
         "leak_audit": with_queries(audits.leak_audit, cleaned),
         "bad_input_audit": with_queries(audits.bad_input_audit, telemetry),
     }
-
-
-def all_queries() -> dict:
-    return batch_queries()
