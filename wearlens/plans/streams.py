@@ -20,8 +20,9 @@ from wearlens.operators.training import materialize
 
 
 def event_stream(spark: SparkSession, d: str) -> DataFrame:
-    path = f"{d}/events.parquet"
-    return tables.from_events(spark.readStream.schema(spark.read.parquet(path).schema).parquet(path))
+    """``events`` as a stream. The pattern lets the table be one file as well as a folder of files."""
+    schema = spark.read.parquet(f"{d}/events.parquet").schema
+    return tables.from_events(spark.readStream.schema(schema).parquet(f"{d}/events.parque[t]"))
 
 
 def in_stages(parts: list[DataFrame], process, purpose: str) -> None:
