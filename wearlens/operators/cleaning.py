@@ -84,10 +84,24 @@ def with_first_fault(df: DataFrame, required=REQUIRED_READING, ranges=SENSOR_RAN
     )
 
 
-def clean(df: DataFrame) -> DataFrame:
-    """All three steps as one filter over one scan."""
-    kept = with_first_fault(df).filter(F.col("first_fault").isNull()).drop("first_fault")
-    return drop_bad_timestamps(kept)
+def clean(df: DataFrame, required=REQUIRED_READING, ranges=SENSOR_RANGES) -> DataFrame:
+    """All three steps as one scan: the rows ``with_first_fault`` marks with null.
+
+    Written as plain conjuncts, which prune row groups and stay small after pushdown. A range test
+    fails on null and NaN by itself.
+    """
+    require_columns(df, required)
+    kept = df
+    for c, r in ranges.items():
+        kept = kept.filter(in_range(c, *r))
+    for c in required:
+        if c not in ranges:
+            kept = kept.filter(~absent(df, c))
+    name = timestamp_column(df)
+    if name is not None and isinstance(df.schema[name].dataType, T.StringType):
+        kept = kept.filter(F.col(name).isNull() | F.try_to_timestamp(name).isNotNull())
+        kept = kept.withColumn(name, F.try_to_timestamp(name))
+    return kept
 
 
 def clean_report(df: DataFrame, required=REQUIRED_READING, ranges=SENSOR_RANGES) -> DataFrame:

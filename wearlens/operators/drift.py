@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from wearlens.contract import COLUMN_DRIFT_AT, DATASET_DRIFT_AT, SENSORS
 from wearlens.functions.search import lower_bound, portable_uniform
-from wearlens.operators.ordered import ROWS_PER_SLICE, exact_quantiles, running_totals
+from wearlens.operators.ordered import ROWS_PER_SLICE, exact_quantiles, running_totals, slice_limit
 from wearlens.operators.profiling import unpivot_numeric
 
 NUMERIC = [*SENSORS, "prediction"]
@@ -37,14 +37,6 @@ def _categories(df: DataFrame, columns: list[str], groups: list[str]) -> DataFra
     return df.select(*groups, F.inline(F.array(*pairs)))
 
 
-def _reference_std(reference: DataFrame, columns: list[str]) -> DataFrame:
-    """``column, std``: population std, one row per column."""
-    wide = reference.agg(*[F.stddev_pop(F.col(c).cast("double")).alias(c) for c in columns])
-    return wide.select(
-        F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("std")) for c in columns]))
-    )
-
-
 def kolmogorov_p(d: Column, n: Column, m: Column) -> Column:
     """Asymptotic two-sample p-value; the series is 1 to working precision below 0.2."""
     lam = d * F.sqrt(n.cast("double") * m / (n + m))
@@ -67,20 +59,26 @@ def numeric_drift(
     """
     groups = list(groups)
     counts = _sides(reference, current, lambda d: unpivot_numeric(d, columns, groups), groups)
-    run = running_totals(counts, [*groups, "column"], "value", ["ref", "cur"], rows_per_slice)
+    # every column has at most the rows of its group: count those instead of the distinct values
+    rows = reference.select(*groups, F.lit(0).alias("__all")).unionByName(current.select(*groups, F.lit(0).alias("__all")))
+    limit = slice_limit(rows, [*groups, "__all"], rows_per_slice, copies=len(columns))
+    counts = counts.withColumn("__weighted", F.col("value") * F.col("ref"))
+    run = running_totals(counts, [*groups, "column"], "value", ["ref", "cur", "__weighted"], limit=limit)
     gap = F.abs(F.col("ref_cum") / F.col("ref_total") - F.col("cur_cum") / F.col("cur_total"))
+    from_mean = F.col("value") - F.col("__weighted_total") / F.col("ref_total")
     both = run.filter((F.col("ref_total") > 0) & (F.col("cur_total") > 0))
     scores = both.groupBy(*groups, "column").agg(
         F.sum(gap * F.coalesce(F.col("value_next") - F.col("value"), F.lit(0.0))).alias("w1"),
         F.max(gap).alias("ks"),
+        F.sum(F.col("ref") * from_mean * from_mean).alias("squares"),
         F.max("ref_total").alias("ref_rows"),
         F.max("cur_total").alias("cur_rows"),
     )
-    std = F.broadcast(_reference_std(reference, columns))  # one row per column
-    return scores.join(std, "column").select(
+    std = F.sqrt(F.col("squares") / F.col("ref_rows"))  # population deviation of the reference
+    return scores.select(
         *groups,
         "column",
-        (F.col("w1") / F.greatest("std", F.lit(STD_FLOOR))).alias("wasserstein"),
+        (F.col("w1") / F.greatest(std, F.lit(STD_FLOOR))).alias("wasserstein"),
         "ks",
         kolmogorov_p(F.col("ks"), F.col("ref_rows"), F.col("cur_rows")).alias("ks_p"),
         "ref_rows",

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from wearlens.contract import FN_COST, FP_COST
 from wearlens.functions.search import upper_bound
-from wearlens.operators.ordered import ROWS_PER_SLICE, running_totals
+from wearlens.operators.ordered import ROWS_PER_SLICE, running_totals, slice_limit
 
 # fixed values: 181 thresholds from 0.05 to 0.95
 SCAN = [0.05 + i * ((0.95 - 0.05) / 180) for i in range(180)] + [0.95]
@@ -123,7 +123,8 @@ def ranking_metrics(df: DataFrame, groups: list[str] = (), rows_per_slice: int =
         .groupBy(*groups, "__down")
         .agg(F.count_if(F.col("label") == 1).alias("__pos"), F.count_if(F.col("label") != 1).alias("__neg"))
     )
-    run = running_totals(merged, groups, "__down", ["__pos", "__neg"], rows_per_slice)
+    limit = slice_limit(df, groups, rows_per_slice)  # rows bound the distinct scores
+    run = running_totals(merged, groups, "__down", ["__pos", "__neg"], limit=limit)
     pos, neg = F.col("__pos"), F.col("__neg")
     below = F.col("__neg_total") - F.col("__neg_cum")
     sums = run.groupBy(*groups).agg(

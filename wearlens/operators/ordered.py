@@ -40,17 +40,18 @@ def _key_columns(df: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
     return (df, list(keys)) if keys else (df.withColumn("__all", F.lit(0)), ["__all"])
 
 
-def slice_limit(df: DataFrame, keys: list[str], rows_per_slice: int) -> float | None:
+def slice_limit(df: DataFrame, keys: list[str], rows_per_slice: int, copies: int = 1) -> float | None:
     """Rows a key may hold before it is cut, or None when no key holds that many.
 
     Runs one aggregate over the key columns and fetches a single row, so that tables without hot
-    keys, the usual case, keep the plain one-shuffle plan.
+    keys, the usual case, keep the plain one-shuffle plan. ``copies`` says how many keys of the
+    frame to be cut stand for each key of ``df``.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     size = counts.agg(F.sum("__n").alias("total"), F.max("__n").alias("largest")).first()
     if not size["total"]:
         return None
-    limit = max(float(rows_per_slice), size["total"] / MAX_HOT_KEYS)
+    limit = max(float(rows_per_slice), size["total"] * copies / MAX_HOT_KEYS)
     return limit if size["largest"] > limit else None
 
 
@@ -159,15 +160,18 @@ def running_totals(
     measures: list[str],
     rows_per_slice: int = ROWS_PER_SLICE,
     minima: list[str] = (),
+    limit: float | None | str = "measure",
 ) -> DataFrame:
     """Inclusive running sums of ``measures`` by ascending ``order`` inside each group.
 
     ``df`` has one row per (group, order). Adds ``<m>_cum`` and ``<m>_total`` per measure,
     ``<order>_next``, the following order value in the group (null on the last), and for each of
-    ``minima`` ``<m>_min_before``, its least non-null value on earlier rows.
+    ``minima`` ``<m>_min_before``, its least non-null value on earlier rows. A caller that can
+    bound the rows per group more cheaply than by counting ``df`` passes its own ``limit``.
     """
     df, keys = _key_columns(df, groups)
-    limit = slice_limit(df, keys, rows_per_slice)
+    if limit == "measure":
+        limit = slice_limit(df, keys, rows_per_slice)
     if limit is None:
         return _running_in_slices(df, keys, order, measures, minima, None)
     sliced = with_slices(df, keys, [order], limit)
@@ -244,7 +248,9 @@ def exact_quantiles(
         .groupBy(*groups, value)
         .agg(F.count(F.lit(1)).alias("__rows"))
     )
-    ranked = running_totals(distinct, groups, value, ["__rows"], rows_per_slice)
+    # the rows of a group bound its distinct values, and counting them shuffles next to nothing
+    limit = slice_limit(df, groups, rows_per_slice)
+    ranked = running_totals(distinct, groups, value, ["__rows"], limit=limit)
     before = F.col("__rows_cum") - F.col("__rows")
     asked = F.array(*[F.lit(q) for q in quantiles])
     # the float rank position q * (n - 1) falls between two consecutive 0-based ranks

@@ -37,7 +37,8 @@ def telemetry_of(ev: DataFrame) -> DataFrame:
         F.when(eid % 101 == 0, "not-a-timestamp")
         .otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
         .alias("recorded_at"),
-        F.get_json_object("props", "$.k").cast("int").alias("k"),
+        # props is an object with the one number k; a pattern costs a fraction of a JSON parse
+        F.regexp_extract("props", r'"k": *(\d+)', 1).cast("int").alias("k"),
         F.when(eid % 83 != 0, F.col("value")).alias("torque_nm"),
         (eid % 254).cast("int").alias("tool_wear_min"),
         F.when(eid % 89 == 0, -500).otherwise((1300 + (eid * 37) % 600).cast("int")).alias("rotational_speed_rpm"),

@@ -25,8 +25,7 @@ class RequestSink:
         self.log = os.path.join(folder, "log")
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        checked = check_requests(batch)
+        checked = check_requests(batch).persist()
         refused = rejected(checked)
         write_batch(refused, self.rejected, batch_id)
         out = request_features(accepted(checked))
@@ -40,4 +39,4 @@ class RequestSink:
             lines = lines.unionByName(event_lines(made, "prediction_made"))
         write_batch(out, self.accepted, batch_id)
         lines.write.mode("overwrite").text(os.path.join(self.log, f"batch={batch_id}"))
-        batch.unpersist()
+        checked.unpersist()
