@@ -31,14 +31,18 @@ def upper_bound(bounds: Column, x: Column, max_len: int) -> Column:
     return _count_leading(bounds, max_len, lambda b: b <= x)
 
 
-# fixed values: a multiplicative hash that needs only integer arithmetic
+# fixed values: a hash of integer arithmetic alone. x -> x**5 is a permutation modulo this prime.
 HASH_PRIME = 1_000_003
-HASH_FACTOR = 7919
+HASH_FOLD = 7919
+HASH_SEED = 104_729
 
 
 def portable_hash(id_col: str, seed: int) -> Column:
-    """Integer in [0, HASH_PRIME) from an integer id; no overflow for any bigint id."""
-    return ((F.col(id_col) % HASH_PRIME) * HASH_FACTOR + seed) % HASH_PRIME
+    """Integer in [0, HASH_PRIME) from an integer id; no intermediate exceeds a bigint."""
+    folded = F.col(id_col) + F.expr(f"`{id_col}` div {HASH_PRIME}") * HASH_FOLD + seed * HASH_SEED
+    x = folded % HASH_PRIME
+    square = x * x % HASH_PRIME
+    return square * square % HASH_PRIME * x % HASH_PRIME
 
 
 def portable_uniform(id_col: str, seed: int, lo: float, hi: float) -> Column:

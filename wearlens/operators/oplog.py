@@ -148,8 +148,8 @@ def asof_fill(
     A backward as-of join without the join: each sample emits its own few steps.
     """
     at = F.unix_micros("ts")
-    keyed = series.select(*by, "ts", "value", (-at).alias("__back"), (-F.col(id_col)).alias("__id"))
-    order = ["__back", "__id"]
+    keyed = series.select(*by, "ts", "value", (-at).alias("__neg_at"), (-F.col(id_col)).alias("__neg_id"))
+    order = ["__neg_at", "__neg_id"]
     sliced = with_halo(keyed, by, order, 1, ["ts"], rows_per_slice)
     spec = Window.partitionBy(*by, "__slice").orderBy(*order)
     # in descending order the row before is the next sample

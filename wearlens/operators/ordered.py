@@ -128,8 +128,8 @@ def with_halo(
     row = F.struct(*order, *[c for c in dict.fromkeys([*keys, *carry]) if c not in order])
     tails = (
         sliced.filter(F.col("__slice").isNotNull())
-        .withColumn("__back", F.row_number().over(newest_first))
-        .filter(F.col("__back") <= lookback)
+        .withColumn("__from_end", F.row_number().over(newest_first))
+        .filter(F.col("__from_end") <= lookback)
         .groupBy(*keys, "__slice")
         .agg(F.array_sort(F.collect_list(row)).alias("__tail"))
     )

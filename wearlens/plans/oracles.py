@@ -150,9 +150,16 @@ def ranking_sql(source: str, by: str = "") -> str:
       {group}"""
 
 
-SPLIT = SCORED + """, ranked AS (
+
+
+def hash_sql(seed: int, column: str = "unit_id") -> str:
+    x = f"(({column} + {column} // 1000003 * 7919 + {seed * 104729}) % 1000003)"
+    return f"((({x} * {x}) % 1000003) * (({x} * {x}) % 1000003) % 1000003 * {x} % 1000003)"
+
+
+SPLIT = SCORED + f""", ranked AS (
   SELECT unit_id, type, label,
-         row_number() OVER (PARTITION BY label ORDER BY ((unit_id % 1000003) * 7919 + 42) % 1000003, unit_id) - 1 AS pos,
+         row_number() OVER (PARTITION BY label ORDER BY {hash_sql(42)}, unit_id) - 1 AS pos,
          count(*) OVER (PARTITION BY label) AS n
   FROM scored
 ), cut AS (SELECT *, (n * 2 + 5) // 10 AS n_test FROM ranked),
@@ -260,7 +267,7 @@ REQUESTS = TELEMETRY + """, readings AS (
 NUMERIC = [*SENSORS, "prediction"]
 COLD = {"air_temperature_k": (282, 289, 7), "process_temperature_k": (288, 296, 8)}
 COLD_EXPR = {
-    c: f"({lo}e0 + (((unit_id % 1000003) * 7919 + {seed}) % 1000003) / 1000003e0 * {hi - lo}e0)"
+    c: f"({lo}e0 + {hash_sql(seed)} / 1000003e0 * {hi - lo}e0)"
     for c, (lo, hi, seed) in COLD.items()
 }
 
@@ -490,7 +497,7 @@ def oracle_sql() -> dict[str, str]:
             5e-1 * least(torque_nm + 20e0, 150e0) / 150e0 + 5e-1 * least(tool_wear_min + 100, 400) / 400e0 AS score_escalated
             FROM clean""", ["score_baseline", "score_escalated"]),
         "reference_sample": sql(CLEAN, f"""SELECT unit_id, type, {sensors} FROM clean
-            ORDER BY ((unit_id % 1000003) * 7919 + 13) % 1000003, unit_id LIMIT 2000""", reading),
+            ORDER BY {hash_sql(13)}, unit_id LIMIT 2000""", reading),
         "stratified_split": sql(SPLIT, "SELECT * FROM split"),
         "stratified_folds": sql(SPLIT, "SELECT unit_id, type, label, CAST(pos % 5 AS INT) AS fold FROM ranked"),
         "split_report": sql(SPLIT, "SELECT split, count(*) AS rows, CAST(sum(label) AS BIGINT) AS positives FROM split GROUP BY 1"),
