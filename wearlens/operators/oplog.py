@@ -14,8 +14,9 @@ STALE_SECONDS = 300
 LATENCY_BOUNDS = [5.0, 10.0, 25.0, 50.0, 75.0, 100.0, 250.0, 500.0, 750.0, 1000.0, 2500.0, 5000.0, 7500.0, 10000.0]
 
 
-def window_start(at: str, every: str) -> Column:
-    return F.window(at, every)["start"].alias("window_start")
+def window_start(at: str, every: str, slide: str | None = None) -> Column:
+    """Start of the tumbling window, or of each sliding window, a row falls into."""
+    return F.window(at, every, slide)["start"].alias("window_start")
 
 
 def latency_quantiles(
@@ -80,9 +81,10 @@ def throughput(log: DataFrame, every: str = "1 minute", seconds: int = 60) -> Da
     )
 
 
-def error_rate(log: DataFrame, every: str = "5 minutes") -> DataFrame:
+def error_rate(log: DataFrame, every: str = "5 minutes", slide: str | None = None) -> DataFrame:
+    """Share of 5xx responses; with ``slide`` over the trailing window at every step."""
     failed = F.col("status_code") >= 500
-    return log.groupBy(window_start("ts", every)).agg(
+    return log.groupBy(window_start("ts", every, slide)).agg(
         F.count(F.lit(1)).alias("requests"),
         F.count_if(failed).alias("errors"),
         F.avg(failed.cast("double")).alias("error_rate"),
@@ -264,14 +266,15 @@ def reconcile(left: DataFrame, right: DataFrame, marker: str) -> DataFrame:
 
 
 def paired_scores(df: DataFrame, id_col: str, scenarios: dict[str, dict[str, Column]], score) -> DataFrame:
-    """Score every entity under every scenario and pair the results by entity.
+    """Score every entity under every scenario, side by side in its own row: no shuffle, one scan.
 
-    ``scenarios`` maps a name to the columns it changes; ``score`` maps a frame to one with ``score``.
+    ``scenarios`` maps a name to the columns it changes; ``score`` adds ``score`` to a frame.
     """
-    frames = [df.withColumns({**changes, "__s": F.lit(name)}) for name, changes in scenarios.items()]
-    scenario = frames[0]
-    for f in frames[1:]:
-        scenario = scenario.unionByName(f)
-    return score(scenario).groupBy(id_col).agg(
-        *[F.max(F.when(F.col("__s") == s, F.col("score"))).alias(f"score_{s}") for s in scenarios]
-    )
+    original = [c for c in df.columns if c != id_col]
+    out, done = df, []
+    for name, changes in scenarios.items():
+        kept = out.withColumn("__kept", F.struct(*original))
+        scored = score(kept.withColumns(changes))
+        out = scored.select(id_col, "__kept.*", *done, F.col("score").alias(f"score_{name}"))
+        done.append(f"score_{name}")
+    return out.select(id_col, *done)

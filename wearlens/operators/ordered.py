@@ -271,7 +271,7 @@ def exact_quantiles(
     )
 
 
-def positions(df: DataFrame, groups: list[str], hash_col: str, id_col: str, hash_span: int, buckets: int = 4096) -> DataFrame:
+def positions(df: DataFrame, groups: list[str], hash_col: str, id_col: str, hash_span: int, buckets: int = 16_384) -> DataFrame:
     """Add ``position`` (0-based) by (hash, id) inside each group and ``group_rows``.
 
     A uniform integer hash in [0, hash_span) needs no sampled cut points: equal hash ranges are

@@ -18,7 +18,7 @@ from wearlens.contract import DEFAULT_WINDOWS, LABEL, SEED, SENSORS, feature_nam
 from wearlens.operators.cleaning import action_tier
 from wearlens.operators.metrics import best_threshold, brier, confusion, ranking_metrics, rates
 from wearlens.operators.rolling import rolling_features
-from wearlens.operators.splits import class_weights, stratified_folds, stratified_split
+from wearlens.operators.splits import class_weights, reference_sample, stratified_folds, stratified_split
 from wearlens.session import new_folder
 from wearlens.sources.files import append_rows, training_frame
 
@@ -313,6 +313,12 @@ def with_actions(scored: DataFrame, version: str, name: str = MODEL_NAME) -> Dat
     ).drop("score")
 
 
+def reference_window(df: DataFrame, scoring, n: int = 2000, seed: int = 13) -> DataFrame:
+    """The scored reference of the drift job: a sample, its rolling features, its predictions."""
+    features = rolling_features(reference_sample(df.select("unit_id", "type", *SENSORS), n, seed=seed))
+    return scoring(features).select("unit_id", *SENSORS, "type", F.col("score").alias("prediction"))
+
+
 # --- model store ---------------------------------------------------------------------------
 
 META = "method string, members int, threshold double, version string, a array<double>, b array<double>"

@@ -545,6 +545,10 @@ def oracle_sql() -> dict[str, str]:
         "error_rate": sql(REQUEST_LOG, """SELECT time_bucket(INTERVAL '5 minutes', ts) AS window_start, count(*) AS requests,
             count(*) FILTER (status_code >= 500) AS errors, count(*) FILTER (status_code >= 500) * 1e0 / count(*) AS error_rate
             FROM reqlog GROUP BY 1""", ["error_rate"], ["window_start"]),
+        "error_rate_sliding": sql(REQUEST_LOG, """SELECT window_start, count(*) AS requests, count(*) FILTER (status_code >= 500) AS errors,
+            count(*) FILTER (status_code >= 500) * 1e0 / count(*) AS error_rate FROM (
+            SELECT *, date_trunc('minute', ts) - to_minutes(i) AS window_start FROM reqlog, range(0, 5) r(i)) GROUP BY 1""",
+            ["error_rate"], ["window_start"]),
         "status_mix": sql(REQUEST_LOG, """SELECT date_trunc('minute', ts) AS window_start, concat(status_code // 100, 'xx') AS status,
             count(*) AS requests FROM reqlog GROUP BY 1, 2""", (), ["window_start"]),
         "latest_metric": sql(series, """SELECT series, ts, value FROM (

@@ -412,6 +412,7 @@ def batch_queries() -> dict:
         "latency_histogram_quantiles": with_queries(oplog.histogram_quantiles, request_log, every="1 hour"),
         "throughput": with_queries(oplog.throughput, request_log),
         "error_rate": with_queries(oplog.error_rate, request_log),
+        "error_rate_sliding": with_queries(oplog.error_rate, request_log, slide="1 minute"),
         "status_mix": with_queries(oplog.status_mix, request_log),
         "latest_metric": latest_metric,
         "alert_state": alert_state,

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wearlens.contract import feature_names
 from wearlens.operators import oplog, training
 from wearlens.operators.requests import rejection_errors
+from wearlens.operators.training import materialize
 from wearlens.plans.models import SMALL
 from wearlens.plans.queries import cleaned, drift_frames, flat_summary
 from wearlens.session import new_folder
@@ -16,7 +19,6 @@ from wearlens.streaming.requests import RequestSink
 from wearlens.streaming.rolling import RollingSink, keyed_rolling
 from wearlens.streaming.run import ROCKSDB, start, write_batch
 from wearlens.streaming.windows import DriftSink, current_values, live
-from wearlens.operators.training import materialize
 
 
 def event_stream(spark: SparkSession, d: str) -> DataFrame:
@@ -43,6 +45,16 @@ def stream_rolling_features(spark, d):
     return sink.read(spark).select("unit_id", "type", *feature_names())
 
 
+def stream_reading_scores(spark, d):
+    """Every reading of the stream scored from its rolling features."""
+    rows = cleaned(spark, d)
+    config = replace(SMALL, rolling=True)
+    model = training.fit(materialize(training.feature_table(rows), "features"), config)
+    sink = RollingSink(new_folder(spark, "scored"), score=lambda df: training.score(model, df))
+    in_stages([rows], sink, "readings")
+    return sink.read(spark).select("unit_id", "type", "failure_probability", "recommended_action", "model_version")
+
+
 def _with_stragglers(spark, d, sink):
     rows = cleaned(spark, d)
     in_stages([rows.filter("unit_id % 29 <> 0"), rows.filter("unit_id % 29 = 0")], sink, "stragglers")
@@ -117,7 +129,7 @@ def stream_queries() -> dict:
     return {
         f.__name__: f
         for f in (
-            stream_rolling_features, stream_late_rows, stream_vehicle_features, stream_rejections,
+            stream_rolling_features, stream_reading_scores, stream_late_rows, stream_vehicle_features, stream_rejections,
             stream_request_scores, stream_status_mix, stream_throughput, stream_error_rate, stream_drift,
         )
     }

@@ -13,6 +13,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from wearlens.contract import DEFAULT_WINDOWS, SENSORS, feature_names, require_columns
 from wearlens.operators.ordered import ROWS_PER_SLICE
 from wearlens.operators.rolling import STREAM_KEY, STREAM_ORDER, rolling_features
+from wearlens.operators.training import with_actions
 from wearlens.streaming.run import write_batch
 
 
@@ -22,17 +23,19 @@ class RollingSink:
     Each micro-batch runs the batch operator over its rows and the last few rows of every key, so a
     hot key is sliced over tasks as in batch. Those last rows are the whole state. They alternate
     between two folders by batch number: a batch that runs again reads the folder it did before.
-    Rows at or before the last emitted reading of their key go to ``late`` instead.
+    Rows at or before the last emitted reading of their key go to ``late`` instead. With ``score``
+    every reading is also scored and given its action.
     """
 
     def __init__(
         self, folder: str, keys=STREAM_KEY, order=STREAM_ORDER, sensors=SENSORS, windows=DEFAULT_WINDOWS,
-        rows_per_slice: int = ROWS_PER_SLICE, history: DataFrame | None = None,
+        rows_per_slice: int = ROWS_PER_SLICE, history: DataFrame | None = None, score=None, version: str = "1",
     ):
         self.folder, self.keys, self.order = folder, list(keys), list(order)
         self.sensors, self.windows, self.rows_per_slice = list(sensors), tuple(windows), rows_per_slice
         self.features, self.late = os.path.join(folder, "features"), os.path.join(folder, "late")
         self.history = history  # readings before the stream began, for a seeded start
+        self.score, self.version = score, version  # adds ``score`` to a feature frame
 
     def _tail(self, df: DataFrame) -> DataFrame:
         """The rows the next batch can still reach, at least one per key to know what was emitted."""
@@ -68,7 +71,10 @@ class RollingSink:
         out = rolling_features(
             both, self.keys, self.order, self.sensors, self.windows, rows_per_slice=self.rows_per_slice
         )
-        write_batch(out.filter(~F.col("__old")).drop("__old"), self.features, batch_id)
+        out = out.filter(~F.col("__old")).drop("__old")
+        if self.score is not None:
+            out = with_actions(self.score(out), self.version)
+        write_batch(out, self.features, batch_id)
         self._tail(both).write.mode("overwrite").parquet(os.path.join(self.folder, f"state-{batch_id % 2}"))
         batch.unpersist()
 
