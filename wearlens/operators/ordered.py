@@ -18,7 +18,7 @@ from wearlens.functions.search import lower_bound
 # MAX_HOT_KEYS keys can do so, and their slices number at most 2 * MAX_HOT_KEYS together, which
 # is what bounds every frame broadcast below whatever the size of the table.
 MAX_HOT_KEYS = 16_384
-ROWS_PER_SLICE = 1_000_000
+ROWS_PER_SLICE = 250_000
 SAMPLES_PER_SLICE = 16
 
 
@@ -40,6 +40,14 @@ def _key_columns(df: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
     return (df, list(keys)) if keys else (df.withColumn("__all", F.lit(0)), ["__all"])
 
 
+def _limit(total: int, rows_per_slice: int, copies: int) -> float:
+    return max(float(rows_per_slice), total * copies / MAX_HOT_KEYS)
+
+
+def _key_counts(df: DataFrame, keys: list[str]) -> DataFrame:
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+
+
 def slice_limit(df: DataFrame, keys: list[str], rows_per_slice: int, copies: int = 1) -> float | None:
     """Rows a key may hold before it is cut, or None when no key holds that many.
 
@@ -47,27 +55,31 @@ def slice_limit(df: DataFrame, keys: list[str], rows_per_slice: int, copies: int
     keys, the usual case, keep the plain one-shuffle plan. ``copies`` says how many keys of the
     frame to be cut stand for each key of ``df``.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    size = counts.agg(F.sum("__n").alias("total"), F.max("__n").alias("largest")).first()
+    size = _key_counts(df, keys).agg(F.sum("__n").alias("total"), F.max("__n").alias("largest")).first()
     if not size["total"]:
         return None
-    limit = max(float(rows_per_slice), size["total"] * copies / MAX_HOT_KEYS)
+    limit = _limit(size["total"], rows_per_slice, copies)
     return limit if size["largest"] > limit else None
 
 
-def hot_keys(df: DataFrame, keys: list[str], limit: float) -> DataFrame:
-    """Keys to cut, with the number of slices each gets: fewer than MAX_HOT_KEYS rows."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    return counts.filter(F.col("__n") > limit).withColumn("__slices", F.ceil(F.col("__n") / limit).cast("int"))
+def hot_keys(df: DataFrame, keys: list[str], limit: float) -> DataFrame | None:
+    """Keys to cut and the number of slices each gets, as a local frame: fewer than MAX_HOT_KEYS rows."""
+    found = _key_counts(df, keys).filter(F.col("__n") > limit)
+    found = found.withColumn("__slices", F.ceil(F.col("__n") / limit).cast("int"))
+    rows = found.collect()
+    return df.sparkSession.createDataFrame(rows, found.schema) if rows else None
 
 
-def slice_bounds(df: DataFrame, keys: list[str], order: list[str], limit: float) -> DataFrame:
-    """Per hot key the ascending (order) tuples that start its slices.
+def slice_bounds(df: DataFrame, keys: list[str], order: list[str], limit: float) -> tuple[DataFrame, int] | None:
+    """Per hot key the ascending (order) tuples that start its slices, and the most any key has.
 
     The cut points come from a hash sample of about SAMPLES_PER_SLICE distinct tuples per slice.
-    They steer balance only; any cut points give the same results.
+    They steer balance only; any cut points give the same results. They are fetched, at most
+    2 * MAX_HOT_KEYS of them in all, so that every use of the plan sees the same ones.
     """
     hot = hot_keys(df, keys, limit)
+    if hot is None:
+        return None
     picked = _join_small(df.select(*keys, *order), hot, keys).filter(
         F.pmod(F.xxhash64(*order), F.lit(1 << 31)).cast("double") * F.col("__n")
         < F.col("__slices") * F.lit(SAMPLES_PER_SLICE) * F.lit(float(1 << 31))
@@ -79,7 +91,7 @@ def slice_bounds(df: DataFrame, keys: list[str], order: list[str], limit: float)
         .agg(F.array_sort(F.collect_list("__at")).alias("__sample"))
     )
     step = F.size("__sample") / F.col("__slices")
-    return sampled.select(
+    bounds = sampled.select(
         *keys,
         F.array_distinct(
             F.transform(
@@ -88,19 +100,23 @@ def slice_bounds(df: DataFrame, keys: list[str], order: list[str], limit: float)
             )
         ).alias("__bounds"),
     )
+    rows = bounds.collect()
+    if not rows:
+        return None
+    return df.sparkSession.createDataFrame(rows, bounds.schema), max(len(r["__bounds"]) for r in rows)
 
 
 def with_slices(df: DataFrame, keys: list[str], order: list[str], limit: float) -> DataFrame:
     """Add ``__slice``: 0.. along the order inside a hot key, null for a key left whole."""
-    bounds = slice_bounds(df, keys, order, limit)
+    found = slice_bounds(df, keys, order, limit)
+    if found is None:
+        return df.withColumn("__slice", F.lit(None).cast("int"))
+    bounds, most = found
     return (
         _join_small(df, bounds, keys)
         .withColumn(
             "__slice",
-            F.when(
-                F.col("__bounds").isNotNull(),
-                lower_bound(F.col("__bounds"), F.struct(*order), 2 * MAX_HOT_KEYS),
-            ),
+            F.when(F.col("__bounds").isNotNull(), lower_bound(F.col("__bounds"), F.struct(*order), most)),
         )
         .drop("__bounds")
     )
