@@ -121,3 +121,19 @@ def test_trailing_drift_forgets_old_rows(spark, tmp_path):
     rows = spark.read.parquet(sink.summaries).orderBy("as_of").collect()
     assert [r.drift_detected for r in rows] == [False, True, False]
     assert all(r.current_window_size == 200 for r in rows)
+
+
+def test_processor_loads_where_the_package_is_not_installed(spark, tmp_path):
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    from wearlens.streaming.rolling import RollingProcessor
+
+    keyed_rolling(stream_like(spark, 10), "type", ORDER)  # registers the package
+    path = tmp_path / "processor.pickle"
+    path.write_bytes(cloudpickle.dumps(RollingProcessor(ORDER, SENSORS, (3, 5), ["type", *ORDER])))
+    code = f"import pickle, sys; p = pickle.load(open({str(path)!r}, 'rb')); assert 'wearlens' not in sys.modules; print(p.windows)"
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=60)
+    assert out.stdout.strip() == "(3, 5)", out.stderr

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import os
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -153,6 +155,8 @@ def keyed_rolling(
     One key's rows of one micro-batch are sorted in memory, so bound the micro-batch at the source;
     few hot keys belong to ``RollingSink``. Needs the RocksDB state store.
     """
+    # executors need not have this package installed: its classes travel with the query
+    cloudpickle.register_pickle_by_value(sys.modules[__package__.split(".")[0]])
     keep = [key, *order]
     schema = T.StructType(
         [stream.schema[c] for c in keep]
