@@ -1,4 +1,4 @@
-"""Time every query once warm at $BENCH_SF_DIR and print one JSON line."""
+"""Time the headline queries at $BENCH_SF_DIR, each once after a warm-up query, and print one JSON line."""
 
 from __future__ import annotations
 

@@ -14,7 +14,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wearlens.contract import DEFAULT_WINDOWS, LABEL, SEED, SENSORS, feature_names
+from wearlens.contract import DEFAULT_WINDOWS, SEED, SENSORS, feature_names
 from wearlens.operators.cleaning import action_tier
 from wearlens.operators.metrics import best_threshold, brier, confusion, ranking_metrics, rates
 from wearlens.operators.rolling import rolling_features
