@@ -202,6 +202,6 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without contaminated documents. Rows without a doc_id cannot be matched and stay."""
     found = find_contamination(docs, benchmark).filter("contaminated and doc_id is not null")
-    bad = id_blocks(found.select("doc_id", F.lit(True).alias("contaminated")), "contaminated")
     flag = "__contaminated"
-    return with_flags(docs, bad.withColumnRenamed("__contaminated", "____contaminated"), flag).filter(~F.col(flag)).drop(flag)
+    bad = id_blocks(found.select("doc_id", F.lit(True).alias(flag)), flag)
+    return with_flags(docs, bad, flag).filter(~F.col(flag)).drop(flag)
