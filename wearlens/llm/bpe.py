@@ -20,6 +20,7 @@ import base64
 import sys
 import types
 from collections.abc import Iterable
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,7 @@ from wearlens.llm.store import map_arrow
 
 NONE = np.int64(1 << 40)
 LONG_PIECE = 96  # bytes from which a piece is encoded on its own
-REMEMBERED = 400_000  # distinct pieces a Python worker remembers before it starts anew
+REMEMBERED = 1_500_000  # distinct pieces a Python worker remembers before it starts anew
 BATCH_BYTES = 4 << 20
 
 
@@ -206,12 +207,10 @@ class PrefixTable:
                     return
 
 
-def encode_pieces(v: Vocabulary, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Token ids of all pieces one after the other, and where each piece's ids begin."""
-    size = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
-    ptr = np.concatenate([[0], np.cumsum(size)])
-    data = np.frombuffer(b"".join(pieces), dtype=np.uint8)
-    owner = np.repeat(np.arange(len(pieces)), size)
+def encode_pieces(v: Vocabulary, data: np.ndarray, ptr: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Token ids of the pieces data[ptr[i]:ptr[i + 1]] one after the other, and where each piece's begin."""
+    size = np.diff(ptr)
+    owner = np.repeat(np.arange(len(size)), size)
     start, end, token = v.matches(data, np.repeat(ptr[1:], size))
     inside = end - ptr[owner[start]] if len(start) else end
     # by end position in the piece, then longest token first
@@ -243,10 +242,10 @@ def encode_pieces(v: Vocabulary, pieces: list[bytes]) -> tuple[np.ndarray, np.nd
         at[live] -= v.lengths[t]
         live = live[at[live] > ptr[live]]
     if not got:
-        return np.zeros(0, dtype=np.int32), np.zeros(len(pieces) + 1, dtype=np.int64)
+        return np.zeros(0, dtype=np.int32), np.zeros(len(size) + 1, dtype=np.int64)
     piece, ids = np.concatenate([p for p, _ in got]), np.concatenate([t for _, t in got])
     order = np.argsort(piece[::-1], kind="stable")
-    counts = np.bincount(piece, minlength=len(pieces))
+    counts = np.bincount(piece, minlength=len(size))
     return ids[::-1][order].astype(np.int32), np.concatenate([[0], np.cumsum(counts)])
 
 
@@ -257,51 +256,116 @@ def gather(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.nd
     return values[np.arange(total) + np.repeat(starts - (ends - lengths), lengths)]
 
 
+LETTER, NUMBER, SPACE, OTHER = range(4)
+
+
+def code_point_classes() -> np.ndarray:
+    """For each code point: letter, number, white space (Unicode's property), or other."""
+    points = np.delete(np.arange(0x110000), np.arange(0xD800, 0xE000))
+    text = points.astype("<u4").tobytes().decode("utf-32-le")
+    out = np.full(0x110000, OTHER, dtype=np.uint8)
+    for kind, name in ((LETTER, "L"), (NUMBER, "N"), (SPACE, "White_Space")):
+        for m in regex.finditer(rf"\p{{{name}}}+", text):
+            out[points[m.start() : m.end()]] = kind
+    return out
+
+
+def split_pieces(data: np.ndarray, offsets: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """Where pieces start in the UTF-8 bytes ``data`` of texts that start at ``offsets``.
+
+    The pieces of the pattern ``'s|'t|'re|'ve|'m|'ll|'d| ?\\p{L}+| ?\\p{N}+| ?[^\\s\\p{L}\\p{N}]+|\\s+(?!\\S)|\\s+``:
+    runs of one class, each with a space before it; white space before a run gives up its last
+    character, which joins the run if it is a space; a run that is an apostrophe takes the ending.
+    """
+    head = (data & 0xC0) != 0x80
+    at = np.flatnonzero(head)
+    points = np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), dtype=np.uint32)
+    n = len(points)
+    if not n:
+        return np.zeros(0, dtype=np.int64)
+    kind = classes[points]
+    begins = np.zeros(n, dtype=bool)
+    first = np.searchsorted(at, offsets[:-1])
+    begins[first[first < n]] = True
+    run = begins.copy()
+    run[1:] |= kind[1:] != kind[:-1]
+    cut = run.copy()
+    p = np.flatnonzero(run & (kind != SPACE) & ~begins)
+    p = p[kind[p - 1] == SPACE]
+    cut[p - 1] = True
+    cut[p[points[p - 1] == 32]] = False
+    # an apostrophe that starts a piece, and the ending after it
+    q = np.flatnonzero(cut & (points == 39))
+    if len(q):
+        wide, ends = np.append(points, [0, 0]), np.append(begins, [True, True])
+        a, b = wide[q + 1], wide[q + 2]
+        one = ~ends[q + 1]
+        two = one & ~ends[q + 2]
+        short = one & np.isin(a, [ord(c) for c in "stmd"])
+        long = two & (((a == ord("r")) | (a == ord("v"))) & (b == ord("e")) | (a == ord("l")) & (b == ord("l")))
+        cut[q[short | long] + 1] = False
+        for some, length in ((q[short], 2), (q[long], 3)):
+            after = some + length
+            cut[after[after < n]] = True
+    return at[cut]
+
+
 class Encoder:
-    """Encodes texts; remembers pieces it has met."""
+    """Encodes texts; remembers the pieces it has met by 64-bit hash.
+
+    Every result is decoded and compared with the text, so that equal hashes of different pieces
+    could not go unnoticed; such a batch is encoded once more without the memory of pieces.
+    """
 
-    def __init__(self, vocabulary: Vocabulary, pattern: str):
-        self.vocabulary = vocabulary
-        #: white space is Unicode's property, whatever a regex library's \s is
-        self.find = regex.compile(pattern.replace(r"\S", r"\P{White_Space}").replace(r"\s", r"\p{White_Space}")).findall
+    def __init__(self, vocabulary: Vocabulary, classes: np.ndarray):
+        self.vocabulary, self.classes = vocabulary, classes
         self._reset()
 
     def _reset(self) -> None:
-        self.slot: dict[str, int] = {}
+        self.keys = np.zeros(0, dtype=np.uint64)
         self.starts, self.lengths = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
         self.ids = np.zeros(0, dtype=np.int32)
 
-    def _learn(self, pieces: list[str]) -> None:
-        short = [p for p in pieces if len(p) * 4 <= LONG_PIECE]
-        raw = [p.encode() for p in short]
-        ids, ptr = encode_pieces(self.vocabulary, raw)
-        long = [p for p in pieces if len(p) * 4 > LONG_PIECE]
-        tables = [np.array(PrefixTable(self.vocabulary, p.encode()).tokens(), dtype=np.int32) for p in long]
-        counts = np.concatenate([np.diff(ptr), np.array([len(t) for t in tables], dtype=np.int64)])
-        base = len(self.ids)
-        for p in [*short, *long]:
-            self.slot[p] = len(self.slot)
-        self.starts = np.concatenate([self.starts, base + np.cumsum(counts) - counts])
-        self.lengths = np.concatenate([self.lengths, counts])
-        self.ids = np.concatenate([self.ids, ids, *tables])
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts one after the other, and where each text's begin."""
-        pieces, counts = [], []
-        for t in texts:
-            found = self.find(t)
-            counts.append(len(found))
-            pieces += found
-        if len(self.slot) > REMEMBERED:
+    def _encode_all(self, data: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the given pieces and how many each has; long ones by a table of their own."""
+        long = size > LONG_PIECE
+        ids, ptr = encode_pieces(self.vocabulary, gather(data, start[~long], size[~long]), np.concatenate([[0], np.cumsum(size[~long])]))
+        if not long.any():
+            return ids, np.diff(ptr)
+        found = np.split(ids, ptr[1:-1]) if (~long).any() else []
+        out, short = [], iter(found)
+        for is_long, a, n in zip(long.tolist(), start.tolist(), size.tolist()):
+            out.append(np.array(PrefixTable(self.vocabulary, data[a : a + n].tobytes()).tokens(), dtype=np.int32) if is_long else next(short))
+        return np.concatenate(out), np.array([len(x) for x in out], dtype=np.int64)
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts data[offsets[i]:offsets[i + 1]] one after the other, and where each text's begin."""
+        start = split_pieces(data, offsets, self.classes)
+        end = np.append(start[1:], len(data))
+        if not len(start):
+            return np.zeros(0, dtype=np.int32), np.zeros(len(offsets), dtype=np.int64)
+        keys, where, slots = np.unique(W.span_hashes(data, start, end), return_index=True, return_inverse=True)
+        if len(self.keys) > REMEMBERED:
             self._reset()
-        new = set(pieces) - self.slot.keys()
-        if new:
-            self._learn(sorted(new))
-        slots = np.fromiter(map(self.slot.__getitem__, pieces), dtype=np.int64, count=len(pieces))
+        at = np.searchsorted(self.keys, keys)
+        new = np.ones(len(keys), dtype=bool)
+        inside = at < len(self.keys)
+        new[inside] = self.keys[at[inside]] != keys[inside]
+        if new.any():
+            ids, counts = self._encode_all(data, start[where[new]], (end - start)[where[new]])
+            self.starts = np.insert(self.starts, at[new], len(self.ids) + np.cumsum(counts) - counts)
+            self.lengths = np.insert(self.lengths, at[new], counts)
+            self.keys = np.insert(self.keys, at[new], keys[new])
+            self.ids = np.concatenate([self.ids, ids])
+            at = np.searchsorted(self.keys, keys)
+        slots = at[slots]
         lengths = self.lengths[slots]
         ids = gather(self.ids, self.starts[slots], lengths)
-        per_piece = np.concatenate([[0], np.cumsum(lengths)])
-        return ids, per_piece[np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)]
+        ptr = np.concatenate([[0], np.cumsum(lengths)])[np.searchsorted(start, offsets)]
+        if not np.array_equal(decode_ids(self.vocabulary, ids, ptr)[0], data):
+            ids, counts = self._encode_all(data, start, end - start)
+            ptr = np.concatenate([[0], np.cumsum(counts)])[np.searchsorted(start, offsets)]
+        return ids, ptr
 
 
 def decode_ids(v: Vocabulary, ids: np.ndarray, ptr: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -311,12 +375,12 @@ def decode_ids(v: Vocabulary, ids: np.ndarray, ptr: np.ndarray) -> tuple[np.ndar
     return gather(v.bytes, v.starts[ids], lengths), ends[ptr]
 
 
-def _worker_encoder(vocabulary, pattern: str) -> Encoder:
+def _worker_encoder(tables) -> Encoder:
     """One encoder per Python worker and vocabulary: what it remembers serves all of its tasks."""
     memory = sys.modules.setdefault("_wearlens_bpe", types.ModuleType("_wearlens_bpe")).__dict__
-    key = (vocabulary._jid if hasattr(vocabulary, "_jid") else id(vocabulary), pattern)
+    vocabulary, classes, key = tables.value
     if memory.get("key") != key:
-        memory["key"], memory["encoder"] = key, Encoder(vocabulary.value, pattern)
+        memory["key"], memory["encoder"] = key, Encoder(vocabulary, classes)
     return memory["encoder"]
 
 
@@ -333,17 +397,17 @@ def _binary(data: np.ndarray, ptr: np.ndarray) -> pa.Array:
     return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ptr) - 1, [None, pa.py_buffer(ptr.astype(np.int64)), pa.py_buffer(data)]).cast(pa.binary())
 
 
-def encode(docs: DataFrame, tokens: list[bytes], pattern: str, decoded: bool = False) -> DataFrame:
+def encode(docs: DataFrame, tokens: list[bytes], decoded: bool = False) -> DataFrame:
     """``docs`` with the column ids, and with ``decoded``: the bytes that the ids stand for."""
     names, schema = _schema(docs, [_IDS, _DECODED] if decoded else [_IDS])
-    shared = docs.sparkSession.sparkContext.broadcast(Vocabulary(tokens))
+    key = blake2b(b"".join(tokens)).hexdigest()
+    shared = docs.sparkSession.sparkContext.broadcast((Vocabulary(tokens), code_point_classes(), key))
     text = docs.columns.index("text") if "text" in docs.columns else None
 
     def batch(b: pa.RecordBatch):
-        encoder = _worker_encoder(shared, pattern)
-        column = b.column(text)
-        for row, stop, _, _ in W.text_chunks(column, BATCH_BYTES):
-            ids, ptr = encoder.encode([t or "" for t in column.slice(row, stop - row).to_pylist()])
+        encoder = _worker_encoder(shared)
+        for row, stop, data, offsets in W.text_chunks(b.column(text), BATCH_BYTES):
+            ids, ptr = encoder.encode(data, offsets)
             out = [c.slice(row, stop - row) for c in b.columns] + [W.lists(ptr, ids, pa.int32())]
             if decoded:
                 out.append(_binary(*decode_ids(encoder.vocabulary, ids, ptr)))

@@ -27,5 +27,23 @@ from doc left join word using (doc_id) left join it using (doc_id)
 """
 
 
+OP6 = rf"""
+with recursive words as (
+  select doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_SPACED}') w from documents),
+sh as (
+  select distinct doc_id, array_to_string(w[i:i + 3], ' ') g
+  from (select doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) i from words where len(w) > 0)),
+size as (select doc_id, count(*) n from sh group by doc_id),
+common as (select a.doc_id x, b.doc_id y, count(*) c from sh a join sh b on a.g = b.g and a.doc_id < b.doc_id group by all),
+link as (
+  select x, y from common join size p on p.doc_id = x join size q on q.doc_id = y where 100 * c >= 80 * (p.n + q.n - c)),
+edge as (select x a, y b from link union all select y, x from link),
+reach as (select doc_id a, doc_id b from words union select r.a, e.b from reach r join edge e on e.a = r.b),
+component as (select a doc_id, min(b) component_id from reach group by a)
+select doc_id, cast(coalesce(n, 0) as bigint) n_shingles, component_id, doc_id = component_id kept
+from component left join size using (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_decontamination": OP5}
+    return {"op5_decontamination": OP5, "op6_near_dedup": OP6}

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from wearlens.llm import decontam
+from wearlens.llm import bpe, decontam, near_dedup
 
 
 def _table(spark, d, name):
@@ -22,5 +23,23 @@ def op5_decontamination(spark, d):
     )
 
 
+def op6_near_dedup(spark, d):
+    return near_dedup.near_duplicates(_table(spark, d, "documents"))
+
+
+def tokens():
+    return bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+def with_digests(encoded):
+    """Digests of ids and decoded bytes, computed where the rows are."""
+    ids = F.array_join("ids", " ")
+    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op8_byte_bpe(spark, d):
+    return with_digests(bpe.encode(_table(spark, d, "documents").select("doc_id", "text"), tokens(), decoded=True))
+
+
 def all_queries() -> dict:
-    return {"op5_decontamination": op5_decontamination}
+    return {"op5_decontamination": op5_decontamination, "op6_near_dedup": op6_near_dedup, "op8_byte_bpe": op8_byte_bpe}

@@ -60,6 +60,18 @@ class _Powers:
 _powers = _Powers()
 
 
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash of each stretch data[start:end] of bytes."""
+    n = len(data)
+    up, down = _powers.upto(n + 1)
+    terms = data.astype(np.uint64)
+    terms += np.uint64(1)
+    terms *= up[:n]
+    sums = np.zeros(n + 1, dtype=np.uint64)
+    np.cumsum(terms, out=sums[1:])
+    return mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
+
+
 @dataclass
 class Words:
     """Words of ``rows`` consecutive texts. ``ptr[i]:ptr[i + 1]`` are those of text i."""
@@ -84,14 +96,7 @@ class Words:
 
     def hashes(self) -> np.ndarray:
         """64-bit hash of each word's lower-cased bytes."""
-        n = len(self.data)
-        up, down = _powers.upto(n + 1)
-        terms = self.data.astype(np.uint64)
-        terms += np.uint64(1)
-        terms *= up[:n]
-        sums = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(terms, out=sums[1:])
-        return mix((sums[self.end] - sums[self.start]) * down[self.start] + (self.end - self.start).astype(np.uint64))
+        return span_hashes(self.data, self.start, self.end)
 
     def strings(self, a: int, b: int) -> list[str]:
         """Words a to b as text."""
