@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from wearlens.llm import outliers, secret_scan
+
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _SPACED = r"[^\x20\x09-\x0D]+"
@@ -45,5 +47,110 @@ from component left join size using (doc_id)
 """
 
 
+
+
+def _spans(rule) -> str:
+    """Spans of one rule as structs s (start), r (rank), e (end), k (kind)."""
+    pattern = rule.pattern.replace("'", "''")
+    rank = [*secret_scan.BASE, *secret_scan.ADDED].index(rule)
+    return f"""
+  select doc_id, list_filter(list_transform(range(1, len(m) + 1), lambda i: {{
+    's': list_sum(list_transform(p[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0),
+    'r': {rank},
+    'e': list_sum(list_transform(p[1:i], lambda x: length(x))) + list_sum(list_transform(m[1:i], lambda x: length(x))),
+    'k': '{rule.kind}', 'v': length(v[i])}}), lambda x: x.v >= {rule.least}) l
+  from (select doc_id, string_split_regex(t, '{pattern}') p, regexp_extract_all(t, '{pattern}') m,
+               regexp_extract_all(t, '{pattern}', {rule.group}) v
+        from (select doc_id, coalesce(text, '') t from documents))"""
+
+
+def _listing(spans: str) -> str:
+    return f"array_to_string(list_transform(list_sort({spans}), lambda x: x.k || ':' || cast(x.s as bigint) || ':' || cast(x.e as bigint)), ',')"
+
+
+def _op2() -> str:
+    rules = [*secret_scan.BASE, *secret_scan.ADDED]
+    parts = ", ".join(f"f_{r.kind} as ({_spans(r)})" for r in rules)
+    joins = "".join(f" join f_{r.kind} using (doc_id)" for r in rules[1:])
+    every = lambda some: "flatten([" + ", ".join(f"f_{r.kind}.l" for r in some) + "])"
+    counts = ", ".join(f"cast(len(f_{r.kind}.l) as bigint) n_{r.kind}" for r in rules[:3])
+    return f"""with {parts}
+select doc_id, {counts}, sha256({_listing(every(rules[:3]))}) base_sha256, {_listing(every(rules))} spans
+from f_{rules[0].kind}{joins}"""
+
+
+def _cut(name: str, rows: str, keys: str, bin_: str, share: float) -> str:
+    return f"""{name} as materialized (
+  select {keys}, min(b) cut from (
+    select {keys}, b, sum(n) over (partition by {keys} order by b) upto, sum(n) over (partition by {keys}) total
+    from (select {keys}, {bin_} b, count(*) n from {rows} group by all)) where upto >= {share} * total group by all)"""
+
+
+def _distance(name: str, rows: str, params: str) -> str:
+    p = range(outliers.P)
+    factors, ys = [], []
+    for i in p:
+        for j in range(i + 1):
+            rest = f"s{i}{j}" + "".join(f" - l{i}{k} * l{j}{k}" for k in range(j))
+            factors.append(f"sqrt({rest}) l{i}{j}" if i == j else f"({rest}) / l{j}{j} l{i}{j}")
+        ys.append(f"(x{i} - m{i}" + "".join(f" - l{i}{k} * y{k}" for k in range(i)) + f") / l{i}{i} y{i}")
+    return f"""{name} as materialized (
+  select *, {" + ".join(f"y{i} * y{i}" for i in p)} d2 from (
+    select r.*, {", ".join(ys)} from {rows} r join (select *, {", ".join(factors)} from {params}) f using (g)))"""
+
+
+def _op10() -> str:
+    p, floor = range(outliers.P), outliers.FLOOR
+    pairs = [(i, j) for i in p for j in range(i + 1)]
+    x = ["ln(n_words)", "ln(word_chars / n_words)", "ln(1 + 100 * n_symbols / n_words)", "ln(1 + 100 * n_repeat_words / n_words)"]
+    start = ", ".join(f"max(case when i = {i} then median end) / 1000 m{i}" for i in p)
+    spread = ", ".join(f"max(case when i = {i} then cut end) / 1000 d{i}" for i in p)
+    cov = ", ".join(f"pow(1.4826 * d{i}, 2) + {floor[i] ** 2} s{i}{j}" if i == j else f"0.0 s{i}{j}" for i, j in pairs)
+    ctes = []
+    for k in range(outliers.STEPS):
+        ctes.append(_distance(f"near{k}", "vec", f"est{k}"))
+        ctes.append(_cut(f"edge{k}", f"near{k}", "g", "cast(floor(ln(1 + d2) * 200) as bigint)", outliers.SHARE))
+        means = ", ".join(f"avg(x{i}) m{i}" for i in p)
+        moments = ", ".join(f"sum(x{i} * x{j}) / count(*) e{i}{j}" for i, j in pairs)
+        shape = ", ".join(
+            f"{outliers.CONSISTENT} * greatest(e{i}{j} - m{i} * m{j}, {'0.0' if i == j else '-1e9'}) + {floor[i] ** 2 if i == j else 0.0} s{i}{j}" for i, j in pairs
+        )
+        ctes.append(f"""est{k + 1} as materialized (
+  select g, {", ".join(f"m{i}" for i in p)}, {shape} from (
+    select g, {means}, {moments} from near{k} join edge{k} using (g) where cast(floor(ln(1 + d2) * 200) as bigint) <= cut group by g))""")
+    ctes.append(_distance("final", "vec", f"est{outliers.STEPS}"))
+    return f"""
+with words as (select doc_id, lang, source, coalesce(text, '') t, regexp_extract_all(coalesce(text, ''), '{_SPACED}') w from documents),
+win as (select doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] g from (select doc_id, w, unnest(range(1, len(w) - 1)) i from words where len(w) >= 3)),
+again as (select doc_id, i from (select doc_id, i, count(*) over (partition by doc_id, g) c from win) where c > 1),
+rep as (select doc_id, count(distinct x) r from (select doc_id, unnest([i, i + 1, i + 2]) x from again) group by doc_id),
+base as (
+  select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words base_failed from (
+    select doc_id, lang, source, cast(len(w) as bigint) n_words, cast(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) as bigint) word_chars,
+      cast(len(regexp_extract_all(t, '{outliers.SYMBOLS}')) as bigint) n_symbols, cast(len(l) - len(list_distinct(l)) as bigint) n_dup_lines,
+      cast(coalesce(r, 0) as bigint) n_repeat_words
+    from (select *, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) l from words) left join rep using (doc_id))),
+ok as (select * from base where not base_failed),
+sized as (select *, count(*) over (partition by lang, source) n from ok),
+pooled as (select *, case when n < {outliers.LEAST} then sum(case when n < {outliers.LEAST} then 1 else 0 end) over (partition by lang) end m from sized),
+resting as (select *, sum(case when m < {outliers.LEAST} then 1 else 0 end) over () r from pooled),
+vec as materialized (
+  select * from (
+    select doc_id, case when n >= {outliers.LEAST} then concat_ws('|', '1', lang, source) when m >= {outliers.LEAST} then concat_ws('|', '2', lang)
+      when r >= {outliers.LEAST} then 'rest' end g, {", ".join(f"{e} x{i}" for i, e in enumerate(x))}
+    from resting) where g is not null),
+long as (select g, i, cast(floor(v * 1000) as bigint) q from (select g, unnest([{", ".join(f"x{i}" for i in p)}]) v, unnest([{", ".join(map(str, p))}]) i from vec)),
+{_cut("med", "long", "g, i", "q", 0.5)},
+off as (select g, i, abs(q - cut) q, cut median from long join med using (g, i)),
+{_cut("mad", "off", "g, i", "q", 0.5)},
+est0 as materialized (
+  select *, {cov} from (select g, {start}, {spread} from (select mad.g, mad.i, mad.cut, med.cut median from mad join med using (g, i)) group by g)),
+{", ".join(ctes)}
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  not base_failed and coalesce(d2, 0) <= {outliers.CUT} kept
+from base left join (select doc_id, d2 from final) using (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_decontamination": OP5, "op6_near_dedup": OP6}
+    return {"op2_secret_scan": _op2(), "op5_decontamination": OP5, "op6_near_dedup": OP6, "op10_robust_outliers": _op10()}

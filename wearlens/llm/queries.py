@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from wearlens.llm import bpe, decontam, near_dedup
+from wearlens.llm import bpe, decontam, near_dedup, outliers, secret_scan
 
 
 def _table(spark, d, name):
@@ -41,5 +41,28 @@ def op8_byte_bpe(spark, d):
     return with_digests(bpe.encode(_table(spark, d, "documents").select("doc_id", "text"), tokens(), decoded=True))
 
 
+def op2_secret_scan(spark, d):
+    docs = _table(spark, d, "documents").select("doc_id", "text")
+    found = secret_scan.scan(docs)
+    marks = {k: F.coalesce(F.size(secret_scan.MARK + k), F.lit(0)).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")}
+    return found.select(
+        "doc_id",
+        *marks.values(),
+        F.sha2(secret_scan.listing(secret_scan.ordered(secret_scan.BASE)), 256).alias("base_sha256"),
+        secret_scan.listing(secret_scan.ordered((*secret_scan.BASE, *secret_scan.ADDED))).alias("spans"),
+    )
+
+
+def op10_robust_outliers(spark, d):
+    names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    return outliers.judge(_table(spark, d, "documents")).select(*names)
+
+
 def all_queries() -> dict:
-    return {"op5_decontamination": op5_decontamination, "op6_near_dedup": op6_near_dedup, "op8_byte_bpe": op8_byte_bpe}
+    return {
+        "op2_secret_scan": op2_secret_scan,
+        "op5_decontamination": op5_decontamination,
+        "op6_near_dedup": op6_near_dedup,
+        "op8_byte_bpe": op8_byte_bpe,
+        "op10_robust_outliers": op10_robust_outliers,
+    }
