@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from wearlens.llm import bpe, decontam, near_dedup, outliers, secret_scan
+from wearlens.llm import bpe, decontam, near_dedup, outliers, secret_scan, toxicity
 
 
 def _table(spark, d, name):
@@ -16,6 +16,11 @@ def _digest(array) :
     return F.sha2(F.array_join(array, ","), 256)
 
 
+def op4_toxicity_grades(spark, d):
+    docs = _table(spark, d, "documents")
+    return toxicity.score(docs, toxicity.train(docs, _table(spark, d, "labels")))
+
+
 def op5_decontamination(spark, d):
     found = decontam.find_contamination(_table(spark, d, "documents"), _table(spark, d, "benchmark"))
     return found.select(
@@ -31,10 +36,10 @@ def tokens():
     return bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
-def with_digests(encoded):
+def with_digests(encoded, *more):
     """Digests of ids and decoded bytes, computed where the rows are."""
     ids = F.array_join("ids", " ")
-    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    return encoded.select("doc_id", *more, F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op8_byte_bpe(spark, d):
@@ -61,6 +66,7 @@ def op10_robust_outliers(spark, d):
 def all_queries() -> dict:
     return {
         "op2_secret_scan": op2_secret_scan,
+        "op4_toxicity_grades": op4_toxicity_grades,
         "op5_decontamination": op5_decontamination,
         "op6_near_dedup": op6_near_dedup,
         "op8_byte_bpe": op8_byte_bpe,
