@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wearlens.llm import outliers, secret_scan
+from wearlens.llm import licenses, outliers, secret_scan
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -152,5 +152,67 @@ from base left join (select doc_id, d2 from final) using (doc_id)
 """
 
 
+_RENDER = "array_to_string(list_transform({}, lambda t: '<|im_start|>' || t.role || chr(10) || t.text || '<|im_end|>' || chr(10)), '')"
+
+
+def _learnt(side: str) -> str:
+    size = "length(t.role) + length(t.text) + 24"  # marks and line ends of a rendered turn
+    begin = f"coalesce(list_sum(list_transform({side}[1:i - 1], lambda t: {size})), 0) + 13 + length({side}[i].role)"
+    return f"""array_to_string(list_transform(list_filter(range(1, len({side}) + 1), lambda i: {side}[i].role = 'assistant'),
+      lambda i: cast({begin} as bigint) || ':' || cast({begin} + length({side}[i].text) + 10 as bigint)), ',')"""
+
+
+OP1 = f"""
+with conv as (
+  select conv_id, list({{'role': role, 'text': text}} order by turn nulls first, role, text) c from (
+    select conv_id, turn, coalesce(role, 'unknown') role, coalesce(text, '') text from conversations where conv_id is not null) group by conv_id),
+last as (
+  select conv_id, c, list_max(list_filter(range(1, len(c) + 1), lambda i: c[i].role = 'assistant')) k from conv),
+pair as (
+  select a.conv_id pair_id, a.c, a.c[1:coalesce(a.k - 1, len(a.c))] || [{{'role': 'assistant', 'text': coalesce(b.c[b.k].text, '')}}] r
+  from last a left join last b on b.conv_id = a.conv_id + 1),
+cut as (
+  select pair_id, c, r, coalesce(list_min(list_filter(range(1, greatest(len(c), len(r)) + 1), lambda i: c[i] is distinct from r[i])) - 1, len(c)) n from pair),
+parts as (select pair_id, n, c[1:n] p, c[n + 1:len(c)] c, r[n + 1:len(r)] r from cut)
+select pair_id, cast(n as bigint) n_prompt_turns, {_RENDER.format("p")} prompt, {_RENDER.format("c")} chosen, {_RENDER.format("r")} rejected,
+  {_learnt("c")} chosen_spans, {_learnt("r")} rejected_spans
+from parts
+"""
+
+
+def _canonical(text: str) -> str:
+    steps = [(licenses.COPYRIGHT, "", "g"), (licenses.SEPARATORS, " ", "g"), *[(p, to.replace("$", "\\"), "g") for p, to in licenses.SPELLINGS]]
+    out = f"lower({text})"
+    for pattern, to, flags in steps:
+        out = f"regexp_replace({out}, '{pattern}', '{to}', '{flags}')"
+    return out
+
+
+def _op7() -> str:
+    given = ", ".join("('" + i + "', '" + t.replace("'", "''") + "')" for i, t in licenses.KNOWN)
+    whole = "trim(regexp_replace(translate({}, chr(10), ' '), ' +', ' ', 'g'))"
+    return f"""
+with known as (
+  select distinct license, sha256({whole.format(_canonical("text"))}) digest from (values {given}) t(license, text)),
+docs as (select row_number() over () row, doc_id, {_canonical("coalesce(text, '')")} c from documents),
+units as (
+  select distinct row, unnest(list_concat([{whole.format("c")}], list_transform(string_split_regex(c, '\\n *\\n'), lambda x: {whole.format("x")}),
+    list_transform(string_split(c, chr(10)), lambda x: trim(x)))) u from docs),
+hit as (select distinct row, license, digest from units join known on sha256(u) = digest where u != ''),
+own as (select row, doc_id, sha256({whole.format("c")}) digest from docs)
+select doc_id, own.digest,
+  coalesce(string_agg(distinct license, ',' order by license) filter (hit.digest = own.digest), '') whole_licenses,
+  coalesce(string_agg(distinct license, ',' order by license), '') licenses
+from own left join hit using (row) group by row, doc_id, own.digest
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_secret_scan": _op2(), "op5_decontamination": OP5, "op6_near_dedup": OP6, "op10_robust_outliers": _op10()}
+    return {
+        "op1_preference_pairs": OP1,
+        "op2_secret_scan": _op2(),
+        "op5_decontamination": OP5,
+        "op6_near_dedup": OP6,
+        "op7_license_scan": _op7(),
+        "op10_robust_outliers": _op10(),
+    }

@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from wearlens.llm import bpe, decontam, near_dedup, outliers, secret_scan, toxicity
+from wearlens.llm import bpe, chat, decontam, licenses, lm, near_dedup, outliers, repeated_spans, secret_scan, toxicity
+from wearlens.llm.store import id_blocks, with_flags
 
 
 def _table(spark, d, name):
@@ -46,6 +47,30 @@ def op8_byte_bpe(spark, d):
     return with_digests(bpe.encode(_table(spark, d, "documents").select("doc_id", "text"), tokens(), decoded=True))
 
 
+def _spans(array):
+    return F.array_join(F.transform(array, lambda s: F.concat_ws(":", s["start"], s["end"])), ",")
+
+
+def op1_preference_pairs(spark, d):
+    made = chat.format_preferences(chat.swapped_replies(_table(spark, d, "conversations")))
+    return made.withColumns({c: _spans(F.col(c)) for c in ("chosen_spans", "rejected_spans")})
+
+
+def op3_cross_entropy_difference(spark, d):
+    """Target: documents labelled of high quality; background: all."""
+    good = _table(spark, d, "labels").filter("quality = 1").select("doc_id", F.lit(True).alias("target"))
+    return lm.score(with_flags(_table(spark, d, "documents").select("doc_id", "text"), id_blocks(good, "target"), "target"), "target")
+
+
+def op7_license_scan(spark, d):
+    found = licenses.scan_licenses(_table(spark, d, "documents"), licenses.known_licenses(spark))
+    return found.withColumns({c: F.array_join(c, ",") for c in ("whole_licenses", "licenses")})
+
+
+def op9_repeated_spans(spark, d):
+    return repeated_spans.drop_repeated_spans(_table(spark, d, "documents").select("doc_id", "text"))
+
+
 def op2_secret_scan(spark, d):
     docs = _table(spark, d, "documents").select("doc_id", "text")
     found = secret_scan.scan(docs)
@@ -65,10 +90,14 @@ def op10_robust_outliers(spark, d):
 
 def all_queries() -> dict:
     return {
+        "op1_preference_pairs": op1_preference_pairs,
         "op2_secret_scan": op2_secret_scan,
+        "op3_cross_entropy_difference": op3_cross_entropy_difference,
         "op4_toxicity_grades": op4_toxicity_grades,
         "op5_decontamination": op5_decontamination,
         "op6_near_dedup": op6_near_dedup,
+        "op7_license_scan": op7_license_scan,
         "op8_byte_bpe": op8_byte_bpe,
+        "op9_repeated_spans": op9_repeated_spans,
         "op10_robust_outliers": op10_robust_outliers,
     }

@@ -173,7 +173,7 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = (*BASE, *ADDED)) -> DataFram
     flagged = docs
     if queries:
         index = keep(build_index(docs, trigrams), "trigram-index")
-        flagged = with_flags(flagged, candidates(index, queries), *[MARK + r for r in queries])
+        flagged = with_flags(flagged, keep(candidates(index, queries), "candidates"), *[MARK + r for r in queries])
     found = {}
     for r in rules:
         if r.kind in queries:

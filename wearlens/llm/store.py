@@ -74,15 +74,14 @@ def own(df: DataFrame, *names: str) -> DataFrame:
 
 
 def id_blocks(ids: DataFrame, *flags: str) -> DataFrame:
-    """Rows (doc_id, boolean flags) as one row per 64 neighbouring ids, a bitmap per flag.
+    """Rows (doc_id, boolean flags) as a table of one row per 64 neighbouring ids, a bitmap per flag.
 
-    Dense ids shrink 64-fold before the shuffle. Spark joins the result by its size: broadcast
-    while small, by hash otherwise.
+    Dense ids shrink 64-fold before the shuffle. Spark joins the table by its true size: broadcast
+    while small, so that the documents need no shuffle, by hash otherwise.
     """
     bit = F.expr(f"shiftleft(1L, cast(pmod(doc_id, {BLOCK}) as int))")
-    return ids.groupBy(F.expr(f"floor(doc_id / {BLOCK})").alias("__block")).agg(
-        *[F.bit_or(F.when(F.col(f), bit).otherwise(F.lit(0).cast("long"))).alias(f"__{f}") for f in flags]
-    )
+    blocks = ids.filter("doc_id is not null").groupBy(F.expr(f"floor(doc_id / {BLOCK})").alias("__block"))
+    return keep(blocks.agg(*[F.bit_or(F.when(F.col(f), bit).otherwise(F.lit(0).cast("long"))).alias(f"__{f}") for f in flags]), "id-blocks")
 
 
 def with_flags(df: DataFrame, blocks: DataFrame, *flags: str) -> DataFrame:

@@ -72,6 +72,14 @@ def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
 
 
+def sequence_hashes(words: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash of each stretch words[start:end] of word hashes."""
+    up, down = _powers.upto(len(words) + 1)
+    sums = np.zeros(len(words) + 1, dtype=np.uint64)
+    np.cumsum(words * up[: len(words)], out=sums[1:])
+    return mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
+
+
 @dataclass
 class Words:
     """Words of ``rows`` consecutive texts. ``ptr[i]:ptr[i + 1]`` are those of text i."""
