@@ -9,8 +9,9 @@
    differ in more bits than similarity 0.8 can plausibly cause is dropped; the rest are confirmed on
    their full sets. Pairs are linear in the bucket's size.
 4. Confirmed links give components. Buckets whose members are still in several components are
-   compared exhaustively between components, block by block inside tasks: first by odd sketch, then
-   on full sets. Only confirmed links that join two components leave a task, never all pairs.
+   compared exhaustively between components, block by block inside tasks: first by odd sketch, then,
+   among members with close sketches, on full sets. Only links that join two groups leave a task,
+   never all pairs.
 
 What can be lost: a pair at exactly 0.8 shares no band with probability (1 - 0.8**4)**32 < 5e-8, and
 fails the sketch test, which lies six standard deviations out, with less than 1e-8.
@@ -212,15 +213,16 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _blocks(members: DataFrame) -> DataFrame:
-    """Members of mixed buckets dealt to tasks (band, i, j) of two bounded blocks each.
+    """Members (key, node, component) of mixed groups, dealt to tasks (key, i, j) of two bounded blocks.
 
-    Members of the bucket's largest component need no comparison with one another. The others, the
+    Members of a group's largest component need no comparison with one another. The others, the
     strays, are cut into blocks by hash; each stray block meets each block of the rest once.
     """
-    size = members.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n"))
-    main = size.groupBy("band").agg(F.max(F.struct(F.col("n"), (-F.col("component")).alias("c"))).alias("top"), F.sum("n").alias("all"))
-    main = main.select("band", (-F.col("top.c")).alias("main"), F.ceil(F.col("top.n") / BLOCK_MEMBERS).cast("int").alias("main_blocks"), F.ceil((F.col("all") - F.col("top.n")) / BLOCK_MEMBERS).cast("int").alias("stray_blocks"))
-    placed = members.join(keep(main, "buckets"), "band")
+    size = members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
+    main = size.groupBy("key").agg(F.max(F.struct(F.col("n"), (-F.col("component")).alias("c"))).alias("top"), F.sum("n").alias("all"))
+    blocks = lambda n: F.ceil(n / BLOCK_MEMBERS).cast("int")
+    main = main.select("key", (-F.col("top.c")).alias("main"), blocks(F.col("top.n")).alias("main_blocks"), blocks(F.col("all") - F.col("top.n")).alias("stray_blocks"))
+    placed = members.join(keep(main, "groups"), "key")
     stray = F.col("component") != F.col("main")
     block = F.pmod(F.xxhash64("node"), F.when(stray, F.col("stray_blocks")).otherwise(F.col("main_blocks"))).cast("int")
     placed = placed.withColumn("block", block)
@@ -232,7 +234,7 @@ def _blocks(members: DataFrame) -> DataFrame:
     as_right = F.transform(F.sequence(F.lit(0), F.col("block")), lambda i: task(i, F.col("block"), False))
     of_main = F.transform(every(F.col("stray_blocks")), lambda i: task(i, F.col("stray_blocks") + F.col("block"), False))
     tasks = F.when(stray, F.concat(as_left, as_right)).otherwise(of_main)
-    return placed.select("band", "node", "component", "sketch", *[c for c in ("shingles",) if c in members.columns], F.explode(tasks).alias("t")).select("*", "t.i", "t.j", "t.left").drop("t")
+    return placed.select("key", "node", "component", F.explode(tasks).alias("t")).select("key", "node", "component", "t.i", "t.j", "t.left")
 
 
 def _sides(table: pa.Table):
@@ -250,15 +252,26 @@ def _likely(a, others, component, sketch, limit):
     return others[fit[np.argsort(differ[fit], kind="stable")]]
 
 
-def _needed(limit):
+def _pairs(table: pa.Table, links: list) -> pa.Table:
+    kind = table.schema.field("node").type
+    return pa.table({"a": pa.array([x for x, _ in links], kind), "b": pa.array([x for _, x in links], kind)})
+
+
+def _suspects(limit):
+    """Enough pairs with close sketches to connect all members that have one: fewer than members."""
+
     def run(table: pa.Table) -> pa.Table:
         left, right, node, component, sketch = _sides(table)
-        wanted = np.zeros(len(node), dtype=bool)
+        label = np.arange(len(node))
+        links = []
         for a in left.tolist():
             found = _likely(a, right, component, sketch, limit)
-            wanted[found] = True
-            wanted[a] |= len(found) > 0
-        return table.select(["band", "node"]).filter(pa.array(wanted))
+            found = found[label[found] != label[a]]
+            if len(found):
+                for group, at in zip(*np.unique(label[found], return_index=True)):
+                    links.append((node[a], node[found[at]]))
+                    label[label == group] = label[a]
+        return _pairs(table, links)
 
     return run
 
@@ -279,26 +292,31 @@ def _joining(limit):
                 if 100 * common >= 80 * (len(mine) + len(other) - common):
                     links.append((node[a], node[b]))
                     label[label == label[b]] = label[a]
-        kind = table.schema.field("node").type
-        return pa.table({"a": pa.array([x for x, _ in links], kind), "b": pa.array([x for _, x in links], kind)})
+        return _pairs(table, links)
 
     return run
 
 
-def remaining_links(members: DataFrame, sketches: DataFrame, docs: DataFrame) -> DataFrame | None:
-    """Links between different components (column of ``members``) that share a band bucket."""
+def remaining_links(members: DataFrame, labels: DataFrame, sketches: DataFrame, docs: DataFrame) -> DataFrame | None:
+    """Links between different components among ``members`` (band, node, component) of a bucket.
+
+    First the odd sketches say who may be linked across components, and these members are grouped
+    into clusters. Then each cluster, not each of up to 32 buckets, gets its members' full sets once.
+    """
     limit = most_bits(0.8)
-    id_field = lambda name: T.StructField(name, docs.schema["doc_id"].dataType)
-    side = sketches.select(F.col("doc_id").alias("node"), "sketch")
+    kind = docs.schema["doc_id"].dataType
+    pair = T.StructType([T.StructField("a", kind), T.StructField("b", kind)])
+    side = sketches.select(F.col("doc_id").alias("node"), "sketch").dropDuplicates(["node"])
     ship()
-    tasks = _blocks(members.join(side, "node"))
-    needed = tasks.groupBy("band", "i", "j").applyInArrow(_needed(limit), T.StructType([T.StructField("band", T.LongType()), id_field("node")])).distinct()
-    needed = keep(needed.join(members, ["band", "node"]).distinct(), "needed")
-    if needed.isEmpty():
+    tasks = _blocks(members.select(F.col("band").alias("key"), "node", "component").distinct()).join(side, "node")
+    suspects = keep(tasks.groupBy("key", "i", "j").applyInArrow(_suspects(limit), pair).distinct(), "suspects")
+    if suspects.isEmpty():
         return None
-    sets = full_sets(docs, needed.select(F.col("node").alias("doc_id"))).toDF("node", "shingles")
-    tasks = _blocks(needed.join(side, "node").join(sets, "node"))
-    return tasks.groupBy("band", "i", "j").applyInArrow(_joining(limit), T.StructType([id_field("a"), id_field("b")])).distinct()
+    clusters = components(suspects).withColumnRenamed("component", "key").join(labels, "node", "left")
+    clusters = keep(clusters.select("key", "node", F.coalesce("component", "node").alias("component")), "clusters")
+    sets = full_sets(docs, clusters.select(F.col("node").alias("doc_id"))).toDF("node", "shingles").dropDuplicates(["node"])
+    tasks = _blocks(clusters).join(side, "node").join(sets, "node")
+    return tasks.groupBy("key", "i", "j").applyInArrow(_joining(limit), pair).distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -326,7 +344,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     labelled = members.filter("n > 2").join(labels, "node", "left").select("band", "node", F.coalesce("component", "node").alias("component"))
     mixed = labelled.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
     mixed = keep(labelled.join(keep(mixed.select("band"), "mixed"), "band"), "mixed-members")
-    more = None if mixed.isEmpty() else remaining_links(mixed, nodes, docs)
+    more = None if mixed.isEmpty() else remaining_links(mixed, labels, nodes, docs)
     if more is not None:
         labels = keep(components(links.union(keep(more, "more-links"))), "labels")
     of_class = labels.select(F.col("node").alias("class_id"), "component")
