@@ -48,7 +48,8 @@ class Model:
 
     def above(self, score: np.ndarray) -> np.ndarray:
         """Probability that the grade exceeds 0, 1, ... by column."""
-        return 1 / (1 + np.exp(np.clip(self.thresholds[None, :] - score[:, None], -500, 500)))
+        odds = np.exp(np.clip(score[:, None] - self.thresholds[None, :], -500, 500))
+        return np.where(np.isinf(self.thresholds), 0.0, odds / (1 + odds))
 
 
 def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
