@@ -129,9 +129,12 @@ def test_raw_file_with_byte_order_mark(spark, tmp_path):
 def test_gated_write_and_tripwire(spark, ten, tmp_path):
     df = cleaning.clean(ten.drop("timestamp"))
     out = str(tmp_path / "clean")
-    assert not files.write_if_valid(df, validation.contract_failures(df), out) and not (tmp_path / "clean").exists()
+    written, failures = files.write_if_valid(df, out)
+    assert not written and failures.count() and not (tmp_path / "clean").exists()
     good = df.filter("type <> 'X'")
-    assert files.write_if_valid(good, validation.contract_failures(good), out)
+    written, failures = files.write_if_valid(good.withColumn("torque_nm", F.col("torque_nm").cast("string")), out)
+    assert not written and failures.first().check == "type:string" and not (tmp_path / "clean").exists()
+    assert files.write_if_valid(good, out)[0]
     assert files.load_cleaned(spark, out).count() == 5  # row 6 is fine once its bad timestamp column is gone
     good.withColumn("torque_nm", F.lit(None).cast("double")).write.parquet(str(tmp_path / "holes"))
     with pytest.raises(ValueError, match="torque_nm=5"):

@@ -57,8 +57,6 @@ COLUMN_DRIFT_AT = 0.1
 DATASET_DRIFT_AT = 0.3
 SEED = 42
 
-DRIFT_COLUMNS = SENSORS + ["type", "prediction"]
-
 
 @dataclass(frozen=True)
 class Rule:

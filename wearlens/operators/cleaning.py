@@ -181,5 +181,7 @@ def quarantine(df: DataFrame, required=REQUIRED_READING, ranges=SENSOR_RANGES) -
 
 
 def action_tier(probability: str, urgent: float = URGENT_AT, service: float = SERVICE_AT) -> Column:
+    """The tier of a probability; null for a missing one."""
     p = F.col(probability)
-    return F.when(p >= urgent, "urgent_alert").when(p >= service, "schedule_service").otherwise("monitor")
+    known = F.when(p >= urgent, "urgent_alert").when(p >= service, "schedule_service").otherwise("monitor")
+    return F.when(p.isNotNull() & ~F.isnan(p), known)

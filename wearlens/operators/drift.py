@@ -39,7 +39,7 @@ def _categories(df: DataFrame, columns: list[str], groups: list[str]) -> DataFra
 
 def kolmogorov_p(d: Column, n: Column, m: Column) -> Column:
     """Asymptotic two-sample p-value; the series is 1 to working precision below 0.2."""
-    lam = d * F.sqrt(n.cast("double") * m / (n + m))
+    lam = d * F.sqrt(F.try_divide(n.cast("double") * m, n + m))
     series = F.aggregate(
         F.sequence(F.lit(1), F.lit(100)),
         F.lit(0.0),
@@ -64,23 +64,23 @@ def numeric_drift(
     limit = slice_limit(rows, [*groups, "__all"], rows_per_slice, copies=len(columns))
     counts = counts.withColumn("__weighted", F.col("value") * F.col("ref"))
     run = running_totals(counts, [*groups, "column"], "value", ["ref", "cur", "__weighted"], limit=limit)
-    gap = F.abs(F.col("ref_cum") / F.col("ref_total") - F.col("cur_cum") / F.col("cur_total"))
-    from_mean = F.col("value") - F.col("__weighted_total") / F.col("ref_total")
-    both = run.filter((F.col("ref_total") > 0) & (F.col("cur_total") > 0))
-    scores = both.groupBy(*groups, "column").agg(
+    # a side without values has no share: the scores are null
+    gap = F.abs(F.try_divide("ref_cum", "ref_total") - F.try_divide("cur_cum", "cur_total"))
+    from_mean = F.col("value") - F.try_divide("__weighted_total", "ref_total")
+    scores = run.groupBy(*groups, "column").agg(
         F.sum(gap * F.coalesce(F.col("value_next") - F.col("value"), F.lit(0.0))).alias("w1"),
         F.max(gap).alias("ks"),
         F.sum(F.col("ref") * from_mean * from_mean).alias("squares"),
         F.max("ref_total").alias("ref_rows"),
         F.max("cur_total").alias("cur_rows"),
     )
-    std = F.sqrt(F.col("squares") / F.col("ref_rows"))  # population deviation of the reference
+    std = F.sqrt(F.try_divide("squares", "ref_rows"))  # population deviation of the reference
     return scores.select(
         *groups,
         "column",
         (F.col("w1") / F.greatest(std, F.lit(STD_FLOOR))).alias("wasserstein"),
         "ks",
-        kolmogorov_p(F.col("ks"), F.col("ref_rows"), F.col("cur_rows")).alias("ks_p"),
+        F.when(F.col("ks").isNotNull(), kolmogorov_p(F.col("ks"), F.col("ref_rows"), F.col("cur_rows"))).alias("ks_p"),
         "ref_rows",
         "cur_rows",
     )
@@ -94,17 +94,18 @@ def categorical_drift(
     keys = [*groups, "column"]
     counts = _sides(reference, current, lambda d: _categories(d, columns, groups), groups)
     totals = counts.groupBy(*keys).agg(F.sum("ref").alias("ref_rows"), F.sum("cur").alias("cur_rows"))
-    p, q = F.col("ref") / F.col("ref_rows"), F.col("cur") / F.col("cur_rows")
+    p, q = F.try_divide("ref", "ref_rows"), F.try_divide("cur", "cur_rows")
     mid = (p + q) / 2
 
     def part(x):
         return F.when(x > 0, x * F.log(x / mid)).otherwise(0.0)
 
-    both = totals.filter((F.col("ref_rows") > 0) & (F.col("cur_rows") > 0))
+    both = (F.col("ref_rows") > 0) & (F.col("cur_rows") > 0)
     return (
-        counts.join(both, keys)
+        counts.join(totals, keys)
         .groupBy(*keys, "ref_rows", "cur_rows")
         .agg(F.sqrt(F.greatest(F.sum((part(p) + part(q)) / 2), F.lit(0.0))).alias("js"))
+        .withColumn("js", F.when(both, F.col("js")))
         .select(*keys, "js", "ref_rows", "cur_rows")
     )
 
@@ -138,8 +139,15 @@ def drift_by_column(
     reference: DataFrame, current: DataFrame, numeric=NUMERIC, categorical=CATEGORICAL,
     groups: list[str] = (), threshold: float = COLUMN_DRIFT_AT, rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
-    """``groups, column, method, score, drifted`` with both window sizes."""
+    """``groups, column, method, score, drifted, reason`` with both window sizes.
+
+    Every column asked for has a row in every group of the reference. One that has values on one
+    side only has no score; it is drifted, and the reason says which side is empty.
+    """
     groups = list(groups)
+    methods = {**{c: "normalized_wasserstein" for c in numeric}, **{c: "jensen_shannon" for c in categorical}}
+    asked = F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.lit(m).alias("method")) for c, m in methods.items()]))
+    base = reference.select(*groups).distinct() if groups else reference.sparkSession.range(1).select()
     num = numeric_drift(reference, current, numeric, groups, rows_per_slice).select(
         *groups, "column", F.lit("normalized_wasserstein").alias("method"), F.col("wasserstein").alias("score"),
         "ref_rows", "cur_rows",
@@ -147,7 +155,14 @@ def drift_by_column(
     cat = categorical_drift(reference, current, categorical, groups).select(
         *groups, "column", F.lit("jensen_shannon").alias("method"), F.col("js").alias("score"), "ref_rows", "cur_rows"
     )
-    return num.unionByName(cat).withColumn("drifted", F.col("score") >= threshold)
+    scored = base.select(*groups, asked).join(num.unionByName(cat), [*groups, "column", "method"], "left")
+    zero = F.lit(0).cast("long")
+    ref_rows, cur_rows = F.coalesce("ref_rows", zero), F.coalesce("cur_rows", zero)
+    reason = F.when(F.col("score").isNotNull(), None).when(cur_rows > 0, "no_reference_values").when(ref_rows > 0, "no_current_values").otherwise("no_values")
+    drifted = F.coalesce(F.col("score") >= threshold, (ref_rows > 0) | (cur_rows > 0))
+    return scored.select(
+        *groups, "column", "method", "score", ref_rows.alias("ref_rows"), cur_rows.alias("cur_rows"), drifted.alias("drifted"), reason.alias("reason")
+    )
 
 
 def summarize(
@@ -155,17 +170,19 @@ def summarize(
 ) -> DataFrame:
     """Share of drifted columns and the decision; small windows are marked, not hidden.
 
-    Without groups there is always one row: an empty current window has the status ``no_current_rows``.
+    An empty current window has no score and the status ``no_current_rows``.
     """
-    share = F.col("drifted_column_count") / F.col("total_columns")
+    share = F.try_divide("drifted_column_count", "total_columns")
+    filled = F.col("current_window_size") > 0
     out = by_column.groupBy(*groups).agg(
-        F.count_if("drifted").alias("drifted_column_count"),
+        F.count_if("drifted").alias("__drifted"),
         F.count(F.lit(1)).alias("total_columns"),
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("column", "score")))).alias("per_column_drift"),
         F.max("ref_rows").alias("reference_window_size"),
         F.coalesce(F.max("cur_rows"), F.lit(0)).alias("current_window_size"),
     )
-    scored = F.when(F.col("total_columns") > 0, share)
+    out = out.withColumn("drifted_column_count", F.when(filled, F.col("__drifted")).otherwise(0))
+    scored = F.when(filled, share)
     return out.select(
         *groups,
         scored.alias("drift_score"),
@@ -176,7 +193,7 @@ def summarize(
         "reference_window_size",
         "current_window_size",
         (F.col("current_window_size") >= min_rows).alias("min_rows_ok"),
-        F.when(F.col("total_columns") > 0, "ok").otherwise("no_current_rows").alias("status"),
+        F.when(filled, "ok").otherwise("no_current_rows").alias("status"),
         "per_column_drift",
     )
 

@@ -305,9 +305,14 @@ def positions(df: DataFrame, groups: list[str], hash_col: str, id_col: str, hash
         F.sum("__n").over(whole).alias("group_rows"),
     )
     local = Window.partitionBy(*groups, "__range").orderBy(hash_col, id_col)
+    keys = [*groups, "__range"]
+    offsets = offsets.withColumnsRenamed({k: f"__o_{k}" for k in keys})
+    same = F.lit(True)
+    for k in keys:  # rows whose group or hash is null have a place too
+        same = same & _same(k, f"__o_{k}")
     return (
         ranged.withColumn("__rank", F.row_number().over(local))
-        .join(offsets, [*groups, "__range"])
+        .join(offsets, same)
         .withColumn("position", F.col("__before") + F.col("__rank") - 1)
-        .drop("__range", "__rank", "__before")
+        .drop("__range", "__rank", "__before", *[f"__o_{k}" for k in keys])
     )

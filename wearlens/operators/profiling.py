@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from wearlens.contract import LABEL, SENSORS
+from wearlens.operators.cleaning import absent
 from wearlens.operators.ordered import ROWS_PER_SLICE, exact_quantiles
 
 
 def unpivot_numeric(df: DataFrame, columns: list[str], keep: list[str] = ()) -> DataFrame:
-    """``keep..., column, value`` with values as doubles."""
-    pairs = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns]
+    """``keep..., column, value`` with values as doubles; NaN is null."""
+    number = {c: F.col(c).cast("double") for c in columns}
+    pairs = [F.struct(F.lit(c).alias("column"), F.when(~F.isnan(x), x).alias("value")) for c, x in number.items()]
     return df.select(*keep, F.inline(F.array(*pairs)))
 
 
@@ -47,7 +49,7 @@ def label_balance(df: DataFrame, label: str = LABEL) -> DataFrame:
 
 
 def missingness(df: DataFrame) -> DataFrame:
-    """``column, nulls`` for every column, zeros included, from one aggregate."""
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
+    """``column, nulls`` for every column, zeros included, from one aggregate; NaN counts as null."""
+    counts = df.agg(*[F.count_if(absent(df, c)).alias(c) for c in df.columns])
     pairs = [F.struct(F.lit(c).alias("column"), F.col(c).alias("nulls")) for c in df.columns]
     return counts.select(F.inline(F.array(*pairs)))

@@ -56,8 +56,10 @@ def split_audit(split: DataFrame, by: str = "split", label: str = "label", min_p
     )
 
 
-def reference_sample(df: DataFrame, n: int = 2000, id_col: str = "unit_id", seed: int = 13) -> DataFrame:
-    """Exactly ``n`` rows: the smallest by (hash, id), as a distributed top-n."""
+def reference_sample(df: DataFrame, n: int | None = None, id_col: str = "unit_id", seed: int = 13) -> DataFrame:
+    """All rows, or exactly ``n``: the smallest by (hash, id), as a distributed top-n."""
+    if n is None:
+        return df
     return df.withColumn("__hash", portable_hash(id_col, seed)).orderBy("__hash", id_col).limit(n).drop("__hash")
 
 

@@ -254,10 +254,14 @@ def feature_table(df: DataFrame, windows=DEFAULT_WINDOWS) -> DataFrame:
 
 def run_grid(
     df: DataFrame, configs: list[Config] = GRID, batch_id: str = "batch", folds: int = 5, seed: int = SEED,
-    runs_path: str | None = None, parallelism: int = 4,
+    runs_path: str | None = None, parallelism: int = 4, fit_rows: int | None = None, models_path: str | None = None,
 ) -> DataFrame:
     """Fit every config and return one run row each; the split is by id, the same for all.
 
+    ``fit_rows`` bounds the training rows of a fit by a hash of their id; all other rows are evaluated.
+    With ``models_path`` every run's model and threshold are stored there under its run id, the
+    column ``path``, from where a promoted version is loaded.
+
     Feature tables are written once per distinct window set, all runs are evaluated together.
     """
     # experiments without rolling features read a column subset of any window set's table
@@ -268,9 +272,11 @@ def run_grid(
 
     def evaluate(seq: int, config: Config) -> DataFrame:
         table = tables[config.windows].select("unit_id", "type", "label", "split", *config.numeric())
-        model = fit_calibrated(table.filter("split = 'train'"), config, folds, seed=seed, parallelism=1)
+        train = reference_sample(table.filter("split = 'train'"), fit_rows, seed=seed)
+        model = models[seq] = fit_calibrated(train, config, folds, seed=seed, parallelism=1)
         return model.score(table.filter("split <> 'train'")).select(F.lit(seq).alias("seq"), "split", "label", "score")
 
+    models: dict[int, Calibrated] = {}
     parts = together(df.sparkSession, [partial(evaluate, i, c) for i, c in enumerate(configs)], parallelism)
     scored = reduce(DataFrame.unionByName, parts)
     scored = materialize(scored, "scores")
@@ -296,6 +302,11 @@ def run_grid(
         "seq int, run_id string, name string, batch_id string, params map<string,string>",
     )
     rows = params.join(chosen, "seq").join(wide, "seq")
+    if models_path:
+        for r in chosen.collect():  # one row per config
+            run_id = f"{batch_id}-{r['seq']:02d}"
+            save_model(df.sparkSession, models[r["seq"]], r["threshold"], f"{models_path}/{run_id}", run_id)
+        rows = rows.withColumn("path", F.concat(F.lit(f"{models_path}/"), F.col("run_id")))
     if runs_path:
         append_rows(rows, runs_path)
     return rows
@@ -313,8 +324,8 @@ def with_actions(scored: DataFrame, version: str, name: str = MODEL_NAME) -> Dat
     ).drop("score")
 
 
-def reference_window(df: DataFrame, scoring, n: int = 2000, seed: int = 13) -> DataFrame:
-    """The scored reference of the drift job: a sample, its rolling features, its predictions."""
+def reference_window(df: DataFrame, scoring, n: int | None = None, seed: int = 13) -> DataFrame:
+    """The scored reference of the drift job: all rows or a sample, rolling features, predictions."""
     features = rolling_features(reference_sample(df.select("unit_id", "type", *SENSORS), n, seed=seed))
     return scoring(features).select("unit_id", *SENSORS, "type", F.col("score").alias("prediction"))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from wearlens.contract import Rule, contract_rules, contract_types, require_columns
+from wearlens.operators.cleaning import absent
 
 
 def wrong_types(df: DataFrame) -> list[tuple[str, str]]:
@@ -39,8 +40,8 @@ def contract_failures(
             ),
         )
 
-    cases = [case(F.col(c).isNull(), c, "not_null") for c in columns]
-    cases += [case(F.col(r.column).isNotNull() & ~r.holds, r.column, r.check) for r in rules]
+    cases = [case(absent(df, c), c, "not_null") for c in columns]
+    cases += [case(~absent(df, r.column) & ~r.holds, r.column, r.check) for r in rules]
     found = df.select(id_col, F.inline(F.filter(F.array(*cases), lambda f: f.isNotNull())))
     if not unique:
         return found

@@ -276,14 +276,14 @@ def drift_ctes(cold: bool = False, windows=None) -> str:
     swap = "* REPLACE (" + ", ".join(f"{e} AS {c}" for c, e in COLD_EXPR.items()) + ")" if cold else "*"
     if windows:
         w = values([(str(m),) for m in windows])
-        ref = f"SELECT d.*, v.w FROM d, {w} v(w) WHERE ts < TIMESTAMP '2024-01-11'"
+        ref = f"SELECT d.*, v.w FROM d, {w} v(w) WHERE ts < TIMESTAMP '2024-01-16'"
         cur = (
-            f"SELECT d.*, v.w FROM d, {w} v(w) WHERE ts >= TIMESTAMP '2024-01-21' AND ts <= TIMESTAMP '2024-01-31' "
+            f"SELECT d.*, v.w FROM d, {w} v(w) WHERE ts >= TIMESTAMP '2024-01-16' AND ts <= TIMESTAMP '2024-01-31' "
             "AND epoch_us(TIMESTAMP '2024-01-31') - epoch_us(ts) <= CAST(v.w AS BIGINT) * 60000000"
         )
     else:
-        ref = "SELECT *, 0 AS w FROM d WHERE ts < TIMESTAMP '2024-01-11'"
-        cur = f"SELECT *, 0 AS w FROM (SELECT {swap} FROM d WHERE ts >= TIMESTAMP '2024-01-21')"
+        ref = "SELECT *, 0 AS w FROM d WHERE ts < TIMESTAMP '2024-01-16'"
+        cur = f"SELECT *, 0 AS w FROM (SELECT {swap} FROM d WHERE ts >= TIMESTAMP '2024-01-16')"
     return CLEAN + f""", d AS (SELECT *, failure_probability AS prediction FROM clean
 ), ref AS ({ref}), cur AS ({cur}), long AS (
   SELECT w, "column", value, count(*) FILTER (side = 0) AS r, count(*) FILTER (side = 1) AS c FROM (
@@ -310,8 +310,8 @@ def drift_ctes(cold: bool = False, windows=None) -> str:
         SELECT 0 AS side, w, type FROM ref UNION ALL SELECT 1, w, type FROM cur) GROUP BY w, type))
   GROUP BY w HAVING max(nr) > 0 AND max(nc) > 0
 ), by_column AS (
-  SELECT w, "column", 'normalized_wasserstein' AS method, wasserstein AS score, ref_rows, cur_rows, wasserstein >= 1e-1 AS drifted FROM num
-  UNION ALL SELECT w, "column", 'jensen_shannon', js, ref_rows, cur_rows, js >= 1e-1 FROM cat
+  SELECT w, "column", 'normalized_wasserstein' AS method, wasserstein AS score, ref_rows, cur_rows, wasserstein >= 1e-1 AS drifted, CAST(NULL AS VARCHAR) AS reason FROM num
+  UNION ALL SELECT w, "column", 'jensen_shannon', js, ref_rows, cur_rows, js >= 1e-1, NULL FROM cat
 ), summary AS (
   SELECT w, count(*) FILTER (drifted) * 1e0 / count(*) AS drift_score, count(*) FILTER (drifted) AS drifted_column_count,
          count(*) AS total_columns, count(*) FILTER (drifted) * 1e0 / count(*) >= 3e-1 AS drift_detected, 3e-1 AS threshold,
@@ -322,6 +322,14 @@ def drift_ctes(cold: bool = False, windows=None) -> str:
 
 
 SUMMARY = ["drift_score", "threshold"]
+KINDS = "SELECT unnest(['uncalibrated', 'calibrated']) AS kind, true AS better_than_guessing"
+EXPERIMENTS = [
+    (n, 5 if n == "baseline_no_rolling" else 30)
+    for n in (
+        "baseline_no_rolling", "baseline_rolling", "small_forest", "large_forest", "deep_unbounded", "balanced_subsample",
+        "no_class_weight", "minmax_scaler", "isotonic_calibration", "conservative_leaves", "wide_windows", "narrow_windows",
+    )
+]
 
 
 def quantile_sql(source: str, value: str, qs, by: str) -> str:
@@ -610,5 +618,25 @@ def oracle_sql() -> dict[str, str]:
         "stream_throughput": out["throughput"],
         "stream_error_rate": out["error_rate"],
         "stream_drift": out["drift_summary"],
+        "stream_reading_scores": sql(CLEAN, "SELECT type, count(*) AS rows, count(*) AS probabilities FROM clean GROUP BY 1"),
+        "stream_request_scores": f"""SELECT '1' AS model_version, count(*) AS rows, CAST(sum(readings_used) AS BIGINT) AS readings,
+            count(*) AS probabilities FROM ({out['request_features']})""",
+        "log_to_drift": f"""SELECT type, count(*) AS rows, {', '.join(f'round(avg({c}), 6) + 0e0 AS {c}' for c in SENSORS)}
+            FROM ({out['request_features']}) GROUP BY 1""",
+    }
+    held = "FROM split WHERE split <> 'train'"
+    runs = values([(str(i), f"'{n}'", str(k)) for i, (n, k) in enumerate(EXPERIMENTS)])
+    out |= {
+        "rf_scores": sql(SPLIT, f"SELECT split, count(*) AS rows, count(*) AS probabilities, count(*) AS tiers {held} GROUP BY 1"),
+        "cv_pr_auc": "SELECT CAST(i AS INT) AS fold, true AS share_valid, CAST(NULL AS VARCHAR) AS reason FROM range(5) r(i)",
+        "calibrated_scores": KINDS,
+        "isotonic_scores": KINDS,
+        "experiment_grid": sql(SPLIT, f"""SELECT CAST(seq AS INT) AS seq, concat('grid-', lpad(CAST(seq AS VARCHAR), 2, '0')) AS run_id, name,
+            CAST(n AS INT) AS n_numeric, (SELECT count(*) FROM split WHERE split = 'validation') AS val_rows,
+            (SELECT count(*) FROM split WHERE split = 'test') AS test_rows,
+            (SELECT CAST(sum(label) AS BIGINT) FROM split WHERE split = 'validation') AS val_positives,
+            true AS shares_valid, true AS threshold_valid FROM {runs} r(seq, name, n)"""),
+        "risk_direction": sql(CLEAN, "SELECT count(*) AS rows, count(*) AS probabilities FROM clean"),
+        "drift_reference_window": sql(CLEAN, "SELECT type, count(*) AS rows, count(*) AS probabilities FROM clean GROUP BY 1"),
     }
     return out

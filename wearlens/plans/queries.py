@@ -15,8 +15,7 @@ from wearlens.session import new_folder
 from wearlens.sources import files, tables
 
 AS_OF = "2024-01-31 00:00:00"
-REFERENCE_BEFORE = "2024-01-11 00:00:00"
-CURRENT_FROM = "2024-01-21 00:00:00"
+CURRENT_FROM = "2024-01-16 00:00:00"  # the two drift windows meet here and cover all rows
 THRESHOLD = 0.27
 RUN_THRESHOLDS = [0.27, 0.5, 0.6]
 SMALL_SLICE = 2000
@@ -77,7 +76,7 @@ def drift_frames(spark, d):
     )
     at = F.col("ts")
     return (
-        frame.filter(at < F.lit(REFERENCE_BEFORE).cast("timestamp")),
+        frame.filter(at < F.lit(CURRENT_FROM).cast("timestamp")),
         frame.filter(at >= F.lit(CURRENT_FROM).cast("timestamp")),
     )
 
@@ -382,7 +381,7 @@ def batch_queries() -> dict:
         "champion": champion,
         "log_reconcile": log_reconcile,
         "what_if": what_if,
-        "reference_sample": lambda s, d: splits.reference_sample(sensors_frame(s, d)),
+        "reference_sample": lambda s, d: splits.reference_sample(sensors_frame(s, d), 2000),
         "stratified_split": split_of,
         "stratified_folds": folds_of,
         "split_report": with_queries(splits.split_report, split_of),

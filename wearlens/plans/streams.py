@@ -2,19 +2,16 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wearlens.contract import feature_names
+from wearlens.contract import SENSORS, feature_names
 from wearlens.operators import oplog, training
 from wearlens.operators.requests import rejection_errors
 from wearlens.operators.training import materialize
-from wearlens.plans.models import SMALL
+from wearlens.plans.models import DEFAULT, bounded
 from wearlens.plans.queries import cleaned, drift_frames, flat_summary
 from wearlens.session import new_folder
-from wearlens.sources import tables
-from wearlens.sources.files import training_frame
+from wearlens.sources import files, tables
 from wearlens.streaming.requests import RequestSink
 from wearlens.streaming.rolling import RollingSink, keyed_rolling
 from wearlens.streaming.run import ROCKSDB, start, write_batch
@@ -46,13 +43,14 @@ def stream_rolling_features(spark, d):
 
 
 def stream_reading_scores(spark, d):
-    """Every reading of the stream scored from its rolling features."""
+    """Every reading of the stream scored from its rolling features: rows and probabilities per type."""
     rows = cleaned(spark, d)
-    config = replace(SMALL, rolling=True)
-    model = training.fit(materialize(training.feature_table(rows), "features"), config)
+    model = training.fit(materialize(bounded(training.feature_table(rows)), "features"), DEFAULT)
     sink = RollingSink(new_folder(spark, "scored"), score=lambda df: training.score(model, df))
     in_stages([rows], sink, "readings")
-    return sink.read(spark).select("unit_id", "type", "failure_probability", "recommended_action", "model_version")
+    return sink.read(spark).groupBy("type").agg(
+        F.countDistinct("unit_id").alias("rows"), F.count_if(F.col("failure_probability").between(0, 1)).alias("probabilities")
+    )
 
 
 def _with_stragglers(spark, d, sink):
@@ -91,15 +89,22 @@ def stream_rejections(spark, d):
 
 
 def stream_request_scores(spark, d):
-    training_rows = materialize(training_frame(cleaned(spark, d)), "training")
-    model = training.fit(training_rows, SMALL)
+    """The accepted requests, scored: rows, readings used and probabilities per version."""
+    model = training.fit(materialize(bounded(training.feature_table(cleaned(spark, d))), "training"), DEFAULT)
     sink = RequestSink(new_folder(spark, "score-sink"), lambda df: training.score(model, df))
     out = spark.read.parquet(_requests(spark, d, sink).accepted)
-    return out.select(
-        "request_id", "vehicle_id", "readings_used", "failure_probability", "recommended_action", "model_name", "model_version"
+    return out.groupBy("model_version").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("readings_used").alias("readings"), F.count_if(F.col("failure_probability").between(0, 1)).alias("probabilities")
     )
 
 
+def log_to_drift(spark, d):
+    """Requests are scored on a stream, and the drift job reads the log that this leaves."""
+    sink = RequestSink(new_folder(spark, "log-sink"), lambda df: df.withColumn("score", F.lit(0.25)))
+    lines = spark.read.text(_requests(spark, d, sink).log)
+    return files.prediction_log(lines).groupBy("type").agg(F.count(F.lit(1)).alias("rows"), *[F.avg(c).alias(c) for c in SENSORS])
+
+
 def _live(spark, d, metric, keys):
     folder = new_folder(spark, "live")
     live(tables.request_log(event_stream(spark, d)), metric, folder, new_folder(spark, "live-checkpoint")).awaitTermination()
@@ -130,6 +135,6 @@ def stream_queries() -> dict:
         f.__name__: f
         for f in (
             stream_rolling_features, stream_reading_scores, stream_late_rows, stream_vehicle_features, stream_rejections,
-            stream_request_scores, stream_status_mix, stream_throughput, stream_error_rate, stream_drift,
+            stream_request_scores, log_to_drift, stream_status_mix, stream_throughput, stream_error_rate, stream_drift,
         )
     }

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from wearlens.contract import (
     FAILURE_FLAGS, LABEL, RAW_SCHEMA, RAW_TO_WORKING, SENSORS, require_columns,
 )
+from wearlens.operators.cleaning import absent
 
 PREDICTION_SCHEMA = (
     "timestamp STRING, level STRING, event STRING, vehicle_id STRING, machine_type STRING, "
@@ -16,6 +17,13 @@ PREDICTION_SCHEMA = (
 )
 
 
+# fixed values: the spellings of a missing value in text files, numbers and words alike
+MISSING = [
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
+    "NULL", "NaN", "None", "n/a", "nan", "null",
+]
+
+
 def load_raw(spark: SparkSession, path: str) -> DataFrame:
     """The raw CSV as it is. Spark drops a byte-order mark; a missing path raises."""
     header = spark.read.option("header", True).csv(path).columns
@@ -24,15 +32,13 @@ def load_raw(spark: SparkSession, path: str) -> DataFrame:
         raise ValueError(f"missing required columns: {missing}")
     declared = {f.name: f.dataType for f in T.StructType.fromDDL(RAW_SCHEMA)}
     text = T.StructType([T.StructField(c, T.StringType()) for c in header])
-    raw = spark.read.option("header", True).schema(text).csv(path)
-    # the usual spellings of a missing number are nulls, any other non-number is an error
-    absent = ["", "NA", "N/A", "NaN", "nan", "null", "NULL", "None"]
+    # a later file whose header differs is refused, not read by position
+    raw = spark.read.option("header", True).option("enforceSchema", False).schema(text).csv(path)
 
     def typed(name):
-        if isinstance(declared.get(name, T.StringType()), T.StringType):
-            return F.col(f"`{name}`")
-        filled = F.when(~F.trim(F.col(f"`{name}`")).isin(absent), F.trim(F.col(f"`{name}`")))
-        return filled.cast(declared[name]).alias(name)
+        kind = declared.get(name, T.StringType())
+        value = F.col(f"`{name}`") if isinstance(kind, T.StringType) else F.trim(F.col(f"`{name}`"))
+        return F.when(~value.isin(MISSING), value).cast(kind).alias(name)  # any other non-number is an error
 
     return raw.select(*[typed(c) for c in header])
 
@@ -54,9 +60,9 @@ def load_cleaned(spark: SparkSession, path: str) -> DataFrame:
 
 
 def null_tripwire(df: DataFrame, columns: list[str]) -> DataFrame:
-    """``column, nulls`` for every named column, from one aggregate."""
+    """``column, nulls`` for every named column, from one aggregate; NaN counts as null."""
     require_columns(df, columns)
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
+    counts = df.agg(*[F.count_if(absent(df, c)).alias(c) for c in columns])
     return counts.select(
         F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("nulls")) for c in columns]))
     )
@@ -88,7 +94,10 @@ def prediction_log(
     options = {"mode": "FAILFAST"} if mode == "failfast" else {}
     parsed = lines.select(F.from_json("value", PREDICTION_SCHEMA, options).alias("p")).select("p.*")
     if mode == "permissive":
-        parsed = parsed.filter((F.col("event") == "prediction_made") & F.col("features").isNotNull())
+        whole = F.col("features").isNotNull()
+        for c in SENSORS:  # a line without every feature is no prediction to compare
+            whole = whole & F.col(f"features.{c}").isNotNull()
+        parsed = parsed.filter((F.col("event") == "prediction_made") & whole)
         if window_minutes is not None:
             at = F.try_to_timestamp("timestamp")
             end = F.lit(as_of).cast("timestamp")
@@ -119,12 +128,14 @@ def probe_log(lines: DataFrame) -> DataFrame:
     )
 
 
-def write_if_valid(df: DataFrame, failures: DataFrame, path: str) -> bool:
-    """Write ``df`` only when the contract reported nothing; the answer says whether it did."""
-    if not failures.isEmpty():
-        return False
-    df.write.mode("overwrite").parquet(path)
-    return True
+def write_if_valid(df: DataFrame, path: str) -> tuple[bool, DataFrame]:
+    """Write ``df`` only when the contract holds, types included: whether it did, and the failures by check."""
+    from wearlens.operators.validation import validate
+
+    valid, failures = validate(df)
+    if valid:
+        df.write.mode("overwrite").parquet(path)
+    return valid, failures
 
 
 def append_rows(df: DataFrame, path: str) -> None:
@@ -132,11 +143,6 @@ def append_rows(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def read_rows(spark: SparkSession, path: str, schema=None) -> DataFrame:
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(path)
-
-
 def event_lines(df: DataFrame, event: str, level: str = "INFO", at: str = "ts") -> DataFrame:
     """One JSON log line per row, in the structured-log envelope."""
     body = [F.col(c) for c in df.columns if c != at]

@@ -6,6 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, functions as F
 
+from wearlens.contract import SENSORS
 from wearlens.operators.requests import accepted, check_requests, rejected, request_features
 from wearlens.operators.training import with_actions
 from wearlens.sources.files import event_lines
@@ -35,7 +36,8 @@ class RequestSink:
             told = [
                 "vehicle_id", "readings_used", "failure_probability", "recommended_action", "model_version",
             ]
-            made = out.select("ts", F.col("type").alias("machine_type"), *told)
+            raw = F.struct(*SENSORS).alias("features")  # the last reading as it came: what drift compares
+            made = out.select("ts", F.col("type").alias("machine_type"), *told, raw)
             lines = lines.unionByName(event_lines(made, "prediction_made"))
         write_batch(out, self.accepted, batch_id)
         lines.write.mode("overwrite").text(os.path.join(self.log, f"batch={batch_id}"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -29,8 +29,3 @@ def start(
 def write_batch(df: DataFrame, folder: str, batch_id: int) -> None:
     """One sub-folder per micro-batch: a batch that runs again replaces its own output."""
     df.write.mode("overwrite").parquet(os.path.join(folder, f"batch={batch_id}"))
-
-
-def batches(spark: SparkSession, folder: str, schema) -> DataFrame:
-    """All batches written to ``folder``, with their ``batch`` number."""
-    return spark.read.schema(schema).option("basePath", folder).parquet(os.path.join(folder, "batch=*"))
