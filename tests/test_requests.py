@@ -73,3 +73,37 @@ def test_features_of_the_live_window(spark):
     assert row[0].torque_nm_rollmean_w3 == pytest.approx((45.1 + 51.3 + 58.9) / 3)
     assert row[0].torque_nm_rollmean_w5 == pytest.approx((42.8 + 45.1 + 51.3 + 58.9) / 4)
     assert row[0].torque_nm_roc == pytest.approx(7.6)
+
+
+@pytest.mark.parametrize(
+    "change,expected",
+    [
+        ({"vehicle_id": 123}, {("body.vehicle_id", "string_type")}),
+        ({"vehicle_id": {"a": 1}}, {("body.vehicle_id", "string_type")}),
+        ({"vehicle_id": None}, {("body.vehicle_id", "string_type")}),
+        ({"type": 1}, {("body.type", "enum")}),
+        ({"telemetry_window": {}}, {("body.telemetry_window", "list_type")}),
+        ({"telemetry_window": [5]}, {("body.telemetry_window.0", "model_type")}),
+        ({"telemetry_window": [None]}, {("body.telemetry_window.0", "model_type")}),
+    ],
+)
+def test_json_types_are_respected(spark, change, expected):
+    body = {"vehicle_id": "v", "type": "M", "telemetry_window": [{**BASE}], **change}
+    rows = spark.createDataFrame([(1, json.dumps(body))], "request_id int, body string")
+    checked = check_requests(rows)
+    assert {(e.loc, e.type) for e in checked.first().errors} == expected
+
+
+@pytest.mark.parametrize("stamp,fine", [(1700000000, True), ("2024-01-01T00:00:00Z", True), (None, True), ("soon", False), ({}, False), ([1], False)])
+def test_recorded_at_takes_times_and_epochs(spark, stamp, fine):
+    body = {"vehicle_id": "v", "type": "M", "telemetry_window": [{**BASE, "torque_nm": "40.5", "recorded_at": stamp}]}
+    checked = check_requests(spark.createDataFrame([(1, json.dumps(body))], "request_id int, body string"))
+    assert (not checked.first().errors) == fine
+    if fine:
+        assert accepted(checked).first().telemetry_window[0].torque_nm == 40.5
+
+
+def test_one_parse_per_request(spark):
+    rows = spark.createDataFrame([(1, "{}")], "request_id int, body string")
+    plan = request_features(accepted(check_requests(rows)))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1

@@ -10,6 +10,8 @@ Slices depend on row values alone, so a retried or re-planned task reproduces th
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from wearlens.functions.search import lower_bound
@@ -20,6 +22,7 @@ from wearlens.functions.search import lower_bound
 MAX_HOT_KEYS = 16_384
 ROWS_PER_SLICE = 250_000
 SAMPLES_PER_SLICE = 16
+ONE_LEVEL = 64  # cut points of a key up to which one search is used
 
 
 def _same(a: str, b: str) -> Column:
@@ -112,14 +115,22 @@ def with_slices(df: DataFrame, keys: list[str], order: list[str], limit: float)
     if found is None:
         return df.withColumn("__slice", F.lit(None).cast("int"))
     bounds, most = found
-    return (
-        _join_small(df, bounds, keys)
-        .withColumn(
-            "__slice",
-            F.when(F.col("__bounds").isNotNull(), lower_bound(F.col("__bounds"), F.struct(*order), most)),
-        )
-        .drop("__bounds")
-    )
+    at = F.struct(*order)
+    if most <= ONE_LEVEL:
+        one = _join_small(df, bounds, keys)
+        slice_ = F.when(F.col("__bounds").isNotNull(), lower_bound(F.col("__bounds"), at, most))
+        return one.withColumn("__slice", slice_).drop("__bounds")
+    # two searches in about sqrt(most) cut points each: a row never carries all of its key's
+    step = math.isqrt(most - 1) + 1
+    coarse = F.transform(F.sequence(F.lit(0), F.size("__bounds") - 1, F.lit(step)), lambda i: F.get("__bounds", i))
+    blocks = F.posexplode(F.transform(F.sequence(F.lit(0), F.size("__bounds") - 1, F.lit(step)), lambda i: F.slice("__bounds", i + 1, step)))
+    fine = bounds.select(*keys, blocks.alias("__block", "__fine"))
+    first = _join_small(df, bounds.select(*keys, coarse.alias("__coarse")), keys)
+    first = first.withColumn("__hot", F.col("__coarse").isNotNull())
+    first = first.withColumn("__block", lower_bound(F.col("__coarse"), at, step) - 1).drop("__coarse")
+    both = _join_small(first, fine, keys, ["__block"])
+    inside = F.when(F.col("__block") < 0, 0).otherwise(F.col("__block") * step + lower_bound(F.col("__fine"), at, step))
+    return both.withColumn("__slice", F.when(F.col("__hot"), inside.cast("int"))).drop("__hot", "__block", "__fine")
 
 
 def with_halo(

@@ -20,6 +20,7 @@ MESSAGES = {
     "list_type": "Input should be a valid list",
     "model_type": "Input should be a valid dictionary",
     "datetime_parsing": "Input should be a valid datetime",
+    "datetime_type": "Input should be a valid datetime",
     "json_invalid": "JSON decode error",
 }
 
@@ -39,47 +40,59 @@ def _bound(kind: str, limit: float) -> Column:
     return F.lit(f"Input should be {words} to {limit:g}".replace("than equal", "than or equal"))
 
 
+def _kind(value: Column) -> Column:
+    """JSON type of a variant: STRING, OBJECT, ARRAY, VOID for null, NUMBER, BOOLEAN; null where absent."""
+    name = F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0)
+    return F.when(name.isin("BIGINT", "DECIMAL", "DOUBLE", "FLOAT"), "NUMBER").otherwise(name)
+
+
+def _number(value: Column) -> Column:
+    """A number, or a text that is one."""
+    return F.coalesce(F.try_variant_get(value, "$", "double"), F.try_variant_get(value, "$", "string").try_cast("double"))
+
+
 def _reading_errors(reading: Column, i: Column) -> Column:
-    """Errors of one reading, given as a map so that an absent key differs from a null one."""
-    errors = []
-    for c, (lo, hi) in SENSOR_RANGES.items():
-        loc = _at("telemetry_window", i, c)
-        x = F.try_element_at(reading, F.lit(c)).try_cast("double")
+    """Errors of one reading, a variant; its map of fields tells an absent key from a null one."""
+
+    def of(fields: Column) -> Column:
+        errors = []
+        for c, (lo, hi) in SENSOR_RANGES.items():
+            loc = _at("telemetry_window", i, c)
+            value = F.try_element_at(fields, F.lit(c))
+            kind, x = _kind(value), _number(value)
+            errors.append(
+                F.when(~F.map_contains_key(fields, c), _error(loc, "missing"))
+                .when(F.coalesce(kind, F.lit("VOID")).isin("VOID", "OBJECT", "ARRAY"), _error(loc, "float_type"))
+                .when(x.isNull(), _error(loc, "float_parsing"))
+                .when((x < lo) | F.isnan(x), _error(loc, "greater_than_equal", _bound("greater_than_equal", lo)))
+                .when(x > hi, _error(loc, "less_than_equal", _bound("less_than_equal", hi)))
+            )
+        stamp, loc = F.try_element_at(fields, F.lit("recorded_at")), _at("telemetry_window", i, "recorded_at")
+        text = F.try_variant_get(stamp, "$", "string")
         errors.append(
-            F.when(~F.map_contains_key(reading, c), _error(loc, "missing"))
-            .when(F.try_element_at(reading, F.lit(c)).isNull(), _error(loc, "float_type"))
-            .when(x.isNull(), _error(loc, "float_parsing"))
-            .when((x < lo) | F.isnan(x), _error(loc, "greater_than_equal", _bound("greater_than_equal", lo)))
-            .when(x > hi, _error(loc, "less_than_equal", _bound("less_than_equal", hi)))
+            F.when((_kind(stamp) == "STRING") & F.try_to_timestamp(text).isNull() & text.try_cast("double").isNull(), _error(loc, "datetime_parsing"))
+            .when(_kind(stamp).isin("OBJECT", "ARRAY", "BOOLEAN"), _error(loc, "datetime_type"))
         )
-    stamp = F.try_element_at(reading, F.lit("recorded_at"))
-    errors.append(
-        F.when(
-            stamp.isNotNull() & F.try_to_timestamp(stamp).isNull(),
-            _error(_at("telemetry_window", i, "recorded_at"), "datetime_parsing"),
-        )
-    )
-    found = F.filter(F.array(*errors), lambda e: e.isNotNull())
-    return F.when(reading.isNull(), F.array(_error(_at("telemetry_window", i), "model_type"))).otherwise(found)
+        return F.filter(F.array(*errors), lambda e: e.isNotNull())
+
+    fields = F.try_variant_get(reading, "$", "map<string,variant>")
+    found = F.get(F.transform(F.array(fields), of), F.lit(0))
+    return F.when(F.coalesce(_kind(reading), F.lit("VOID")) == "OBJECT", found).otherwise(F.array(_error(_at("telemetry_window", i), "model_type")))
 
 
 def check_requests(df: DataFrame, body: str = "body") -> DataFrame:
     """Parse JSON requests and add ``errors``: every violation, empty for an acceptable request.
 
-    Leaves are read as text first, so a wrong type is reported instead of nulling the record. Each
+    Values are read as variants, so that a wrong JSON type is reported as such. Each
     step passes through an explode of one element: the optimizer cannot copy a parse or the check
     into the expressions and filters that use them.
     """
     once = lambda c: F.explode(F.array(c))
-    parsed = df.withColumn("__top", once(F.from_json(body, "map<string,string>")))
+    parsed = df.withColumn("__top", once(F.from_json(body, "map<string,variant>")))
     field = {k: F.try_element_at("__top", F.lit(k)) for k in ("vehicle_id", "type", "telemetry_window")}
-    parsed = parsed.withColumns(
-        {
-            "vehicle_id": field["vehicle_id"],
-            "type": field["type"],
-            "__window": once(F.from_json(field["telemetry_window"], "array<map<string,string>>")),
-        }
-    )
+    text = lambda k: F.when(_kind(field[k]) == "STRING", F.try_variant_get(field[k], "$", "string"))
+    parsed = parsed.withColumns({"vehicle_id": text("vehicle_id"), "type": text("type")})
+    parsed = parsed.withColumn("__window", once(F.try_variant_get(field["telemetry_window"], "$", "array<variant>")))
     has = {k: F.map_contains_key("__top", k) for k in field}
     size = F.size("__window")
     top = [
@@ -108,7 +121,7 @@ def check_requests(df: DataFrame, body: str = "body") -> DataFrame:
             ),
         ),
     ]
-    readable = F.when(size.between(1, MAX_READINGS), F.col("__window")).otherwise(F.array().cast("array<map<string,string>>"))
+    readable = F.when(size.between(1, MAX_READINGS), F.col("__window")).otherwise(F.array().cast("array<variant>"))
     nested = F.flatten(F.transform(readable, lambda r, i: _reading_errors(r, i.cast("string"))))
     errors = F.when(
         F.col("__top").isNull(), F.array(_error(F.lit("body"), "json_invalid"))
@@ -133,7 +146,7 @@ def accepted(checked: DataFrame) -> DataFrame:
     """Requests without errors, their window typed: ``telemetry_window array<struct<sensors>>``."""
     typed = F.transform(
         "__window",
-        lambda r: F.struct(*[F.try_element_at(r, F.lit(c)).try_cast("double").alias(c) for c in SENSOR_RANGES]),
+        lambda r: F.struct(*[_number(F.try_variant_get(r, f"$.{c}", "variant")).alias(c) for c in SENSOR_RANGES]),
     )
     return (
         checked.filter(F.size("errors") == 0)

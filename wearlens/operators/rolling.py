@@ -71,7 +71,7 @@ def feature_parity(
     df: DataFrame, upto: int = 37, keys=STREAM_KEY, order=STREAM_ORDER, sensors=SENSORS,
     windows=DEFAULT_WINDOWS, tolerance: float = 1e-9, rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
-    """Batch features of reading ``upto`` of each key against a replay of its prefix.
+    """Batch features of reading ``upto`` of each key, or its last if it has fewer, against a replay.
 
     The replay runs the request path over an array of at most ``upto`` readings.
     """
@@ -83,7 +83,6 @@ def feature_parity(
             F.array_sort(F.collect_list(F.struct("position", F.struct(*sensors).alias("r")))).alias("__h"),
             F.max_by("unit_id", "position").alias("unit_id"),
         )
-        .filter(F.size("__h") == upto)
         .withColumn("__h", F.transform("__h", lambda h: h["r"])),
         "__h", sensors, windows,
     ).select("unit_id", *[F.col(n).alias(f"__l_{n}") for n in names])

@@ -471,7 +471,7 @@ def oracle_sql() -> dict[str, str]:
             FROM (SELECT *, first_value(type) OVER (PARTITION BY request_id ORDER BY unit_id) AS head_type,
                   {rolling_exprs('request_id', 'unit_id')} FROM passed) WHERE i = n - 1""", [*SENSORS, *names()]),
         "feature_parity": sql(CLEAN, f"""SELECT type, unit_id, 25 AS features_checked, 0 AS mismatches
-            FROM (SELECT type, unit_id, {first} AS position FROM clean) WHERE position = 37"""),
+            FROM (SELECT type, unit_id, {first} AS position, count(*) OVER (PARTITION BY type) AS n FROM clean) WHERE position = least(37, n)"""),
         "cold_start_skew": sql(CLEAN, f"""SELECT type, CAST(position AS INT) AS position, unit_id, 25 AS features, {' + '.join(
             f"CAST(abs({n} - {n.split('_rollmean_w')[0] if '_rollmean_w' in n else '0'}) > 1e-9 AS INT)" for n in names())} AS diverged
             FROM (SELECT *, {first} AS position, {rolling_exprs('type', 'tool_wear_min, unit_id')} FROM clean) WHERE position <= 5"""),
@@ -627,6 +627,10 @@ def oracle_sql() -> dict[str, str]:
     held = "FROM split WHERE split <> 'train'"
     runs = values([(str(i), f"'{n}'", str(k)) for i, (n, k) in enumerate(EXPERIMENTS)])
     out |= {
+        "validated_dataset": sql(CLEAN, f"""SELECT unit_id, type, {', '.join(SENSORS)}, machine_failure FROM clean
+            WHERE type IN ('L', 'M', 'H')""", SENSORS),
+        "registry_roundtrip": sql(CLEAN, """SELECT 'staging' AS alias, 1 AS version, count(*) AS rows, count(*) AS probabilities,
+            true AS threshold_valid FROM clean"""),
         "rf_scores": sql(SPLIT, f"SELECT split, count(*) AS rows, count(*) AS probabilities, count(*) AS tiers {held} GROUP BY 1"),
         "cv_pr_auc": "SELECT CAST(i AS INT) AS fold, true AS share_valid, CAST(NULL AS VARCHAR) AS reason FROM range(5) r(i)",
         "calibrated_scores": KINDS,

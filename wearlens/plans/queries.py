@@ -6,7 +6,7 @@ from functools import partial
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from wearlens.contract import LABEL, SENSORS, feature_names
+from wearlens.contract import LABEL, MACHINE_TYPES, SENSORS, feature_names
 from wearlens.operators import (
     audits, cleaning, drift, metrics, oplog, profiling, requests, runs, splits, validation,
     rolling as roll,
@@ -125,6 +125,16 @@ def read_raw(spark, d):
     return files.load_raw(spark, path)
 
 
+def validated_dataset(spark, d):
+    """From raw files through cleaning and the gate, types included, to the written table read back."""
+    rows = cleaning.clean(files.to_working_schema(read_raw(spark, d)))
+    path = new_folder(spark, "validated")
+    valid, failures = files.write_if_valid(rows.filter(F.col("type").isin(MACHINE_TYPES)), path)
+    if not valid:
+        raise ValueError(f"the contract failed: {failures.collect()}")
+    return files.load_cleaned(spark, path).select("unit_id", "type", *SENSORS, LABEL)
+
+
 def working_schema(spark, d):
     return files.to_working_schema(tables.raw_layout(telemetry(spark, d)))
 
@@ -337,6 +347,7 @@ def batch_queries() -> dict:
         "read_raw": read_raw,
         "working_schema": working_schema,
         "null_tripwire": null_tripwire,
+        "validated_dataset": validated_dataset,
         "training_frame": training_frame,
         "prediction_log_flat": prediction_log_flat,
         "prediction_log_window": prediction_log_window,
