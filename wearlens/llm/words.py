@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 2 << 20  # texts handled together; a longer text is handled alone
+CHUNK_BYTES = 1 << 19  # texts handled together; a longer text is handled alone
 
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 LOWER = np.arange(256, dtype=np.uint8)
