@@ -627,8 +627,9 @@ def oracle_sql() -> dict[str, str]:
     held = "FROM split WHERE split <> 'train'"
     runs = values([(str(i), f"'{n}'", str(k)) for i, (n, k) in enumerate(EXPERIMENTS)])
     out |= {
-        "validated_dataset": sql(CLEAN, f"""SELECT unit_id, type, {', '.join(SENSORS)}, machine_failure FROM clean
-            WHERE type IN ('L', 'M', 'H')""", SENSORS),
+        # the raw layout has no timestamp to be bad
+        "validated_dataset": sql(TELEMETRY, f"""SELECT unit_id, type, {', '.join(SENSORS)}, machine_failure FROM telemetry
+            WHERE torque_nm IS NOT NULL AND type IN ('L', 'M', 'H') AND {" AND ".join(OK.values())}""", SENSORS),
         "registry_roundtrip": sql(CLEAN, """SELECT 'staging' AS alias, 1 AS version, count(*) AS rows, count(*) AS probabilities,
             true AS threshold_valid FROM clean"""),
         "rf_scores": sql(SPLIT, f"SELECT split, count(*) AS rows, count(*) AS probabilities, count(*) AS tiers {held} GROUP BY 1"),
