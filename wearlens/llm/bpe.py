@@ -32,8 +32,8 @@ from wearlens.llm.store import map_arrow
 
 NONE = np.int64(1 << 40)
 LONG_PIECE = 96  # bytes from which a piece is encoded on its own
-REMEMBERED = 1_000_000  # distinct pieces a Python worker remembers before it starts anew
-BATCH_BYTES = 2 << 20
+REMEMBERED = 300_000  # distinct pieces a Python worker remembers before it starts anew
+BATCH_BYTES = 1 << 19
 
 
 def read_ranks(path: str) -> list[bytes]:

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from wearlens.llm.store import own
+from wearlens.llm.store import let, own
 
 COPYRIGHT = r"(?m)^[ \t*#/;]*(?:copyright|\(c\)|©)[^\n]*$"
 SEPARATORS = r"[\x00-\x09\x0B-\x2F\x3A-\x60\x7B-\x7F “”‘’–—…©®™•·]+"
@@ -92,7 +92,7 @@ def known_licenses(spark: SparkSession, texts=KNOWN) -> DataFrame:
 
 
 def _whole(c: Column) -> Column:
-    return F.trim(F.regexp_replace(F.translate(c, "\n", " "), " +", " "))
+    return F.trim(F.regexp_replace(c, "[ \n]+", " "))
 
 
 def _units(c: Column) -> Column:
@@ -104,9 +104,14 @@ def _units(c: Column) -> Column:
 
 def scan_licenses(docs: DataFrame, known: DataFrame) -> DataFrame:
     """doc_id, digest of the whole text, whole_licenses, licenses (arrays of ids, sorted)."""
-    rows = own(docs, "doc_id", "text").select("doc_id", canonical(F.coalesce("text", F.lit(""))).alias("c"), F.monotonically_increasing_id().alias("row"))
-    units = rows.select("doc_id", "row", F.sha2(_whole(F.col("c")), 256).alias("whole"), F.explode_outer(_units(F.col("c"))).alias("unit"))
-    units = units.withColumn("digest", F.sha2("unit", 256)).drop("unit")
+    text = F.coalesce("text", F.lit(""))
+    digests = lambda c: F.struct(
+        F.sha2(_whole(c), 256).alias("whole"), F.transform(_units(c), lambda u: F.sha2(u, 256)).alias("units")
+    )
+    # computed once per row, in a generator: the steps below must not repeat it for every unit
+    once = F.explode(F.array(let(canonical(text), digests))).alias("d")
+    rows = own(docs, "doc_id", "text").select("doc_id", F.monotonically_increasing_id().alias("row"), once)
+    units = rows.select("doc_id", "row", F.col("d.whole").alias("whole"), F.explode_outer("d.units").alias("digest"))
     hit = units.join(known, "digest", "left").select("row", "doc_id", "whole", "license", F.when(F.col("digest") == F.col("whole"), F.col("license")).alias("of_whole"))
     ids = lambda some: F.array_sort(F.collect_set(some))
     return (

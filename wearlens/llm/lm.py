@@ -93,10 +93,11 @@ def _own(texts: np.ndarray, bucket: np.ndarray, at: np.ndarray | None = None) ->
 def score(docs: DataFrame, target: str) -> DataFrame:
     """doc_id, n_tokens, target_loss, background_loss (per word) and their difference ``score``."""
     spark = docs.sparkSession
-    rows = count(own(docs, "text", target), target).toPandas()
+    rows = count(own(docs, "text", target), target).toArrow()
     table = np.zeros((2, (1 << WORD_BITS) + (1 << PAIR_BITS) + 1))
-    table[0, rows["bucket"].to_numpy(dtype=np.int64)] = rows["target"]
-    table[1, rows["bucket"].to_numpy(dtype=np.int64)] = rows["background"]
+    at = rows["bucket"].to_numpy()
+    table[0, at], table[1, at] = rows["target"].to_numpy(), rows["background"].to_numpy()
+    del rows, at
     shared = spark.sparkContext.broadcast(table.astype(np.float32) if table.max() < 1 << 24 else table)
     schema = T.StructType(
         [docs.schema["doc_id"], T.StructField("n_tokens", T.LongType())] + [T.StructField(n, T.DoubleType()) for n in ("target_loss", "background_loss", "score")]
