@@ -61,3 +61,26 @@ def test_no_target_and_no_rows(spark):
     docs = spark.createDataFrame([(1, "a b", None), (None, "a b", False), (1, "a b", None)], "doc_id long, text string, mark boolean")
     assert len({r.score for r in lm.score(docs, "mark").collect()}) == 1
     assert lm.score(docs.limit(0), "mark").count() == 0
+
+
+def test_more_words_and_pairs_than_any_fixed_table(spark, monkeypatch):
+    """A text of words seen nowhere else scores as unseen, however many other words there are; small chunks meet."""
+    monkeypatch.setattr(lm, "CHUNK_BYTES", 1 << 18, raising=False)
+    size = 3000
+    rows = [(k, " ".join(f"v{k * size + j}" for j in range(size)), k % 2 == 0) for k in range(100)] + [(k, "u1 u2 u3 u1 u2", k == 1000) for k in range(1000, 1003)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, mark boolean").repartition(6)
+    got = {r.doc_id: r for r in lm.score(docs, "mark").collect()}
+    assert len(got) == len(rows)
+    vocabulary, totals = 100 * size + 3, (50 * size + 5, 100 * size + 15)
+
+    def unseen(total, starts):
+        single = 1 / (total + vocabulary)
+        return -(math.log(lm.STRENGTH * single / (starts - 1 + lm.STRENGTH)) + (size - 1) * math.log(single)) / size
+
+    for k in range(0, 100, 2):
+        assert got[k].target_loss == pytest.approx(unseen(totals[0], 51), abs=1e-9)
+        assert got[k].background_loss == pytest.approx(unseen(totals[1], 103), abs=1e-9)
+    shared = [r for r in rows if r[0] >= 1000]
+    few = {r.doc_id: r for r in lm.score(spark.createDataFrame(shared, "doc_id long, text string, mark boolean").repartition(3), "mark").collect()}
+    for i, want in brute(shared).items():
+        assert few[i].background_loss == pytest.approx(want[1], abs=1e-9)

@@ -1,14 +1,16 @@
 """Cross-entropy difference of a target and a background n-gram model.
 
-Both are bigram models over one vocabulary: 2**18 buckets of words and 2**20 buckets of word pairs,
-by hash, so that a model has the same size whatever the corpus. The background counts all documents,
-the target those marked by a column; each is smoothed alike, a pair by its second word and a word by
-the uniform distribution. A document's score is the mean over its words of the target's loss minus
-the background's: the lower, the more the text is like the target. Its own counts are taken out of
-both models first (leave-one-out), so that target documents have no advantage.
-
-Counting is one pass; a task adds up buckets before the shuffle. The counts, at most 2**18 + 2**20
-rows, are broadcast, and scoring is a second pass without a shuffle.
+Both are bigram models over all words and word pairs of the corpus, each by its 64-bit hash, so that
+the models grow with the corpus. The background counts all documents, the target those marked by a
+column; each is smoothed alike, a pair by its second word and a word by the uniform distribution over
+the corpus' distinct words, at least 2**18 of them. A document's score is the mean over its words of
+the target's loss minus the background's: the lower, the more the text is like the target. Its own
+counts are taken out of both models first (leave-one-out), so that target documents have no advantage.
+
+Documents are dealt into chunks of about ``CHUNK_BYTES`` as they lie. A chunk's counts of each of its
+words and pairs go once to where the word or pair is added up, and the sums come back to the chunk;
+what occurs in one chunk only doesn't travel back. So a word costs a row per chunk however frequent it
+is. Three numbers go through the driver: distinct words and the words of either model.
 
 Defined results. Null or empty text has no words and null scores. A null mark is false. With no
 target document the target model is uniform. Rows that repeat are counted and scored each. Further
@@ -17,72 +19,125 @@ columns are not read.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from wearlens.llm import words as W
-from wearlens.llm.store import map_arrow, own, ship
+from wearlens.llm.store import _arrow, keep, own, ship
 
-WORD_BITS, PAIR_BITS = 18, 20
+WORD_BITS = 18  # the uniform distribution is over 2**18 words at least
 STRENGTH = 5.0  # counts that the smoothing distribution weighs
+CHUNK_BYTES = 1 << 24
+ROW_BYTES = 64  # what a row counts besides its text
+START = 0  # stands for the word before a text's first
+COUNTS = T.StructType([T.StructField(n, T.LongType()) for n in ("chunk", "key", "target", "background")])
+
+
+def chunked(docs: DataFrame, target: str) -> DataFrame:
+    """doc_id, text, marked, and chunk: neighbouring rows share one."""
+    marked = F.coalesce(F.col(target), F.lit(False)).alias("marked")
+    rows = own(docs, *dict.fromkeys(("doc_id", "text", target))).select("doc_id", "text", marked)
+    schema = T.StructType([*rows.schema.fields, T.StructField("chunk", T.LongType())])
+    names = schema.names
+
+    def run(batches):
+        first, before = TaskContext.get().partitionId() << 32, 0
+        for b in batches:
+            size = pc.fill_null(pc.binary_length(b.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64) + ROW_BYTES
+            upto = before + np.cumsum(size)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(first + (upto - size) // CHUNK_BYTES)], names)
+            before = int(upto[-1]) if len(upto) else before
+
+    ship()
+    return rows.mapInArrow(run, schema)
 
 
-def buckets(words: W.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Bucket of each word, of the word before it (the start of a text has bucket -1) and of the pair."""
-    h = words.hashes()
-    before = np.empty_like(h)
-    before[1:] = h[:-1]
-    first = words.ptr[:-1][words.counts > 0]
-    before[first] = 0
-    word = (h >> np.uint64(64 - WORD_BITS)).astype(np.int64)
-    previous = (before >> np.uint64(64 - WORD_BITS)).astype(np.int64)
-    previous[first] = -1
-    return word, previous, (W.mix(before * W.BASE + h) >> np.uint64(64 - PAIR_BITS)).astype(np.int64)
+class Occurrences:
+    """The words of a chunk's texts in order; ``runs`` holds rows and words of texts handled together."""
 
+    def __init__(self):
+        self.runs, self.rows, self.n = [], 0, 0
+        self.word, self.pair, self.mark, self.firsts, self.first_marks = [], [], [], [], []
 
-def count(docs: DataFrame, target: str) -> DataFrame:
-    """Rows (bucket, target, background): word buckets first, then pairs, last the starts of texts."""
-    pairs_at, size = 1 << WORD_BITS, (1 << WORD_BITS) + (1 << PAIR_BITS) + 1
-    schema = T.StructType([T.StructField(n, T.LongType()) for n in ("bucket", "target", "background")])
-    marked = docs.select(F.col("text"), F.coalesce(F.col(target), F.lit(False)).alias("marked"))
+    def add(self, texts: pa.Array, marked: np.ndarray) -> None:
+        for row, stop, data, offsets in W.text_chunks(texts):
+            words = W.split(data, offsets, W.ALNUM)
+            h, full = words.hashes(), words.counts > 0
+            first = words.ptr[:-1][full]
+            before = np.empty_like(h)
+            before[1:] = h[:-1]
+            before[first] = START
+            self.word.append(h)
+            self.pair.append(W.mix(before * W.BASE + h))
+            self.mark.append(marked[row:stop][words.text()])
+            self.firsts.append(first + self.n)
+            self.first_marks.append(marked[row:stop][full])
+            self.runs.append((self.n, self.n + len(h), words.text(), words.counts, marked[row:stop]))
+            self.n += len(h)
+        self.rows += len(texts)
+
+    def tally(self, pairs: bool) -> tuple[np.ndarray, ...]:
+        """Distinct pairs, or words and START; their counts in marked texts and in all; each occurrence's place."""
+        keys, marks = (self.pair, self.mark) if pairs else (self.word, self.mark + self.first_marks)
+        keys = [*keys] if pairs else [*keys, *[np.full(len(f), START, dtype=np.uint64) for f in self.firsts]]
+        if not keys:
+            return np.zeros(0, dtype=np.uint64), np.zeros((2, 0)), np.zeros(0, dtype=np.int64)
+        distinct, at = np.unique(np.concatenate(keys), return_inverse=True)
+        n = len(distinct)
+        return distinct, np.stack([np.bincount(at[np.concatenate(marks)], minlength=n), np.bincount(at, minlength=n)]), at
+
+
+def counted(chunks: DataFrame, *kinds: bool) -> DataFrame:
+    """Rows ``COUNTS``: what each chunk has of its words (a kind that is false) and pairs (true)."""
+
+    def rows(chunk: int, held: Occurrences) -> Iterator[pa.RecordBatch]:
+        for pairs in kinds:
+            keys, counts, _ = held.tally(pairs)
+            for a in range(0, len(keys), 100_000):
+                some = slice(a, a + 100_000)
+                of = np.full(len(keys[some]), chunk, dtype=np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (of, keys[some].view(np.int64), *counts[:, some])], COUNTS.names)
 
     def run(batches):
-        total = np.zeros((2, size), dtype=np.int64)
+        chunk, held = None, Occurrences()
         for b in batches:
-            mark = b.column("marked").to_numpy(zero_copy_only=False).astype(bool)
-            for row, stop, data, offsets in W.text_chunks(b.column("text")):
-                words = W.split(data, offsets, W.ALNUM)
-                word, _, pair = buckets(words)
-                of = mark[row:stop][words.text()]
-                for k, some in ((0, of), (1, slice(None))):
-                    total[k, :pairs_at] += np.bincount(word[some], minlength=pairs_at)
-                    total[k, pairs_at:-1] += np.bincount(pair[some], minlength=1 << PAIR_BITS)
-                full = words.counts > 0
-                total[:, -1] += (int((full & mark[row:stop]).sum()), int(full.sum()))
-        at = np.flatnonzero(total[1])
-        for a in range(0, len(at), 100_000):
-            some = at[a : a + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (some, total[0, some], total[1, some])], schema.names)
+            chunks, marked = b.column("chunk").to_numpy(), b.column("marked").to_numpy(zero_copy_only=False).astype(bool)
+            edges = [0, *(np.flatnonzero(np.diff(chunks)) + 1), len(chunks)]
+            for a, z in zip(edges, edges[1:]):
+                if a == z:
+                    continue
+                if chunk != chunks[a]:
+                    yield from rows(chunk, held)
+                    chunk, held = chunks[a], Occurrences()
+                held.add(b.column("text").slice(a, z - a), marked[a:z])
+        yield from rows(chunk, held)
 
     ship()
-    return marked.mapInArrow(run, schema).groupBy("bucket").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
+    return chunks.select("chunk", "text", "marked").mapInArrow(run, COUNTS)
+
+
+def sums_for_chunks(counts: DataFrame) -> DataFrame:
+    """``counts`` with the sums of all chunks; without the keys that one row alone has, whose sums it knows."""
+    same = Window.partitionBy("key")
+    sums = [F.sum(c).over(same).alias(c) for c in ("target", "background")]
+    return counts.select("chunk", "key", *sums, F.count(F.lit(1)).over(same).alias("n")).filter("n > 1").drop("n")
 
 
-def losses(counts: np.ndarray, word, previous, pair, own_word, own_previous, own_pair) -> np.ndarray:
-    """Negative log probability of each word by one model's counts, without a text's own counts."""
-    pairs_at = 1 << WORD_BITS
-    total = counts[:pairs_at].sum()
-    of_word = np.maximum(counts[word] - own_word, 0)
-    of_previous = np.maximum(counts[previous] - own_previous, 0)
-    of_pair = np.maximum(counts[pairs_at + pair] - own_pair, 0)
-    single = (of_word + 1) / (total + pairs_at)
+def losses(of_word, of_previous, of_pair, total: int, vocabulary: int) -> np.ndarray:
+    """Negative log probability of each word by one model's counts, which may lack a text's own."""
+    of_word, of_previous, of_pair = (np.maximum(x, 0) for x in (of_word, of_previous, of_pair))
+    single = (of_word + 1) / (total + vocabulary)
     return -np.log((np.minimum(of_pair, of_previous) + STRENGTH * single) / (of_previous + STRENGTH))
 
 
-def _own(texts: np.ndarray, bucket: np.ndarray, at: np.ndarray | None = None) -> np.ndarray:
-    """How often each occurrence's text has its bucket; ``at`` looks other buckets up in the same counts."""
-    keys, inverse, times = np.unique((texts << 32) + bucket, return_inverse=True, return_counts=True)
+def _own(texts: np.ndarray, place: np.ndarray, at: np.ndarray | None = None) -> np.ndarray:
+    """How often each occurrence's text has its word or pair; ``at`` looks others up in the same counts."""
+    keys, inverse, times = np.unique((texts << 32) + place, return_inverse=True, return_counts=True)
     if at is None:
         return times[inverse]
     wanted = (texts << 32) + at
@@ -90,38 +145,52 @@ def _own(texts: np.ndarray, bucket: np.ndarray, at: np.ndarray | None = None) ->
     return np.where(keys[place] == wanted, times[place], 0) if len(keys) else np.zeros(0, dtype=np.int64)
 
 
+def _with_sums(keys: np.ndarray, counts: np.ndarray, found: np.ndarray, sums: np.ndarray) -> np.ndarray:
+    """``counts`` of ``keys``, replaced by the sums of all chunks where these came."""
+    if len(keys) and len(found):
+        place = np.minimum(np.searchsorted(keys, found), len(keys) - 1)
+        hit = keys[place] == found
+        counts[:, place[hit]] = sums[:, hit]
+    return counts
+
+
 def score(docs: DataFrame, target: str) -> DataFrame:
     """doc_id, n_tokens, target_loss, background_loss (per word) and their difference ``score``."""
-    spark = docs.sparkSession
-    rows = count(own(docs, "text", target), target).toArrow()
-    table = np.zeros((2, (1 << WORD_BITS) + (1 << PAIR_BITS) + 1))
-    at = rows["bucket"].to_numpy()
-    table[0, at], table[1, at] = rows["target"].to_numpy(), rows["background"].to_numpy()
-    del rows, at
-    shared = spark.sparkContext.broadcast(table.astype(np.float32) if table.max() < 1 << 24 else table)
+    chunks = keep(chunked(docs, target), "chunks")
+    vocabulary = counted(chunks, False).groupBy("key").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
+    size, *totals = vocabulary.filter(F.col("key") != START).agg(F.count(F.lit(1)), F.coalesce(F.sum("target"), F.lit(0)), F.coalesce(F.sum("background"), F.lit(0))).first()
+    size = max(size, 1 << WORD_BITS)
     schema = T.StructType(
         [docs.schema["doc_id"], T.StructField("n_tokens", T.LongType())] + [T.StructField(n, T.DoubleType()) for n in ("target_loss", "background_loss", "score")]
     )
-
-    def batch(b: pa.RecordBatch):
-        counts = shared.value
-        mark = b.column(2).to_numpy(zero_copy_only=False).astype(bool)
-        for row, stop, data, offsets in W.text_chunks(b.column("text")):
-            words = W.split(data, offsets, W.ALNUM)
-            word, previous, pair = buckets(words)
-            texts, sizes = words.text(), words.counts
-            own_word, own_pair = _own(texts, word), _own(texts, pair)
-            own_previous = np.where(previous < 0, 1, _own(texts, word, previous))
-            mine = mark[row:stop][texts]
-            sums = []
+    to = pa.schema([(f.name, _arrow(f.dataType)) for f in schema.fields])
+
+    def of_chunk(rows: pa.Table, found: pa.Table) -> pa.Table:
+        held = Occurrences()
+        held.add(rows["text"].combine_chunks(), rows["marked"].to_numpy().astype(bool))
+        known, sums = found["key"].to_numpy().view(np.uint64), np.stack([found[c].to_numpy() for c in ("target", "background")])
+        words, of_words, word = held.tally(False)
+        of_words = _with_sums(words, of_words, known, sums)
+        pairs, of_pairs, pair = held.tally(True)
+        of_pairs = _with_sums(pairs, of_pairs, known, sums)
+        word = word[: held.n]
+        previous = np.empty_like(word)
+        previous[1:] = word[:-1]
+        previous[np.concatenate([*held.firsts, np.zeros(0, dtype=np.int64)])] = -1
+        start = int(np.searchsorted(words, START))
+        out = []
+        for a, z, texts, sizes, marked in held.runs:
+            w, v, p = word[a:z], previous[a:z], pair[a:z]
+            mine, before = marked[texts], np.where(v < 0, start, v)
+            own_word, own_pair, own_previous = _own(texts, w), _own(texts, p), np.where(v < 0, 1, _own(texts, w, v))
+            per = []
             for k, takes in ((0, mine), (1, np.ones(len(texts), dtype=bool))):
-                each = losses(counts[k], word, previous, pair, own_word * takes, own_previous * takes, own_pair * takes)
-                sums.append(np.bincount(texts, weights=each, minlength=stop - row))
-            none = sizes == 0
-            per = [s / np.maximum(sizes, 1) for s in sums]
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id").slice(row, stop - row), pa.array(sizes, pa.int64()), *[pa.array(x, mask=none) for x in (*per, per[0] - per[1])]], schema.names
-            )
-
-    prepared = docs.select(F.col("doc_id"), F.col("text"), F.coalesce(F.col(target), F.lit(False)).alias("__marked"))
-    return map_arrow(prepared, ["doc_id", "text", "__marked"], schema, batch)
+                each = losses(of_words[k][w] - own_word * takes, of_words[k][before] - own_previous * takes, of_pairs[k][p] - own_pair * takes, totals[k], size)
+                per.append(np.bincount(texts, weights=each, minlength=len(sizes)) / np.maximum(sizes, 1))
+            out.append((sizes, *per, per[0] - per[1]))
+        sizes, *values = (np.concatenate(x) for x in zip(*out))
+        return pa.table([rows["doc_id"], pa.array(sizes, pa.int64()), *[pa.array(x, mask=sizes == 0) for x in values]], names=to.names).cast(to)
+
+    sums = sums_for_chunks(counted(chunks, False, True))
+    ship()
+    return chunks.groupBy("chunk").cogroup(sums.groupBy("chunk")).applyInArrow(of_chunk, schema)
