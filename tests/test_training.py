@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from wearlens.contract import SENSORS
 from wearlens.operators import audits, training
 from wearlens.operators.cleaning import action_tier
+from wearlens.plans import models
 
 SMALL = training.Config("small", trees=15, depth=5, rolling=False)
 
@@ -72,6 +73,29 @@ def test_cross_validation_and_calibration(table):
         assert set(effect) == {"calibrated", "uncalibrated"} and effect["calibrated"] < 0.15
 
 
+def test_bounded_fits_score_all_rows_held_out(table, monkeypatch):
+    fitted, fit = [], training.fit
+    monkeypatch.setattr(training, "fit", lambda df, *more, **named: fitted.append(df.count()) or fit(df, *more, **named))
+    folds = training.cross_validated(table, SMALL, folds=3, fit_rows=100).collect()
+    assert sum(r.rows for r in folds) == 450 and min(r.rows for r in folds) > 140 and fitted == [100] * 3
+    effect = training.calibration_effect(table, SMALL, folds=2, fit_rows=100).collect()
+    assert {r.kind: r.rows for r in effect} == {"calibrated": 90, "uncalibrated": 90} and max(fitted) == 100
+
+
+def test_model_queries_hold_out_from_the_whole_table(spark, table, monkeypatch):
+    seen = []
+    monkeypatch.setattr(models, "cleaned", lambda *_: None)
+    monkeypatch.setattr(models.training, "feature_table", lambda _: table)
+    monkeypatch.setattr(models, "FIT_ROWS", 120)
+    monkeypatch.setattr(models, "DEFAULT", SMALL)
+    for name in ("cross_validated", "calibration_effect"):
+        call = getattr(training, name)
+        monkeypatch.setattr(training, name, lambda df, *more, call=call, **named: seen.append(df.count()) or call(df, *more, **named))
+    assert models.cv_pr_auc(spark, "").count() == 5
+    assert models.calibrated_scores(spark, "").count() == 2
+    assert seen == [450, 450]
+
+
 def test_one_class_fold_is_refused(table):
     few = table.filter("label = 0").unionByName(table.filter("label = 1").limit(2))
     with pytest.raises(ValueError, match="one class"):

@@ -220,31 +220,47 @@ def fit_calibrated(
 
 def cross_validated(
     df: DataFrame, config: Config, folds: int = 5, numeric: list[str] | None = None, seed: int = SEED,
-    parallelism: int = 4,
+    parallelism: int = 4, fit_rows: int | None = None,
 ) -> DataFrame:
-    """``fold, pr_auc, reason``: the whole pipeline is refitted inside each fold."""
+    """``fold, rows, pr_auc, reason``: the whole pipeline is refitted inside each fold.
+
+    ``fit_rows`` bounds the rows of a fold's fit by a hash of their id; all held-out rows are scored.
+    """
     parted, counts = _folds(df, folds, seed)
 
     def held_out(i: int) -> DataFrame:
-        model = fit(parted.filter(F.col("fold") != i), config, numeric, seed, _others(counts, i))
+        others = parted.filter(F.col("fold") != i)
+        if fit_rows is None:
+            model = fit(others, config, numeric, seed, _others(counts, i))
+        else:
+            model = fit(materialize(reference_sample(others, fit_rows, seed=seed), "fitted"), config, numeric, seed)
         return score(model, parted.filter(F.col("fold") == i)).select("fold", "label", "score")
 
     parts = together(df.sparkSession, [partial(held_out, i) for i in range(folds)], parallelism)
-    return ranking_metrics(reduce(DataFrame.unionByName, parts), ["fold"]).select("fold", "pr_auc", "reason")
+    scored = materialize(reduce(DataFrame.unionByName, parts), "scores")
+    rows = scored.groupBy("fold").agg(F.count(F.lit(1)).alias("rows"))
+    return ranking_metrics(scored, ["fold"]).join(rows, "fold").select("fold", "rows", "pr_auc", "reason")
 
 
 def cv_summary(per_fold: DataFrame) -> DataFrame:
     return per_fold.agg(F.avg("pr_auc").alias("mean"), F.stddev_pop("pr_auc").alias("std"), F.count("pr_auc").alias("folds"))
 
 
-def calibration_effect(df: DataFrame, config: Config, folds: int = 5, numeric=None, seed: int = SEED) -> DataFrame:
-    """``kind, brier_score`` on the test split, without and with calibration."""
+def calibration_effect(
+    df: DataFrame, config: Config, folds: int = 5, numeric=None, seed: int = SEED, fit_rows: int | None = None
+) -> DataFrame:
+    """``kind, rows, brier_score`` on the whole test split, without and with calibration.
+
+    ``fit_rows`` bounds the training rows by a hash of their id.
+    """
     split = materialize(stratified_split(df, seed=seed), "split")
     train, test = split.filter("split = 'train'"), split.filter("split = 'test'")
+    if fit_rows is not None:
+        train = materialize(reference_sample(train, fit_rows, seed=seed), "fitted")
     plain = score(fit(train, config, numeric, seed), test).select("label", "score", F.lit("uncalibrated").alias("kind"))
     model = fit_calibrated(train, config, folds, numeric, seed)
     mapped = model.score(test).select("label", "score", F.lit("calibrated").alias("kind"))
-    return plain.unionByName(mapped).groupBy("kind").agg(brier().alias("brier_score"))
+    return plain.unionByName(mapped).groupBy("kind").agg(F.count(F.lit(1)).alias("rows"), brier().alias("brier_score"))
 
 
 def feature_table(df: DataFrame, windows=DEFAULT_WINDOWS) -> DataFrame:
