@@ -29,3 +29,14 @@ def test_nulls_repeated_rows_and_long_texts(spark, documents):
     assert got == [("1", [], []), ("2", [], []), ("3", [], []), ("3", ["reserved"], ["reserved"]), ("3", ["reserved"], ["reserved"]), ("None", [], ["MIT"])]
     assert scan(spark, documents()) == []
     assert "Python" not in licenses.scan_licenses(documents((1, "x")), licenses.known_licenses(spark))._jdf.queryExecution().optimizedPlan().toString().split("LogicalRDD")[0]
+
+
+def test_full_texts_alone_and_inside_documents(spark, documents):
+    texts = licenses.full_texts()
+    mit = next(t for i, t in licenses.KNOWN if i == "MIT")
+    inside = "A note before.\n\n" + mit.replace("License\n\n", "License\n\nCopyright (c) 2020 Someone\n\n", 1) + "\n\nand one after."
+    gpl = "x\n\n" + dict(texts)["GPL-3.0"] + "\n\ny"
+    rows = {r.doc_id: r for r in scan(spark, documents((100, inside), (101, gpl), (102, inside.replace("free of charge", "at a price")), *[(k, t) for k, (_, t) in enumerate(texts)]))}
+    assert {i for i, _ in texts} >= {"Apache-2.0", "GPL-3.0", "MPL-2.0", "BSD-2-Clause", "BSD-3-Clause"}
+    assert all(i in rows[k].whole_licenses for k, (i, _) in enumerate(texts))
+    assert "MIT" in rows[100].licenses and "GPL-3.0" in rows[101].licenses and "MIT" not in rows[102].licenses

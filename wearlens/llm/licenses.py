@@ -3,9 +3,11 @@
 A text becomes canonical: lower case; copyright lines dropped; equivalent spellings made one;
 punctuation and white space between words reduced to one space. The SHA-256 of a canonical text is
 joined with those of the known licence texts. Looked up are the whole text, its paragraphs (blocks
-between blank lines) and its lines, each as an entire text.
+between blank lines) and its lines, each as an entire text; also runs of consecutive paragraphs that
+begin with the first paragraph of a known text and have as many.
 
-The known texts are a table given by the caller; Spark joins it by its size.
+The known texts are a table given by the caller; Spark joins it by its size. Here they are ``KNOWN``
+and the full texts in the folder ``license_texts``, named by licence.
 
 Defined results. Null or empty text has nothing to look up. Every row of the input gives one row,
 repeated rows too. A unit that several known texts share lists all their ids. Further columns are
@@ -14,6 +16,8 @@ not read.
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wearlens.llm.store import let, own
@@ -85,16 +89,39 @@ def canonical(text: Column) -> Column:
     return c
 
 
-def known_licenses(spark: SparkSession, texts=KNOWN) -> DataFrame:
-    """Rows (license, digest), distinct."""
-    given = spark.createDataFrame(list(texts), "license string, text string").withColumn("canonical", canonical(F.col("text")))
-    return given.select("license", F.sha2(_whole(F.col("canonical")), 256).alias("digest")).distinct()
+def full_texts() -> list[tuple[str, str]]:
+    """(license, text) of the files in ``license_texts``; <license>.<variant>.txt are further texts of one."""
+    files = sorted((Path(__file__).parent / "license_texts").glob("*.txt"))
+    return [(f.stem.removesuffix(".regents"), f.read_text(encoding="utf-8")) for f in files]
+
+
+def known_licenses(spark: SparkSession, texts=None) -> DataFrame:
+    """Rows (license, digest, first, n), distinct: ``first`` is the digest of the first of ``n`` paragraphs."""
+    texts = [*KNOWN, *full_texts()] if texts is None else list(texts)
+    given = spark.createDataFrame(texts, "license string, text string").select("license", canonical(F.col("text")).alias("c"))
+    parts = given.withColumn("p", _paragraphs(F.col("c")))
+    return parts.select("license", F.sha2(_whole(F.col("c")), 256).alias("digest"), F.sha2(F.get("p", F.lit(0)), 256).alias("first"), F.size("p").alias("n")).distinct()
 
 
 def _whole(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, "[ \n]+", " "))
 
 
+def _paragraphs(c: Column) -> Column:
+    return F.array_remove(F.transform(F.split(c, r"\n *\n"), _whole), "")
+
+
+def _run_digests(paragraphs: Column, digests: Column, starts: list[tuple[str, int]]) -> Column:
+    """Digests of the runs of ``n`` paragraphs whose first has the digest ``first``, for each of ``starts``."""
+    given = F.array(*[F.struct(F.lit(first).alias("first"), F.lit(n).alias("n")) for first, n in starts])
+
+    def at(digest: Column, i: Column) -> Column:
+        begun = F.filter(given, lambda s: (s["first"] == digest) & (i + s["n"] <= F.size(paragraphs)))
+        return F.transform(begun, lambda s: F.sha2(F.array_join(F.slice(paragraphs, i + 1, s["n"]), " "), 256))
+
+    return F.flatten(F.transform(digests, at))
+
+
 def _units(c: Column) -> Column:
     """The whole text, its paragraphs and its lines, each canonical, distinct and not empty."""
     lines = F.transform(F.split(c, "\n"), lambda x: F.trim(x))
@@ -105,14 +132,20 @@ def _units(c: Column) -> Column:
 def scan_licenses(docs: DataFrame, known: DataFrame) -> DataFrame:
     """doc_id, digest of the whole text, whole_licenses, licenses (arrays of ids, sorted)."""
     text = F.coalesce("text", F.lit(""))
-    digests = lambda c: F.struct(
-        F.sha2(_whole(c), 256).alias("whole"), F.transform(_units(c), lambda u: F.sha2(u, 256)).alias("units")
-    )
+    starts = [(r["first"], r["n"]) for r in known.filter("n > 1").select("first", "n").distinct().collect()]  # as many as known texts
+
+    def runs(c: Column) -> Column:
+        return let(_paragraphs(c), lambda p: let(F.transform(p, lambda x: F.sha2(x, 256)), lambda h: _run_digests(p, h, starts)))
+
+    def digests(c: Column) -> Column:
+        units = F.transform(_units(c), lambda u: F.sha2(u, 256))
+        return F.struct(F.sha2(_whole(c), 256).alias("whole"), (F.array_union(units, runs(c)) if starts else units).alias("units"))
+
     # computed once per row, in a generator: the steps below must not repeat it for every unit
     once = F.explode(F.array(let(canonical(text), digests))).alias("d")
     rows = own(docs, "doc_id", "text").select("doc_id", F.monotonically_increasing_id().alias("row"), once)
     units = rows.select("doc_id", "row", F.col("d.whole").alias("whole"), F.explode_outer("d.units").alias("digest"))
-    hit = units.join(known, "digest", "left").select("row", "doc_id", "whole", "license", F.when(F.col("digest") == F.col("whole"), F.col("license")).alias("of_whole"))
+    hit = units.join(known.select("license", "digest").distinct(), "digest", "left").select("row", "doc_id", "whole", "license", F.when(F.col("digest") == F.col("whole"), F.col("license")).alias("of_whole"))
     ids = lambda some: F.array_sort(F.collect_set(some))
     return (
         hit.groupBy("row", "doc_id", "whole")
