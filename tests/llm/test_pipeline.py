@@ -81,3 +81,12 @@ def test_empty_tables(spark, documents, tmp_path):
 def test_every_operator_has_one_query():
     names = queries.all_queries()
     assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+
+
+def test_ids_that_doubles_merge_keep_their_own_flags(spark):
+    from wearlens.llm.store import id_blocks, with_flags
+
+    ids = [base + k for base in (0, -130, (1 << 53) + 7, (1 << 62) + 1) for k in range(0, 1920, 64)]
+    docs = spark.createDataFrame([(i, k % 3 == 0) for k, i in enumerate(ids)] + [(None, True)], "doc_id long, want boolean")
+    got = with_flags(docs, id_blocks(docs.filter("want").withColumnRenamed("want", "hit"), "hit"), "hit").collect()
+    assert len(got) == len(ids) + 1 and all(r.hit == (r.want and r.doc_id is not None) for r in got)

@@ -23,7 +23,7 @@ from itertools import product
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from wearlens.llm.store import BLOCK, keep, let, own, with_flags
+from wearlens.llm.store import BLOCK, BLOCK_OF, keep, let, own, with_flags
 
 MARK = "__secret_"  # begins the columns that scan adds
 MOST_STRINGS = 64  # a literal part of a regex with more spellings than this is not expanded
@@ -121,7 +121,7 @@ def build_index(docs: DataFrame, trigrams: list[str]) -> DataFrame:
     present = let(F.lower("text"), lambda t: F.filter(F.array(*map(F.lit, trigrams)), lambda g: F.contains(t, g)))
     bit = F.expr(f"shiftleft(1L, cast(pmod(doc_id, {BLOCK}) as int))")
     rows = own(docs, "doc_id", "text").filter("doc_id is not null")
-    rows = rows.select(F.expr(f"floor(doc_id / {BLOCK})").alias("__block"), bit.alias("bit"), F.explode(present).alias("trigram"))
+    rows = rows.select(F.expr(BLOCK_OF).alias("__block"), bit.alias("bit"), F.explode(present).alias("trigram"))
     return rows.groupBy("trigram", "__block").agg(F.bit_or("bit").alias("bits"))
 
 

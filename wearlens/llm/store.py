@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from wearlens.session import shared_folder
 
 BLOCK = 64  # ids that share one bitmap
+BLOCK_OF = "shiftright(cast(doc_id as bigint), 6)"  # in integers: doubles lose ids above 2**53
 
 
 def ship() -> None:
@@ -80,13 +81,13 @@ def id_blocks(ids: DataFrame, *flags: str) -> DataFrame:
     while small, so that the documents need no shuffle, by hash otherwise.
     """
     bit = F.expr(f"shiftleft(1L, cast(pmod(doc_id, {BLOCK}) as int))")
-    blocks = ids.filter("doc_id is not null").groupBy(F.expr(f"floor(doc_id / {BLOCK})").alias("__block"))
+    blocks = ids.filter("doc_id is not null").groupBy(F.expr(BLOCK_OF).alias("__block"))
     return keep(blocks.agg(*[F.bit_or(F.when(F.col(f), bit).otherwise(F.lit(0).cast("long"))).alias(f"__{f}") for f in flags]), "id-blocks")
 
 
 def with_flags(df: DataFrame, blocks: DataFrame, *flags: str) -> DataFrame:
     """``df`` with a boolean column per flag of ``id_blocks``; false for ids outside it and for null ids."""
-    joined = df.withColumn("__block", F.expr(f"floor(doc_id / {BLOCK})")).join(blocks, "__block", "left")
+    joined = df.withColumn("__block", F.expr(BLOCK_OF)).join(blocks, "__block", "left")
     for f in flags:
         hit = F.expr(f"getbit(`__{f}`, cast(pmod(doc_id, {BLOCK}) as int)) = 1")
         joined = joined.withColumn(f, F.coalesce(hit, F.lit(False)))
