@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from wearlens.llm import bpe, chat, decontam, licenses, lm, near_dedup, outliers, repeated_spans, secret_scan, toxicity
+from wearlens.llm import bpe, chat, decontam, licenses, lm, near_dedup, outliers, periodic, repeated_spans, secret_scan, toxicity
 from wearlens.llm.store import id_blocks, with_flags
 
 
@@ -88,6 +88,30 @@ def op10_robust_outliers(spark, d):
     return outliers.judge(_table(spark, d, "documents")).select(*names)
 
 
+def with_periodic_tails(docs):
+    """The contract's documents: with crc32 h of the decimal doc_id, one in ten has its words from a on repeated with period p."""
+    h = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(1))
+    words = F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), "")
+    hit = docs.select("doc_id", "text", h.alias("h"), F.floor(h / 10).alias("g"), F.when(h % 10 == 0, words).alias("words"))
+    hit = hit.withColumn("n", F.size("words")).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.greatest("n", F.lit(1))))
+    hit = hit.withColumn("p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)))
+    tail = F.transform("words", lambda w, i: F.when(i < F.col("a"), w).otherwise(F.get("words", (F.col("a") + (i - F.col("a")) % F.col("p")).cast("int"))))
+    return hit.select("doc_id", F.when(F.col("n") > 0, F.array_join(tail, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark, d):
+    found = periodic.collapse_runs(with_periodic_tails(_table(spark, d, "documents")))
+    # the greatest (length, -start, -period) is the longest run, of those the first, of those the one of least period
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    row = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"), F.sha2(lines, 256).alias("runs_sha256"), F.sha2(F.coalesce("collapsed", F.lit("")), 256).alias("collapsed_sha256"))
+    start, length, period = -F.col("best.start"), F.col("best.length"), -F.col("best.period")
+    return row.select(
+        "doc_id", "n_runs", start.alias("start"), length.alias("length"), period.alias("period"),
+        F.expr("1000 * best.length div -best.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256",
+    )
+
+
 def all_queries() -> dict:
     return {
         "op1_preference_pairs": op1_preference_pairs,
@@ -100,4 +124,5 @@ def all_queries() -> dict:
         "op8_byte_bpe": op8_byte_bpe,
         "op9_repeated_spans": op9_repeated_spans,
         "op10_robust_outliers": op10_robust_outliers,
+        "op11_periodic_runs": op11_periodic_runs,
     }

@@ -51,16 +51,21 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 def map_arrow(
     df: DataFrame, columns: list[str], schema: T.StructType, batch: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]
 ) -> DataFrame:
-    """Apply ``batch`` to every Arrow batch of the named columns."""
+    """Apply ``batch`` to every Arrow batch of the named columns, in that order; a name may come twice.
+
+    Spark sees numbered columns only, so that names with dots or a step's own names do no harm.
+    """
     ship()
-    target = pa.schema([(f.name, _arrow(f.dataType)) for f in schema.fields])
+    target = pa.schema([(f"o{i}", _arrow(f.dataType)) for i, f in enumerate(schema.fields)])
 
     def run(batches):
         for b in batches:
-            for out in batch(b):
-                yield out.cast(target)
+            for out in batch(pa.RecordBatch.from_arrays(b.columns, columns)):
+                yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(out.columns, target)], schema=target)
 
-    return df.select(*columns).mapInArrow(run, schema)
+    numbered = T.StructType([T.StructField(f"o{i}", f.dataType) for i, f in enumerate(schema.fields)])
+    given = df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)])
+    return given.mapInArrow(run, numbered).toDF(*schema.names)
 
 
 def _arrow(kind: T.DataType) -> pa.DataType:
