@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from wearlens.llm import bpe, chat, decontam, licenses, lm, near_dedup, outliers, periodic, repeated_spans, secret_scan, toxicity
-from wearlens.llm.store import id_blocks, with_flags
+from wearlens.llm import ball_kmeans, bpe, chat, decontam, licenses, lm, near_dedup, outliers, periodic, repeated_spans, secret_scan, toxicity
+from wearlens.llm.store import id_blocks, keep, with_flags
 
 
 def _table(spark, d, name):
@@ -112,6 +112,15 @@ def op11_periodic_runs(spark, d):
     )
 
 
+def op13_vector_codes(spark, d):
+    rows, books = ball_kmeans.encode(_table(spark, d, "embeddings"))
+    hexed = F.array_join(F.transform("code", lambda k: F.lpad(F.lower(F.hex(k)), 2, "0")), "")
+    rows = keep(rows.select("vec_id", "label", F.when(F.col("code").isNotNull(), hexed).alias("code"), "error"), "coded")
+    sums = rows.groupBy(F.col("label").alias("same")).agg(F.sum("error").alias("label_error"))
+    found = rows.join(sums, F.col("label").eqNullSafe(F.col("same")), "left")
+    return found.select("vec_id", "code", "error", "label_error", F.lit(ball_kmeans.digest(books)).alias("codebooks_sha256"))
+
+
 def all_queries() -> dict:
     return {
         "op1_preference_pairs": op1_preference_pairs,
@@ -125,4 +134,5 @@ def all_queries() -> dict:
         "op9_repeated_spans": op9_repeated_spans,
         "op10_robust_outliers": op10_robust_outliers,
         "op11_periodic_runs": op11_periodic_runs,
+        "op13_vector_codes": op13_vector_codes,
     }
