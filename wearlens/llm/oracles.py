@@ -207,6 +207,27 @@ from own left join hit using (row) group by row, doc_id, own.digest
 """
 
 
+def _op13() -> str:
+    parts = []
+    kept = """kept AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+numbered AS MATERIALIZED (SELECT *, row_number() OVER () AS r FROM kept),
+pieces AS MATERIALIZED (SELECT r, p, v[p * (len(v) // 4) + 1 : (p + 1) * (len(v) // 4)] AS x FROM numbered, range(4) t(p)),
+starts AS (SELECT r, row_number() OVER (ORDER BY vec_id NULLS LAST, v) - 1 AS e FROM numbered QUALIFY e < 256),
+book0 AS MATERIALIZED (SELECT p, e, x AS c FROM starts JOIN pieces USING (r))"""
+    for k in range(5):
+        parts.append(f"""near{k} AS MATERIALIZED (SELECT r, p, any_value(x) AS x, min((d, e)) AS m FROM
+  (SELECT r, s.p, x, e, list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d FROM pieces s JOIN book{k} b ON s.p = b.p) GROUP BY r, p)""")
+        if k < 4:
+            parts.append(f"""book{k + 1} AS MATERIALIZED (SELECT p, e, coalesce(n, c) AS c FROM book{k} LEFT JOIN
+  (SELECT p, e, list(((s - ((s % m) + m) % m) // m)::BIGINT ORDER BY i) AS n FROM
+    (SELECT p, m[2] AS e, i, sum(x[i + 1])::BIGINT AS s, count(*) AS m FROM near{k}, range(1024) t(i) WHERE i < len(x) GROUP BY ALL) GROUP BY p, e) USING (p, e))""")
+    return "WITH " + kept + ",\n" + ",\n".join(parts) + """,
+coded AS (SELECT r, string_agg(printf('%02x', m[2]), '' ORDER BY p) AS code, sum(m[1])::BIGINT AS error FROM near4 GROUP BY r),
+digest AS (SELECT sha256(coalesce(string_agg(array_to_string(c, ','), ',' ORDER BY p, e), '')) AS codebooks_sha256 FROM book4)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM coded JOIN numbered USING (r), digest"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_preference_pairs": OP1,
@@ -215,4 +236,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_near_dedup": OP6,
         "op7_license_scan": _op7(),
         "op10_robust_outliers": _op10(),
+        "op13_vector_codes": _op13(),
     }
