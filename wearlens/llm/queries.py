@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from wearlens.llm import ball_kmeans, bpe, chat, decontam, licenses, lm, near_dedup, outliers, periodic, repeated_spans, secret_scan, toxicity
+from wearlens.llm import ball_kmeans, bpe, chat, decontam, licenses, lm, near_dedup, outliers, periodic, repeated_spans, secret_scan, suffix_dedup, toxicity
 from wearlens.llm.store import id_blocks, keep, with_flags
 
 
@@ -112,6 +112,11 @@ def op11_periodic_runs(spark, d):
     )
 
 
+def op12_suffix_dedup(spark, d):
+    found = suffix_dedup.drop_repeats(_table(spark, d, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op13_vector_codes(spark, d):
     rows, books = ball_kmeans.encode(_table(spark, d, "embeddings"))
     hexed = F.array_join(F.transform("code", lambda k: F.lpad(F.lower(F.hex(k)), 2, "0")), "")
@@ -134,5 +139,6 @@ def all_queries() -> dict:
         "op9_repeated_spans": op9_repeated_spans,
         "op10_robust_outliers": op10_robust_outliers,
         "op11_periodic_runs": op11_periodic_runs,
+        "op12_suffix_dedup": op12_suffix_dedup,
         "op13_vector_codes": op13_vector_codes,
     }
