@@ -57,10 +57,13 @@ def test_nan_is_missing(spark):
     assert [r.t for r in df.select("unit_id", cleaning.action_tier("x").alias("t")).orderBy("unit_id").collect()] == [None, "urgent_alert", None]
 
 
-def test_log_lines_need_every_feature(spark):
+def test_log_lines_need_a_feature_but_not_every_one(spark):
     whole = ", ".join(f'"{c}": 1' for c in SENSORS)
-    lines = [f'{{"event": "prediction_made", "features": {{{f}}}}}' for f in (whole, "", whole.split(", ")[0])]
-    assert files.prediction_log(spark.createDataFrame([(x,) for x in lines], "value string")).count() == 1
+    null = whole.replace(": 1", ": null")
+    lines = [f'{{"event": "prediction_made", "features": {f}}}' for f in (f"{{{whole}}}", "{}", "null", f"{{{null}}}", f"{{{whole.split(', ')[0]}}}")]
+    lines.append('{"event": "prediction_made"}')
+    rows = files.prediction_log(spark.createDataFrame([(x,) for x in lines], "value string")).collect()
+    assert sorted(sum(r[c] is not None for c in SENSORS) for r in rows) == [0, 1, len(SENSORS)]
 
 
 def test_raw_files_with_other_spellings_and_headers(spark, tmp_path):

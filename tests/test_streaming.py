@@ -9,6 +9,7 @@ from tests.test_requests import body
 from tests.test_rolling import by_id, stream_like
 from wearlens.contract import SENSORS, feature_names
 from wearlens.operators import oplog
+from wearlens.operators.drift import drift_summary
 from wearlens.operators.rolling import rolling_features
 from wearlens.streaming.requests import RequestSink
 from wearlens.streaming.rolling import RollingSink, keyed_rolling
@@ -116,13 +117,40 @@ def test_trailing_drift_forgets_old_rows(spark, tmp_path):
             F.timestamp_seconds(F.lit(1_767_225_600 + day * 86_400) + F.col("id")).alias("ts"),
         )
 
-    sink = DriftSink(str(tmp_path / "out"), part(0, 0.0), 24 * 60)
+    sink = DriftSink(str(tmp_path / "out"), part(0, 0.0), 1)
     feed(spark, tmp_path, [part(1, 0.0), part(5, 500.0), part(9, 0.0)], sink)
     rows = spark.read.parquet(sink.summaries).orderBy("as_of").collect()
     assert [r.drift_detected for r in rows] == [False, True, False]
     assert all(r.current_window_size == 200 for r in rows)
 
 
+def test_trailing_drift_adds_days_and_reads_no_more_with_more_batches(spark, tmp_path):
+    def part(day, k):
+        return spark.range(40).select(
+            *[((F.col("id") + k) % 50).cast("double").alias(c) for c in SENSORS], F.lit("LMH"[k % 3]).alias("type"), (F.col("id") / 40).alias("prediction"),
+            F.timestamp_seconds(F.lit(1_767_225_600 + day * 86_400 + k) + F.col("id")).alias("ts"),
+        )
+
+    sink = DriftSink(str(tmp_path / "out"), part(0, 0), 2)
+    parts = [part(1 + k // 5, k) for k in range(15)]
+    read = []
+    for k, p in enumerate(parts):
+        sink(p, k)
+        if k == 7:
+            sink(p, k)  # again, as after a lost driver
+        read.append(sink.counts(spark, {d: max(b) for d, b in sink.versions(spark).items() if d >= "2026-01-03"}).count())
+    rows = spark.read.parquet(sink.summaries).orderBy("batch").collect()
+    for k in (4, 7, 14):
+        window = [p for d, p in ((1 + j // 5, parts[j]) for j in range(k + 1)) if 1 + k // 5 - 2 < d]
+        whole = window[0]
+        for p in window[1:]:
+            whole = whole.unionByName(p)
+        want = drift_summary(part(0, 0), whole).first()
+        assert (rows[k].current_window_size, round(rows[k].drift_score, 9)) == (want.current_window_size, round(want.drift_score, 9))
+        assert {c: round(v, 9) for c, v in rows[k].per_column_drift.items()} == {c: round(v, 9) for c, v in want.per_column_drift.items()}
+    assert read[-1] <= 2 * (6 * 50 + 3) and all(len(b) <= 2 for b in sink.versions(spark).values())
+
+
 def test_processor_loads_where_the_package_is_not_installed(spark, tmp_path):
     import subprocess
     import sys

@@ -61,7 +61,10 @@ def numeric_drift(
     counts = _sides(reference, current, lambda d: unpivot_numeric(d, columns, groups), groups)
     # every column has at most the rows of its group: count those instead of the distinct values
     rows = reference.select(*groups, F.lit(0).alias("__all")).unionByName(current.select(*groups, F.lit(0).alias("__all")))
-    limit = slice_limit(rows, [*groups, "__all"], rows_per_slice, copies=len(columns))
+    return _numeric_scores(counts, groups, slice_limit(rows, [*groups, "__all"], rows_per_slice, copies=len(columns)))
+
+
+def _numeric_scores(counts: DataFrame, groups: list[str], limit: float | None) -> DataFrame:
     counts = counts.withColumn("__weighted", F.col("value") * F.col("ref"))
     run = running_totals(counts, [*groups, "column"], "value", ["ref", "cur", "__weighted"], limit=limit)
     # a side without values has no share: the scores are null
@@ -91,8 +94,11 @@ def categorical_drift(
 ) -> DataFrame:
     """Jensen-Shannon distance, natural logarithm."""
     groups = list(groups)
+    return _categorical_scores(_sides(reference, current, lambda d: _categories(d, columns, groups), groups), groups)
+
+
+def _categorical_scores(counts: DataFrame, groups: list[str]) -> DataFrame:
     keys = [*groups, "column"]
-    counts = _sides(reference, current, lambda d: _categories(d, columns, groups), groups)
     totals = counts.groupBy(*keys).agg(F.sum("ref").alias("ref_rows"), F.sum("cur").alias("cur_rows"))
     p, q = F.try_divide("ref", "ref_rows"), F.try_divide("cur", "cur_rows")
     mid = (p + q) / 2
@@ -145,14 +151,46 @@ def drift_by_column(
     side only has no score; it is drifted, and the reason says which side is empty.
     """
     groups = list(groups)
+    num = numeric_drift(reference, current, numeric, groups, rows_per_slice)
+    cat = categorical_drift(reference, current, categorical, groups)
+    base = reference.select(*groups).distinct() if groups else reference.sparkSession.range(1).select()
+    return _decided(num, cat, base, numeric, categorical, groups, threshold)
+
+
+def value_counts(df: DataFrame, numeric=NUMERIC, categorical=CATEGORICAL, groups: list[str] = ()) -> DataFrame:
+    """``groups, column, value, category, rows``: all that drift needs of a window. Counts of parts add up."""
+    none = F.lit(None)
+    num = unpivot_numeric(df, numeric, list(groups)).withColumn("category", none.cast("string"))
+    cat = _categories(df, categorical, list(groups)).select(*groups, "column", none.cast("double").alias("value"), F.col("value").alias("category"))
+    return added(num.unionByName(cat).filter("value is not null or category is not null").withColumn("rows", F.lit(1).cast("long")), groups)
+
+
+def added(counts: DataFrame, groups: list[str] = ()) -> DataFrame:
+    return counts.groupBy(*groups, "column", "value", "category").agg(F.sum("rows").alias("rows"))
+
+
+def drift_of_counts(
+    reference: DataFrame, current: DataFrame, numeric=NUMERIC, categorical=CATEGORICAL,
+    threshold: float = COLUMN_DRIFT_AT, rows_per_slice: int = ROWS_PER_SLICE,
+) -> DataFrame:
+    """``drift_by_column`` from the ``value_counts`` of both sides."""
+    zero = F.lit(0).cast("long")
+    both = reference.select("*", F.col("rows").alias("ref"), zero.alias("cur")).unionByName(current.select("*", zero.alias("ref"), F.col("rows").alias("cur")))
+    both = both.groupBy("column", "value", "category").agg(F.sum("ref").alias("ref"), F.sum("cur").alias("cur"))
+    counts = both.filter("value is not null").drop("category")
+    num = _numeric_scores(counts, [], slice_limit(counts, ["column"], rows_per_slice))
+    cat = _categorical_scores(both.filter("value is null").drop("value"), [])
+    return _decided(num, cat, reference.sparkSession.range(1).select(), numeric, categorical, [], threshold)
+
+
+def _decided(num: DataFrame, cat: DataFrame, base: DataFrame, numeric, categorical, groups: list[str], threshold: float) -> DataFrame:
     methods = {**{c: "normalized_wasserstein" for c in numeric}, **{c: "jensen_shannon" for c in categorical}}
     asked = F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.lit(m).alias("method")) for c, m in methods.items()]))
-    base = reference.select(*groups).distinct() if groups else reference.sparkSession.range(1).select()
-    num = numeric_drift(reference, current, numeric, groups, rows_per_slice).select(
+    num = num.select(
         *groups, "column", F.lit("normalized_wasserstein").alias("method"), F.col("wasserstein").alias("score"),
         "ref_rows", "cur_rows",
     )
-    cat = categorical_drift(reference, current, categorical, groups).select(
+    cat = cat.select(
         *groups, "column", F.lit("jensen_shannon").alias("method"), F.col("js").alias("score"), "ref_rows", "cur_rows"
     )
     scored = base.select(*groups, asked).join(num.unionByName(cat), [*groups, "column", "method"], "left")

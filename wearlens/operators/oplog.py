@@ -28,25 +28,27 @@ def latency_quantiles(
     return exact_quantiles(picked, ["window_start"], "duration_ms", list(quantiles), rows_per_slice)
 
 
+def latency_buckets(log: DataFrame, path: str = "/predict", every: str = "5 minutes", bounds: list[float] = LATENCY_BOUNDS) -> DataFrame:
+    """``window_start, le0.., total``: cumulative counts per bucket, which add up over parts of a log.
+
+    One small row a window, combined before the shuffle; on a stream this row is all the state there is.
+    """
+    picked = log.filter(F.col("path") == path).groupBy(window_start("ts", every))
+    return picked.agg(*[F.count_if(F.col("duration_ms") <= b).alias(f"le{i}") for i, b in enumerate(bounds)], F.count(F.lit(1)).alias("total"))
+
+
 def histogram_quantiles(
     log: DataFrame, quantiles=(0.5, 0.95), path: str = "/predict", every: str = "5 minutes",
     bounds: list[float] = LATENCY_BOUNDS,
 ) -> DataFrame:
-    """Quantiles interpolated in cumulative buckets: one small row of counts per window.
+    return quantiles_of_buckets(latency_buckets(log, path, every, bounds), quantiles, bounds)
+
+
+def quantiles_of_buckets(wide: DataFrame, quantiles=(0.5, 0.95), bounds: list[float] = LATENCY_BOUNDS) -> DataFrame:
+    """``window_start, q, quantile`` interpolated in the buckets of ``latency_buckets``.
 
     Ranks beyond the last finite bound report that bound.
     """
-    edges = F.array(*[F.lit(b) for b in bounds])
-    counts = (
-        log.filter(F.col("path") == path)
-        .groupBy(window_start("ts", every), lower_bound(edges, F.col("duration_ms"), len(bounds)).alias("b"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    # at most len(bounds) + 1 buckets per window
-    wide = counts.groupBy("window_start").agg(
-        *[F.sum(F.when(F.col("b") <= i, F.col("n")).otherwise(0)).alias(f"le{i}") for i in range(len(bounds))],
-        F.sum("n").alias("total"),
-    )
     cells = F.array(
         *[
             F.struct(

@@ -546,7 +546,7 @@ def oracle_sql() -> dict[str, str]:
             REQUEST_LOG + ", p AS (SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start, duration_ms FROM reqlog WHERE path = '/predict')",
             quantile_sql("p", "duration_ms", [0.5, 0.95], "window_start"), ["quantile", "q"], ["window_start"]),
         "latency_histogram_quantiles": sql(REQUEST_LOG, f"""SELECT window_start, q, CASE {interp} ELSE {LATENCY_BOUNDS[-1]!r} END AS quantile FROM (
-            SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start, {', '.join(le)}, count(*) AS total FROM reqlog
+            SELECT time_bucket(INTERVAL '5 minutes', ts) AS window_start, {', '.join(le)}, count(*) AS total FROM reqlog
             WHERE path = '/predict' GROUP BY 1), (VALUES (5e-1), (95e-2)) v(q)""", ["q", "quantile"], ["window_start"]),
         "throughput": sql(REQUEST_LOG, """SELECT date_trunc('minute', ts) AS window_start, path, count(*) AS requests,
             count(*) / 60e0 AS per_second FROM reqlog GROUP BY 1, 2""", ["per_second"], ["window_start"]),
@@ -617,6 +617,7 @@ def oracle_sql() -> dict[str, str]:
         "stream_status_mix": out["status_mix"],
         "stream_throughput": out["throughput"],
         "stream_error_rate": out["error_rate"],
+        "stream_latency_quantiles": out["latency_histogram_quantiles"],
         "stream_drift": out["drift_summary"],
         "stream_reading_scores": sql(CLEAN, "SELECT type, count(*) AS rows, count(*) AS probabilities FROM clean GROUP BY 1"),
         "stream_request_scores": f"""SELECT '1' AS model_version, count(*) AS rows, CAST(sum(readings_used) AS BIGINT) AS readings,

@@ -419,7 +419,7 @@ def batch_queries() -> dict:
         "drift_by_window": drift_by_window,
         "cold_shift": cold_shift,
         "latency_quantiles": with_queries(oplog.latency_quantiles, request_log, every="1 hour"),
-        "latency_histogram_quantiles": with_queries(oplog.histogram_quantiles, request_log, every="1 hour"),
+        "latency_histogram_quantiles": with_queries(oplog.histogram_quantiles, request_log),
         "throughput": with_queries(oplog.throughput, request_log),
         "error_rate": with_queries(oplog.error_rate, request_log),
         "error_rate_sliding": with_queries(oplog.error_rate, request_log, slide="1 minute"),

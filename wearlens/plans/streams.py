@@ -123,9 +123,23 @@ def stream_error_rate(spark, d):
     return _live(spark, d, oplog.error_rate, ["window_start"])
 
 
+def stream_latency_quantiles(spark, d):
+    """Buckets are kept live; the later half of the log comes after a restart, quantiles are read off at the end."""
+    log = materialize(tables.request_log(tables.events(spark, d)), "log")
+    middle = F.lit(log.agg(F.timestamp_micros(((F.unix_micros(F.min("ts")) + F.unix_micros(F.max("ts"))) / 2).cast("long"))).first()[0])
+    source, folder, checkpoint = (new_folder(spark, n) for n in ("latency", "live", "live-checkpoint"))
+    for part in (log.filter(F.col("ts") < middle), log.filter(F.col("ts") >= middle)):
+        part.write.mode("append").parquet(source)
+        live(spark.readStream.schema(log.schema).parquet(source), oplog.latency_buckets, folder, checkpoint).awaitTermination()
+    return oplog.quantiles_of_buckets(current_values(spark, folder, ["window_start"]))
+
+
 def stream_drift(spark, d):
+    """The window is as many days as the current rows span."""
     reference, current = drift_frames(spark, d)
-    sink = DriftSink(new_folder(spark, "drift"), materialize(reference, "reference"), 10 * 24 * 60)
+    current = materialize(current, "current")
+    days = current.agg(F.datediff(F.max("ts"), F.min("ts")) + 1).first()[0] or 1
+    sink = DriftSink(new_folder(spark, "drift"), reference, days)
     in_stages([current], sink, "scored")
     return flat_summary(spark.read.parquet(sink.summaries).drop("batch", "as_of"))
 
@@ -135,6 +149,7 @@ def stream_queries() -> dict:
         f.__name__: f
         for f in (
             stream_rolling_features, stream_reading_scores, stream_late_rows, stream_vehicle_features, stream_rejections,
-            stream_request_scores, log_to_drift, stream_status_mix, stream_throughput, stream_error_rate, stream_drift,
+            stream_request_scores, log_to_drift, stream_status_mix, stream_throughput, stream_error_rate, stream_latency_quantiles,
+            stream_drift,
         )
     }

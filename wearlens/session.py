@@ -3,16 +3,22 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 
 def local_session(cores: int = 8, name: str = "wearlens") -> SparkSession:
-    """Session for tests and the bench; a cluster brings its own."""
+    """Session for tests and the bench; a cluster brings its own.
+
+    Where nothing names a shared folder, a local session takes one below the working folder.
+    """
+    builder = SparkSession.builder
+    if not SparkConf().contains("spark.checkpoint.dir"):
+        builder = builder.config("spark.checkpoint.dir", os.path.join(os.getcwd(), "spark-checkpoints"))
     return (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName(name)
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.session.timeZone", "UTC")
@@ -25,19 +31,27 @@ def local_session(cores: int = 8, name: str = "wearlens") -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``.
-
-    Only a local master may fall back to a folder of this machine; on a cluster an unset
-    setting is an error, since executors could not see such a folder.
-    """
+    """The folder the cluster names in ``spark.checkpoint.dir``; executors must see it, so nothing else will do."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
+    if not named:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="wearlens-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return named
+
+
+def _path(spark: SparkSession, path: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def folders(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match, in whatever store Spark reads."""
+    store, path = _path(spark, pattern)
+    return [str(f.getPath().toString()) for f in store.globStatus(path) or []]
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    store, path = _path(spark, path)
+    store.delete(path, True)
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:

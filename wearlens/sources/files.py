@@ -84,20 +84,20 @@ def prediction_log(
 ) -> DataFrame:
     """Drift columns from JSON log lines (column ``value``).
 
-    ``permissive`` skips malformed lines, other events and predictions without features, and may
-    restrict to a lookback from ``as_of`` and to one model version. ``failfast`` skips blank lines
+    ``permissive`` skips malformed lines, other events and predictions whose features are absent or
+    empty (a reading with a null sensor counts), and may restrict to a lookback from ``as_of`` and to one model version. ``failfast`` skips blank lines
     only and raises on anything it cannot read.
     """
     if mode not in ("permissive", "failfast"):
         raise ValueError(f"unknown mode {mode!r}")
     lines = lines.filter(F.length(F.trim("value")) > 0)
     options = {"mode": "FAILFAST"} if mode == "failfast" else {}
-    parsed = lines.select(F.from_json("value", PREDICTION_SCHEMA, options).alias("p")).select("p.*")
+    parsed = lines.select(
+        F.from_json("value", PREDICTION_SCHEMA, options).alias("p"), F.from_json("value", "features MAP<STRING, STRING>").alias("m")
+    ).select("p.*", F.coalesce(F.size("m.features"), F.lit(0)).alias("named"))
     if mode == "permissive":
-        whole = F.col("features").isNotNull()
-        for c in SENSORS:  # a line without every feature is no prediction to compare
-            whole = whole & F.col(f"features.{c}").isNotNull()
-        parsed = parsed.filter((F.col("event") == "prediction_made") & whole)
+        # a line that names no feature is no prediction to compare; a named feature may be null
+        parsed = parsed.filter((F.col("event") == "prediction_made") & (F.col("named") > 0))
         if window_minutes is not None:
             at = F.try_to_timestamp("timestamp")
             end = F.lit(as_of).cast("timestamp")
@@ -153,6 +153,7 @@ def event_lines(df: DataFrame, event: str, level: str = "INFO", at: str = "ts")
                 F.lit(level).alias("level"),
                 F.lit(event).alias("event"),
                 *body,
-            )
+            ),
+            {"ignoreNullFields": "false"},
         ).alias("value")
     )

@@ -143,7 +143,8 @@ def prediction_log_lines(readings: DataFrame) -> DataFrame:
             "failure_probability",
             F.when(uid % 3 == 0, "1").otherwise("2").alias("model_version"),
             features.alias("features"),
-        )
+        ),
+        {"ignoreNullFields": "false"},
     )
     return readings.select(
         F.when(uid % 53 == 0, F.substring(line, 1, 25)).when(uid % 67 == 0, F.lit("  ")).otherwise(line).alias("value")

@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Callable
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wearlens.operators.drift import drift_summary
+from wearlens.operators.drift import CATEGORICAL, NUMERIC, added, drift_of_counts, summarize, value_counts
+from wearlens.session import folders, remove
 from wearlens.streaming.run import start, write_batch
 
+COUNTS = "column string, value double, category string, rows long"
+
 
 def live(
     log: DataFrame, metric: Callable[[DataFrame], DataFrame], folder: str, checkpoint: str,
@@ -32,33 +37,51 @@ def current_values(spark: SparkSession, folder: str, keys: list[str]) -> DataFra
 
 
 class DriftSink:
-    """foreachBatch target: drift of the trailing window against a reference, one summary per batch.
+    """foreachBatch target: drift of the trailing days against a reference, one summary per batch.
 
-    Rows are kept in the shared folder by day, so the trailing window reads only the days it spans.
+    A day is kept as its counts per value (``drift.value_counts``), which add up. A batch adds its
+    counts to the days it touches and writes these days anew, as ``batch=<id>/day=<day>``; a window
+    takes the newest version of each of its days. So a batch reads the counts of the window's days,
+    however many batches have come, and no row twice. A batch that runs again starts from the
+    versions before it; older ones are deleted.
     """
 
-    def __init__(self, folder: str, reference: DataFrame, window_minutes: int, at: str = "ts", **options):
+    def __init__(self, folder: str, reference: DataFrame, days: int, at: str = "ts", columns=(NUMERIC, CATEGORICAL)):
         self.history, self.summaries = os.path.join(folder, "history"), os.path.join(folder, "summaries")
-        self.reference, self.minutes, self.at, self.options = reference, window_minutes, at, options
+        self.reference, self.days, self.at, self.columns = os.path.join(folder, "reference"), days, at, columns
+        value_counts(reference, *columns).write.mode("overwrite").parquet(self.reference)
+
+    def versions(self, spark: SparkSession) -> dict[str, list[int]]:
+        """Batches that wrote each day: names of folders, two a day."""
+        found: dict[str, list[int]] = {}
+        for path in folders(spark, os.path.join(self.history, "batch=*", "day=*")):
+            batch, day = re.search(r"batch=(\d+)/day=([^/]+)", path).groups()
+            found.setdefault(day, []).append(int(batch))
+        return found
+
+    def counts(self, spark: SparkSession, newest: dict[str, int]) -> DataFrame:
+        """The named version of each day."""
+        paths = [os.path.join(self.history, f"batch={b}", f"day={d}") for d, b in newest.items()]
+        reader = spark.read.schema(f"{COUNTS}, day date").option("basePath", self.history)
+        return (reader.parquet(*paths) if paths else spark.createDataFrame([], f"{COUNTS}, day date")).drop("batch")
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        newest = batch.agg(F.max(self.at).alias("at")).first()["at"]
-        if newest is None:
+        batch = batch.withColumn("day", F.to_date(self.at)).filter("day is not null")
+        days = {str(r.day): r.at for r in batch.groupBy("day").agg(F.max(self.at).alias("at")).collect()}  # one row a day
+        if not days:
             return
-        day = F.to_date(self.at)
-        (
-            batch.withColumn("day", day)
-            .write.mode("overwrite")
-            .partitionBy("day")
-            .parquet(os.path.join(self.history, f"batch={batch_id}"))
-        )
-        end = F.lit(newest)
-        begin = end - F.make_dt_interval(mins=F.lit(self.minutes))
-        kept = spark.read.option("basePath", self.history).parquet(os.path.join(self.history, "batch=*"))
-        # a batch that runs again must not see batches after it
-        window = kept.filter(
-            (F.col("batch") <= batch_id) & (F.col("day") >= F.to_date(begin)) & F.col(self.at).between(begin, end)
-        )
-        summary = drift_summary(self.reference, window, **self.options).withColumn("as_of", end)
-        write_batch(summary, self.summaries, batch_id)
+        before = {d: max(b for b in v if b < batch_id) for d, v in self.versions(spark).items() if min(v) < batch_id}
+        own = value_counts(batch, *self.columns, groups=["day"])
+        known = self.counts(spark, {d: b for d, b in before.items() if d in days})
+        merged = added(own.unionByName(known), ["day"])
+        merged.write.mode("overwrite").partitionBy("day").parquet(os.path.join(self.history, f"batch={batch_id}"))
+        last = max(days)
+        first = str(date.fromisoformat(last) - timedelta(days=self.days - 1))
+        window = self.counts(spark, {d: b for d, b in (before | dict.fromkeys(days, batch_id)).items() if first <= d <= last})
+        by_column = drift_of_counts(spark.read.schema(COUNTS).parquet(self.reference), added(window), *self.columns)
+        write_batch(summarize(by_column).withColumn("as_of", F.lit(days[last])), self.summaries, batch_id)
+        for day, batches in self.versions(spark).items():
+            for b in batches:
+                if b < before.get(day, -1):
+                    remove(spark, os.path.join(self.history, f"batch={b}", f"day={day}"))
