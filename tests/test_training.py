@@ -74,8 +74,8 @@ def test_cross_validation_and_calibration(table):
 
 
 def test_bounded_fits_score_all_rows_held_out(table, monkeypatch):
-    fitted, fit = [], training.fit
-    monkeypatch.setattr(training, "fit", lambda df, *more, **named: fitted.append(df.count()) or fit(df, *more, **named))
+    fitted, grow = [], training.grow_forests
+    monkeypatch.setattr(training, "grow_forests", lambda spark, runs, *more: fitted.extend(len(s.y) for _, s, _ in runs) or grow(spark, runs, *more))
     folds = training.cross_validated(table, SMALL, folds=3, fit_rows=100).collect()
     assert sum(r.rows for r in folds) == 450 and min(r.rows for r in folds) > 140 and fitted == [100] * 3
     effect = training.calibration_effect(table, SMALL, folds=2, fit_rows=100).collect()
@@ -91,7 +91,7 @@ def test_model_queries_hold_out_from_the_whole_table(spark, table, monkeypatch):
     for name in ("cross_validated", "calibration_effect"):
         call = getattr(training, name)
         monkeypatch.setattr(training, name, lambda df, *more, call=call, **named: seen.append(df.count()) or call(df, *more, **named))
-    assert models.cv_pr_auc(spark, "").count() == 5
+    assert models.cv_pr_auc(spark, "").count() == 6
     assert models.calibrated_scores(spark, "").count() == 2
     assert seen == [450, 450]
 

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wearlens.contract import DEFAULT_WINDOWS, SEED, SENSORS, feature_names
 from wearlens.operators.cleaning import action_tier
+from wearlens.operators.forest import ALL, BoundedForest, Sample, grow_forests
 from wearlens.operators.metrics import best_threshold, brier, confusion, ranking_metrics, rates
 from wearlens.operators.rolling import rolling_features
 from wearlens.operators.splits import class_weights, reference_sample, stratified_folds, stratified_split
@@ -222,24 +223,28 @@ def cross_validated(
     df: DataFrame, config: Config, folds: int = 5, numeric: list[str] | None = None, seed: int = SEED,
     parallelism: int = 4, fit_rows: int | None = None,
 ) -> DataFrame:
-    """``fold, rows, pr_auc, reason``: the whole pipeline is refitted inside each fold.
+    """``fold, rows, positives, pr_auc, reason``: the whole pipeline is refitted inside each fold.
 
     ``fit_rows`` bounds the rows of a fold's fit by a hash of their id; all held-out rows are scored.
     """
     parted, counts = _folds(df, folds, seed)
 
+    if fit_rows is not None:
+        names = numeric or config.numeric()
+        parts = [Sample.of(parted.filter(F.col("fold") != i), names, fit_rows, None, seed) for i in range(folds)]
+        grown = grow_forests(df.sparkSession, [(config, s, [ALL]) for s in parts], new_folder(df.sparkSession, "trees"), seed)
+        models = [BoundedForest.calibrated(s, config.calibration, g) for s, g in zip(parts, grown)]
+
     def held_out(i: int) -> DataFrame:
-        others = parted.filter(F.col("fold") != i)
-        if fit_rows is None:
-            model = fit(others, config, numeric, seed, _others(counts, i))
-        else:
-            model = fit(materialize(reference_sample(others, fit_rows, seed=seed), "fitted"), config, numeric, seed)
-        return score(model, parted.filter(F.col("fold") == i)).select("fold", "label", "score")
+        rows = parted.filter(F.col("fold") == i)
+        if fit_rows is not None:
+            return models[i].score(rows).select("fold", "label", "score")
+        return score(fit(parted.filter(F.col("fold") != i), config, numeric, seed, _others(counts, i)), rows).select("fold", "label", "score")
 
     parts = together(df.sparkSession, [partial(held_out, i) for i in range(folds)], parallelism)
     scored = materialize(reduce(DataFrame.unionByName, parts), "scores")
-    rows = scored.groupBy("fold").agg(F.count(F.lit(1)).alias("rows"))
-    return ranking_metrics(scored, ["fold"]).join(rows, "fold").select("fold", "rows", "pr_auc", "reason")
+    rows = scored.groupBy("fold").agg(F.count(F.lit(1)).alias("rows"), F.sum("label").alias("positives"))
+    return ranking_metrics(scored, ["fold"]).drop("rows", "positives").join(rows, "fold").select("fold", "rows", "positives", "pr_auc", "reason")
 
 
 def cv_summary(per_fold: DataFrame) -> DataFrame:
@@ -249,18 +254,24 @@ def cv_summary(per_fold: DataFrame) -> DataFrame:
 def calibration_effect(
     df: DataFrame, config: Config, folds: int = 5, numeric=None, seed: int = SEED, fit_rows: int | None = None
 ) -> DataFrame:
-    """``kind, rows, brier_score`` on the whole test split, without and with calibration.
+    """``kind, rows, positives, brier_score`` on the whole test split, without and with calibration.
 
     ``fit_rows`` bounds the training rows by a hash of their id.
     """
     split = materialize(stratified_split(df, seed=seed), "split")
     train, test = split.filter("split = 'train'"), split.filter("split = 'test'")
     if fit_rows is not None:
-        train = materialize(reference_sample(train, fit_rows, seed=seed), "fitted")
-    plain = score(fit(train, config, numeric, seed), test).select("label", "score", F.lit("uncalibrated").alias("kind"))
-    model = fit_calibrated(train, config, folds, numeric, seed)
-    mapped = model.score(test).select("label", "score", F.lit("calibrated").alias("kind"))
-    return plain.unionByName(mapped).groupBy("kind").agg(F.count(F.lit(1)).alias("rows"), brier().alias("brier_score"))
+        sample = Sample.of(train, numeric or config.numeric(), fit_rows, folds, seed)
+        grown = grow_forests(df.sparkSession, [(config, sample, [ALL, *range(folds)])], new_folder(df.sparkSession, "trees"), seed)[0]
+        plain = BoundedForest.calibrated(sample, config.calibration, {ALL: grown.pop(ALL)}).score(test)
+        mapped = BoundedForest.calibrated(sample, config.calibration, grown).score(test)
+    else:
+        plain = score(fit(train, config, numeric, seed), test)
+        mapped = fit_calibrated(train, config, folds, numeric, seed).score(test)
+    both = [x.select("label", "score", F.lit(kind).alias("kind")) for x, kind in ((plain, "uncalibrated"), (mapped, "calibrated"))]
+    return both[0].unionByName(both[1]).groupBy("kind").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("label").alias("positives"), brier().alias("brier_score")
+    )
 
 
 def feature_table(df: DataFrame, windows=DEFAULT_WINDOWS) -> DataFrame:
@@ -286,13 +297,20 @@ def run_grid(
         for w in dict.fromkeys(c.windows for c in configs)
     }
 
+    models: dict[int, Calibrated | BoundedForest] = {}
+    if fit_rows is not None:  # all runs and folds in one job; runs of the same features share a sample
+        features = {(c.windows, tuple(c.numeric())): None for c in configs}
+        samples = {k: Sample.of(tables[k[0]].filter("split = 'train'"), list(k[1]), fit_rows, folds, seed) for k in features}
+        mine = [samples[c.windows, tuple(c.numeric())] for c in configs]
+        grown = grow_forests(df.sparkSession, [(c, s, list(range(folds))) for c, s in zip(configs, mine)], new_folder(df.sparkSession, "trees"), seed)
+        models = {i: BoundedForest.calibrated(s, c.calibration, g) for i, (c, s, g) in enumerate(zip(configs, mine, grown))}
+
     def evaluate(seq: int, config: Config) -> DataFrame:
         table = tables[config.windows].select("unit_id", "type", "label", "split", *config.numeric())
-        train = reference_sample(table.filter("split = 'train'"), fit_rows, seed=seed)
-        model = models[seq] = fit_calibrated(train, config, folds, seed=seed, parallelism=1)
-        return model.score(table.filter("split <> 'train'")).select(F.lit(seq).alias("seq"), "split", "label", "score")
+        if fit_rows is None:
+            models[seq] = fit_calibrated(table.filter("split = 'train'"), config, folds, seed=seed, parallelism=1)
+        return models[seq].score(table.filter("split <> 'train'")).select(F.lit(seq).alias("seq"), "split", "label", "score")
 
-    models: dict[int, Calibrated] = {}
     parts = together(df.sparkSession, [partial(evaluate, i, c) for i, c in enumerate(configs)], parallelism)
     scored = reduce(DataFrame.unionByName, parts)
     scored = materialize(scored, "scores")
@@ -351,8 +369,12 @@ def reference_window(df: DataFrame, scoring, n: int | None = None, seed: int = 1
 META = "method string, members int, threshold double, version string, a array<double>, b array<double>"
 
 
-def save_model(spark: SparkSession, model: Calibrated, threshold: float, path: str, version: str) -> None:
+def save_model(spark: SparkSession, model: Calibrated | BoundedForest, threshold: float, path: str, version: str) -> None:
     """The ensemble and its operating threshold, stored together."""
+    if isinstance(model, BoundedForest):
+        model.save(spark, f"{path}/forest")
+        spark.createDataFrame([("bounded", len(model.members), float(threshold), version, [], [])], META).write.mode("overwrite").parquet(f"{path}/meta")
+        return
     maps = [m for _, m in model.members]
     a, b = ([m[0] for m in maps], [m[1] for m in maps]) if model.method == "sigmoid" else ([], [])
     for i, (member, mapping) in enumerate(model.members):
@@ -363,8 +385,10 @@ def save_model(spark: SparkSession, model: Calibrated, threshold: float, path: s
     spark.createDataFrame(row, META).write.mode("overwrite").parquet(f"{path}/meta")
 
 
-def load_model_at(spark: SparkSession, path: str) -> tuple[Calibrated, float, str]:
+def load_model_at(spark: SparkSession, path: str) -> tuple[Calibrated | BoundedForest, float, str]:
     meta = spark.read.schema(META).parquet(f"{path}/meta").first()
+    if meta["method"] == "bounded":
+        return BoundedForest.load(spark, f"{path}/forest"), meta["threshold"], meta["version"]
     members = []
     for i in range(meta["members"]):
         if meta["method"] == "sigmoid":

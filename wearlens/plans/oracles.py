@@ -322,7 +322,6 @@ def drift_ctes(cold: bool = False, windows=None) -> str:
 
 
 SUMMARY = ["drift_score", "threshold"]
-KINDS = "SELECT unnest(['uncalibrated', 'calibrated']) AS kind, true AS better_than_guessing"
 EXPERIMENTS = [
     (n, 5 if n == "baseline_no_rolling" else 30)
     for n in (
@@ -625,6 +624,8 @@ def oracle_sql() -> dict[str, str]:
         "log_to_drift": f"""SELECT type, count(*) AS rows, {', '.join(f'round(avg({c}), 6) + 0e0 AS {c}' for c in SENSORS)}
             FROM ({out['request_features']}) GROUP BY 1""",
     }
+    kinds = sql(SPLIT, """SELECT kind, count(*) AS rows, CAST(sum(label) AS BIGINT) AS positives, true AS as_it_should
+        FROM split, (VALUES ('uncalibrated'), ('calibrated')) k(kind) WHERE split = 'test' GROUP BY 1""")
     held = "FROM split WHERE split <> 'train'"
     runs = values([(str(i), f"'{n}'", str(k)) for i, (n, k) in enumerate(EXPERIMENTS)])
     out |= {
@@ -634,9 +635,10 @@ def oracle_sql() -> dict[str, str]:
         "registry_roundtrip": sql(CLEAN, """SELECT 'staging' AS alias, 1 AS version, count(*) AS rows, count(*) AS probabilities,
             true AS threshold_valid FROM clean"""),
         "rf_scores": sql(SPLIT, f"SELECT split, count(*) AS rows, count(*) AS probabilities, count(*) AS tiers {held} GROUP BY 1"),
-        "cv_pr_auc": "SELECT CAST(i AS INT) AS fold, true AS share_valid, CAST(NULL AS VARCHAR) AS reason FROM range(5) r(i)",
-        "calibrated_scores": KINDS,
-        "isotonic_scores": KINDS,
+        "cv_pr_auc": sql(SPLIT, """SELECT CAST(pos % 5 AS INT) AS fold, count(*) AS rows, CAST(sum(label) AS BIGINT) AS positives,
+            true AS better_than_chance FROM ranked GROUP BY 1 UNION ALL SELECT -1, count(DISTINCT pos % 5), NULL, true FROM ranked"""),
+        "calibrated_scores": kinds,
+        "isotonic_scores": kinds,
         "experiment_grid": sql(SPLIT, f"""SELECT CAST(seq AS INT) AS seq, concat('grid-', lpad(CAST(seq AS VARCHAR), 2, '0')) AS run_id, name,
             CAST(n AS INT) AS n_numeric, (SELECT count(*) FROM split WHERE split = 'validation') AS val_rows,
             (SELECT count(*) FROM split WHERE split = 'test') AS test_rows,
