@@ -8,7 +8,7 @@ from wearlens.llm import lm
 
 
 def brute(rows):
-    """Exact words stand for buckets, which small vocabularies leave apart."""
+    """All counts by exact words."""
     docs = [(i, (t or "").split(), m) for i, t, m in rows]
     models = []
     for only in (True, False):
@@ -32,7 +32,7 @@ def brute(rows):
             for v, x in zip([None, *w], w):
                 before = max((start if v is None else word[v]) - take * (1 if v is None else mine[v]), 0)
                 both = min(max(pair[v, x] - take * pairs[v, x], 0), before)
-                single = (max(word[x] - take * mine[x], 0) + 1) / (total + (1 << lm.WORD_BITS))
+                single = (max(word[x] - take * mine[x], 0) + 1) / (total + len(models[1][0]) + 1)
                 loss -= math.log((both + lm.STRENGTH * single) / (before + lm.STRENGTH))
             losses.append(loss / len(w))
         out[i] = losses
@@ -65,13 +65,14 @@ def test_no_target_and_no_rows(spark):
 
 def test_more_words_and_pairs_than_any_fixed_table(spark, monkeypatch):
     """A text of words seen nowhere else scores as unseen, however many other words there are; small chunks meet."""
-    monkeypatch.setattr(lm, "CHUNK_BYTES", 1 << 18, raising=False)
+    monkeypatch.setattr(lm, "CHUNK_BYTES", 1 << 18)
+    monkeypatch.setattr(lm, "RANGE_BYTES", 1 << 16)
     size = 3000
     rows = [(k, " ".join(f"v{k * size + j}" for j in range(size)), k % 2 == 0) for k in range(100)] + [(k, "u1 u2 u3 u1 u2", k == 1000) for k in range(1000, 1003)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, mark boolean").repartition(6)
     got = {r.doc_id: r for r in lm.score(docs, "mark").collect()}
     assert len(got) == len(rows)
-    vocabulary, totals = 100 * size + 3, (50 * size + 5, 100 * size + 15)
+    vocabulary, totals = 100 * size + 3 + 1, (50 * size + 5, 100 * size + 15)
 
     def unseen(total, starts):
         single = 1 / (total + vocabulary)
@@ -84,3 +85,22 @@ def test_more_words_and_pairs_than_any_fixed_table(spark, monkeypatch):
     few = {r.doc_id: r for r in lm.score(spark.createDataFrame(shared, "doc_id long, text string, mark boolean").repartition(3), "mark").collect()}
     for i, want in brute(shared).items():
         assert few[i].background_loss == pytest.approx(want[1], abs=1e-9)
+
+
+def test_a_text_longer_than_a_chunk(spark, words, monkeypatch):
+    monkeypatch.setattr(lm, "CHUNK_BYTES", 1 << 10)
+    monkeypatch.setattr(lm, "RANGE_BYTES", 1 << 12)
+    rows = [(1, " ".join(words(20_000, 1)), True), (2, " ".join(words(300, 2)), None), (3, " ".join(words(300, 3)), True), (4, " ".join(words(20_000, 1)), False)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, mark boolean").repartition(2)
+    got = {r.doc_id: (r.target_loss, r.background_loss) for r in lm.score(docs, "mark").collect()}
+    for i, want in brute(rows).items():
+        assert got[i] == pytest.approx(tuple(want), abs=1e-9)
+
+
+def test_packing_keeps_numbers():
+    import numpy as np
+
+    keys = np.array([0, 1, 2**63, 2**64 - 1], dtype=np.uint64)
+    assert [x.tolist() for x in lm.unpack(lm.pack(keys, keys[::-1]), 2)] == [keys.tolist(), keys[::-1].tolist()]
+    assert lm.unpack(lm.pack(keys[:0]), 1)[0].tolist() == []
+    assert lm.bounds(keys, 4).tolist() == [0, 2, 2, 3, 4]

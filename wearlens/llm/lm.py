@@ -3,14 +3,17 @@
 Both are bigram models over all words and word pairs of the corpus, each by its 64-bit hash, so that
 the models grow with the corpus. The background counts all documents, the target those marked by a
 column; each is smoothed alike, a pair by its second word and a word by the uniform distribution over
-the corpus' distinct words, at least 2**18 of them. A document's score is the mean over its words of
-the target's loss minus the background's: the lower, the more the text is like the target. Its own
+the corpus' distinct words and one unseen. A document's score is the mean over its words of the
+target's loss minus the background's: the lower, the more the text is like the target. Its own
 counts are taken out of both models first (leave-one-out), so that target documents have no advantage.
 
-Documents are dealt into chunks of about ``CHUNK_BYTES`` as they lie. A chunk's counts of each of its
-words and pairs go once to where the word or pair is added up, and the sums come back to the chunk;
-what occurs in one chunk only doesn't travel back. So a word costs a row per chunk however frequent it
-is. Three numbers go through the driver: distinct words and the words of either model.
+Documents are dealt into chunks of about ``CHUNK_BYTES`` as they lie. A chunk cuts its distinct words
+and pairs, in the order of their hashes, into ranges of the hash space, and sends one packed row per
+range: the hashes as differences, the counts as small integers. A task per range adds up what the
+chunks have and answers each with a packed row: which of its entries other chunks have too, and their
+sums, in the chunk's own order, so hashes don't travel back. So a word costs a few bytes per chunk
+however frequent it is, and no key has rows of its own. Three numbers go through the driver: distinct
+words and the words of either model; and one before, the bytes of text, which sets the ranges.
 
 Defined results. Null or empty text has no words and null scores. A null mark is false. With no
 target document the target model is uniform. Rows that repeat are counted and scored each. Further
@@ -25,17 +28,18 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from wearlens.llm import words as W
 from wearlens.llm.store import _arrow, keep, own, ship
 
-WORD_BITS = 18  # the uniform distribution is over 2**18 words at least
 STRENGTH = 5.0  # counts that the smoothing distribution weighs
 CHUNK_BYTES = 1 << 24
 ROW_BYTES = 64  # what a row counts besides its text
 START = 0  # stands for the word before a text's first
-COUNTS = T.StructType([T.StructField(n, T.LongType()) for n in ("chunk", "key", "target", "background")])
+RANGE_BYTES = 1 << 23  # text whose words and pairs a range holds, about
+PACKED = T.StructType([T.StructField("chunk", T.LongType()), T.StructField("range", T.IntegerType()), *[T.StructField(n, T.BinaryType()) for n in ("words", "pairs")]])
+SUMS = T.StructType([*PACKED.fields, *[T.StructField(n, T.LongType()) for n in ("distinct", "target", "background")]])
 
 
 def chunked(docs: DataFrame, target: str) -> DataFrame:
@@ -92,16 +96,41 @@ class Occurrences:
         return distinct, np.stack([np.bincount(at[np.concatenate(marks)], minlength=n), np.bincount(at, minlength=n)]), at
 
 
-def counted(chunks: DataFrame, *kinds: bool) -> DataFrame:
-    """Rows ``COUNTS``: what each chunk has of its words (a kind that is false) and pairs (true)."""
+def pack(*arrays: np.ndarray) -> bytes:
+    """Arrays of one length as bytes: all lowest bytes first, then the next, so that small numbers take little room."""
+    n = len(arrays[0])
+    planes = b"".join(np.ascontiguousarray(a.astype(np.uint64).view(np.uint8).reshape(n, 8).T).tobytes() for a in arrays)
+    return n.to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
+
+
+def unpack(data: bytes, arrays: int) -> list[np.ndarray]:
+    n = int.from_bytes(data[:8], "little")
+    planes = np.frombuffer(pa.decompress(data[8:], decompressed_size=8 * n * arrays, codec="zstd", asbytes=True), dtype=np.uint8)
+    return [np.ascontiguousarray(planes[8 * n * k : 8 * n * (k + 1)].reshape(8, n).T).view(np.uint64).ravel() for k in range(arrays)]
+
+
+def bounds(keys: np.ndarray, ranges: int) -> np.ndarray:
+    """Where each of the equal ranges of the hash space starts among sorted keys, and the end."""
+    starts = np.array([(k << 64) // ranges for k in range(ranges)], dtype=np.uint64)
+    return np.append(np.searchsorted(keys, starts, side="left"), len(keys))
+
+
+def counted(chunks: DataFrame, ranges: int) -> DataFrame:
+    """Rows ``PACKED``: the words and pairs of each chunk in each range, with their counts in marked texts and in all."""
 
     def rows(chunk: int, held: Occurrences) -> Iterator[pa.RecordBatch]:
-        for pairs in kinds:
-            keys, counts, _ = held.tally(pairs)
-            for a in range(0, len(keys), 100_000):
-                some = slice(a, a + 100_000)
-                of = np.full(len(keys[some]), chunk, dtype=np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (of, keys[some].view(np.int64), *counts[:, some])], COUNTS.names)
+        kinds = [held.tally(pairs)[:2] for pairs in (False, True)]
+        edges = [bounds(keys, ranges) for keys, _ in kinds]
+        out = []
+        for r in range(ranges):
+            cells = []
+            for (keys, counts), edge in zip(kinds, edges):
+                some = slice(edge[r], edge[r + 1])
+                gaps = keys[some].copy()
+                gaps[1:] -= keys[some][:-1]
+                cells.append(pack(gaps, *counts[:, some]))
+            out.append((chunk, r, *cells))
+        yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out), (pa.int64(), pa.int32(), pa.binary(), pa.binary()))], PACKED.names)
 
     def run(batches):
         chunk, held = None, Occurrences()
@@ -112,20 +141,63 @@ def counted(chunks: DataFrame, *kinds: bool) -> DataFrame:
                 if a == z:
                     continue
                 if chunk != chunks[a]:
-                    yield from rows(chunk, held)
+                    if chunk is not None:
+                        yield from rows(chunk, held)
                     chunk, held = chunks[a], Occurrences()
                 held.add(b.column("text").slice(a, z - a), marked[a:z])
-        yield from rows(chunk, held)
+        if chunk is not None:
+            yield from rows(chunk, held)
 
     ship()
-    return chunks.select("chunk", "text", "marked").mapInArrow(run, COUNTS)
+    return chunks.select("chunk", "text", "marked").mapInArrow(run, PACKED)
+
+
+def _answers(cells: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Per chunk which of its keys others have and these keys' sums; all distinct keys and their sums."""
+    parts = [unpack(c, 3) for c in cells]
+    size = [len(p[0]) for p in parts]
+    keys = np.concatenate([np.cumsum(p[0], dtype=np.uint64) for p in parts])
+    counts = np.stack([np.concatenate([p[k] for p in parts]) for k in (1, 2)])
+    order = np.argsort(keys, kind="stable")
+    first = np.ones(len(keys), dtype=bool)
+    first[1:] = keys[order][1:] != keys[order][:-1]
+    at = np.flatnonzero(first)
+    sums = np.add.reduceat(counts[:, order], at, axis=1) if len(at) else counts
+    group = np.empty(len(keys), dtype=np.int64)
+    group[order] = np.cumsum(first) - 1
+    shared = np.diff(np.append(at, len(keys))) > 1
+    out = []
+    for a, z in zip(np.cumsum([0, *size[:-1]]), np.cumsum(size)):
+        mine = group[a:z]
+        known = shared[mine]
+        mark, rest = pack(known), pack(*sums[:, mine[known]])
+        out.append(len(mark).to_bytes(8, "little") + mark + rest)
+    return out, keys[order][at], sums
+
+
+def _with_sums(counts: np.ndarray, edges: np.ndarray, found: list[tuple[int, bytes]]) -> np.ndarray:
+    """A chunk's ``counts`` in the order of its keys, replaced by the sums of all chunks where these came."""
+    for r, data in found:
+        size = 8 + int.from_bytes(data[:8], "little")
+        known = np.flatnonzero(unpack(data[8:size], 1)[0]) + edges[r]
+        counts[:, known] = np.stack(unpack(data[size:], 2))
+    return counts
+
 
+def summed(packed: DataFrame) -> DataFrame:
+    """Rows ``SUMS``: the answer to each packed row, and per range a row without chunk with its distinct words and totals."""
 
-def sums_for_chunks(counts: DataFrame) -> DataFrame:
-    """``counts`` with the sums of all chunks; without the keys that one row alone has, whose sums it knows."""
-    same = Window.partitionBy("key")
-    sums = [F.sum(c).over(same).alias(c) for c in ("target", "background")]
-    return counts.select("chunk", "key", *sums, F.count(F.lit(1)).over(same).alias("n")).filter("n > 1").drop("n")
+    def of_range(t: pa.Table) -> pa.Table:
+        words, keys, sums = _answers(t["words"].to_pylist())
+        pairs, _, _ = _answers(t["pairs"].to_pylist())
+        seen = keys != START
+        totals = [int(seen.sum()), *[int(x) for x in sums[:, seen].sum(axis=1)]]
+        n = len(t)
+        columns = [t["chunk"].to_pylist() + [None], t["range"].to_pylist() + [None], words + [None], pairs + [None], *[[None] * n + [x] for x in totals]]
+        return pa.table([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int32(), pa.binary(), pa.binary(), *[pa.int64()] * 3))], names=SUMS.names)
+
+    ship()
+    return packed.groupBy("range").applyInArrow(lambda t: of_range(t), SUMS)
 
 
 def losses(of_word, of_previous, of_pair, total: int, vocabulary: int) -> np.ndarray:
@@ -145,21 +217,14 @@ def _own(texts: np.ndarray, place: np.ndarray, at: np.ndarray | None = None) ->
     return np.where(keys[place] == wanted, times[place], 0) if len(keys) else np.zeros(0, dtype=np.int64)
 
 
-def _with_sums(keys: np.ndarray, counts: np.ndarray, found: np.ndarray, sums: np.ndarray) -> np.ndarray:
-    """``counts`` of ``keys``, replaced by the sums of all chunks where these came."""
-    if len(keys) and len(found):
-        place = np.minimum(np.searchsorted(keys, found), len(keys) - 1)
-        hit = keys[place] == found
-        counts[:, place[hit]] = sums[:, hit]
-    return counts
-
-
 def score(docs: DataFrame, target: str) -> DataFrame:
     """doc_id, n_tokens, target_loss, background_loss (per word) and their difference ``score``."""
     chunks = keep(chunked(docs, target), "chunks")
-    vocabulary = counted(chunks, False).groupBy("key").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
-    size, *totals = vocabulary.filter(F.col("key") != START).agg(F.count(F.lit(1)), F.coalesce(F.sum("target"), F.lit(0)), F.coalesce(F.sum("background"), F.lit(0))).first()
-    size = max(size, 1 << WORD_BITS)
+    text = chunks.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    ranges = text // RANGE_BYTES + 1
+    sums = keep(summed(counted(chunks, ranges)), "sums")
+    size, *totals = sums.filter("chunk is null").agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("distinct", "target", "background")]).first()
+    size += 1  # an unseen word
     schema = T.StructType(
         [docs.schema["doc_id"], T.StructField("n_tokens", T.LongType())] + [T.StructField(n, T.DoubleType()) for n in ("target_loss", "background_loss", "score")]
     )
@@ -168,11 +233,10 @@ def score(docs: DataFrame, target: str) -> DataFrame:
     def of_chunk(rows: pa.Table, found: pa.Table) -> pa.Table:
         held = Occurrences()
         held.add(rows["text"].combine_chunks(), rows["marked"].to_numpy().astype(bool))
-        known, sums = found["key"].to_numpy().view(np.uint64), np.stack([found[c].to_numpy() for c in ("target", "background")])
         words, of_words, word = held.tally(False)
-        of_words = _with_sums(words, of_words, known, sums)
+        of_words = _with_sums(of_words, bounds(words, ranges), list(zip(found["range"].to_pylist(), found["words"].to_pylist())))
         pairs, of_pairs, pair = held.tally(True)
-        of_pairs = _with_sums(pairs, of_pairs, known, sums)
+        of_pairs = _with_sums(of_pairs, bounds(pairs, ranges), list(zip(found["range"].to_pylist(), found["pairs"].to_pylist())))
         word = word[: held.n]
         previous = np.empty_like(word)
         previous[1:] = word[:-1]
@@ -191,6 +255,6 @@ def score(docs: DataFrame, target: str) -> DataFrame:
         sizes, *values = (np.concatenate(x) for x in zip(*out))
         return pa.table([rows["doc_id"], pa.array(sizes, pa.int64()), *[pa.array(x, mask=sizes == 0) for x in values]], names=to.names).cast(to)
 
-    sums = sums_for_chunks(counted(chunks, False, True))
     ship()
-    return chunks.groupBy("chunk").cogroup(sums.groupBy("chunk")).applyInArrow(of_chunk, schema)
+    back = sums.filter("chunk is not null").select("chunk", "range", "words", "pairs")
+    return chunks.groupBy("chunk").cogroup(back.groupBy("chunk")).applyInArrow(of_chunk, schema)
