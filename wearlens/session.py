@@ -3,22 +3,19 @@
 from __future__ import annotations
 
 import os
+import tempfile
 import uuid
 
-from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 
 def local_session(cores: int = 8, name: str = "wearlens") -> SparkSession:
     """Session for tests and the bench; a cluster brings its own.
 
-    Where nothing names a shared folder, a local session takes one below the working folder.
+    Where nothing names a shared folder, this local session takes one of this machine.
     """
-    builder = SparkSession.builder
-    if not SparkConf().contains("spark.checkpoint.dir"):
-        builder = builder.config("spark.checkpoint.dir", os.path.join(os.getcwd(), "spark-checkpoints"))
-    return (
-        builder.master(f"local[{cores}]")
+    spark = (
+        SparkSession.builder.master(f"local[{cores}]")
         .appName(name)
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.session.timeZone", "UTC")
@@ -28,11 +25,14 @@ def local_session(cores: int = 8, name: str = "wearlens") -> SparkSession:
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="wearlens-"))
+    return spark
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``; executors must see it, so nothing else will do."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder the cluster names in ``spark.checkpoint.dir``, else the context's; executors must see it, so nothing else will do."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     return named
