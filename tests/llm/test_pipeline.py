@@ -80,7 +80,7 @@ def test_empty_tables(spark, documents, tmp_path):
 
 def test_every_operator_has_one_query():
     names = queries.all_queries()
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
 
 
 def test_ids_that_doubles_merge_keep_their_own_flags(spark):

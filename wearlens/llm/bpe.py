@@ -402,7 +402,7 @@ def encode(docs: DataFrame, tokens: list[bytes], decoded: bool = False) -> DataF
     names, schema = _schema(docs, [_IDS, _DECODED] if decoded else [_IDS])
     key = blake2b(b"".join(tokens)).hexdigest()
     shared = docs.sparkSession.sparkContext.broadcast((Vocabulary(tokens), code_point_classes(), key))
-    text = docs.columns.index("text") if "text" in docs.columns else None
+    text = names.index("text")
 
     def batch(b: pa.RecordBatch):
         encoder = _worker_encoder(shared)

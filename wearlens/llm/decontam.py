@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from wearlens.llm import words as W
-from wearlens.llm.store import id_blocks, keep, let, map_arrow, own, with_flags
+from wearlens.llm.store import id_blocks, keep, let, map_arrow, own, set_aside, with_flags
 
 WINDOW = 13  # words that an item's window has
 GRAM = 8  # words per fingerprint
@@ -200,7 +200,17 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without contaminated documents. Rows without a doc_id cannot be matched and stay."""
+    """``docs`` without contaminated documents; a row without doc_id is judged as one of its own."""
+    return set_aside(docs, lambda plain: _drop_contaminated(plain, benchmark), "doc_id", "text")
+
+
+def _drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    nameless = docs.filter("doc_id is null")
+    if not nameless.isEmpty():
+        kind = docs.schema["doc_id"].dataType
+        numbered = keep(nameless.withColumn("doc_id", F.monotonically_increasing_id()), "nameless")
+        left = _drop_contaminated(numbered, benchmark).withColumn("doc_id", F.lit(None).cast(kind))
+        return _drop_contaminated(docs.filter("doc_id is not null"), benchmark).unionByName(left)
     found = find_contamination(docs, benchmark).filter("contaminated and doc_id is not null")
     flag = "__contaminated"
     bad = id_blocks(found.select("doc_id", F.lit(True).alias(flag)), flag)

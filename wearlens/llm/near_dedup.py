@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from wearlens.llm import words as W
-from wearlens.llm.store import forget, id_blocks, keep, map_arrow, own, ship, with_flags
+from wearlens.llm.store import forget, id_blocks, keep, map_arrow, own, set_aside, ship, with_flags
 
 SHINGLE = 4
 BANDS, ROWS = 32, 4
@@ -354,7 +354,23 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each component; of rows that repeat a kept doc_id one stays."""
+    """``docs`` with one document of each component; of rows that repeat a kept doc_id one stays.
+
+    A row without doc_id goes if a row with one has the same words, and stays otherwise.
+    """
+    return set_aside(docs, _drop_near_duplicates, "doc_id", "text")
+
+
+def _drop_near_duplicates(docs: DataFrame) -> DataFrame:
+    nameless = docs.filter("doc_id is null")
+    if not nameless.isEmpty():
+        lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+        same = F.md5(F.trim(F.regexp_replace(lower, r"[\x20\x09-\x0D]+", " ")).cast("binary"))
+        worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+        named = docs.filter("doc_id is not null")
+        known = named.filter(worded).select(same.alias("__same")).distinct()
+        left = nameless.withColumn("__same", F.when(worded, same)).join(known, "__same", "left_anti").drop("__same")
+        return _drop_near_duplicates(named).unionByName(left)
     found = keep(near_duplicates(docs), "verdicts")
     dropped = found.filter("doc_id is not null").groupBy("doc_id").agg(F.bool_and(~F.col("kept")).alias("__copy"), (F.count(F.lit(1)) > 1).alias("__again"))
     flags = id_blocks(dropped.filter("__copy or __again"), "__copy", "__again")

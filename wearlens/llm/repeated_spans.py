@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from wearlens.llm import words as W
-from wearlens.llm.store import id_blocks, keep, map_arrow, own, with_flags
+from wearlens.llm.store import id_blocks, keep, map_arrow, own, set_aside, with_flags
 
 SENTENCES = 2
 WORDS = 10
@@ -112,7 +112,11 @@ def _cut_batch(names: list[str]):
 
 def drop_repeated_spans(docs: DataFrame) -> DataFrame:
     """``docs`` with the text cleaned, and n_sentences and n_removed (replaced if there were such columns)."""
-    docs = docs.drop("n_sentences", "n_removed", "__gone", "__touched")
+    docs = docs.drop("n_sentences", "n_removed")
+    return set_aside(docs, _drop_repeated_spans, "doc_id", "text")
+
+
+def _drop_repeated_spans(docs: DataFrame) -> DataFrame:
     ids = docs.schema["doc_id"]
     plain = own(docs, "doc_id", "text").filter("doc_id is not null")
     schema = T.StructType([ids, T.StructField("h", T.LongType()), T.StructField("at", T.IntegerType())])

@@ -23,7 +23,7 @@ from itertools import product
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from wearlens.llm.store import BLOCK, BLOCK_OF, keep, let, own, with_flags
+from wearlens.llm.store import BLOCK, BLOCK_OF, keep, let, own, set_aside, with_flags
 
 MARK = "__secret_"  # begins the columns that scan adds
 MOST_STRINGS = 64  # a literal part of a regex with more spellings than this is not expanded
@@ -214,9 +214,12 @@ def redacted(text: Column, spans: Column) -> Column:
 
 def redact(docs: DataFrame, rules: tuple[Rule, ...] = (*BASE, *ADDED)) -> DataFrame:
     """``docs`` with every secret in the text replaced by its kind, and n_chars, if there is one, by the new length."""
+    return set_aside(docs, lambda plain: _redact(plain, rules), "doc_id", "text", "n_chars")
+
+
+def _redact(docs: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     names = [MARK + r.kind for r in rules]
-    plain = own(docs, *docs.columns)
-    found = scan(plain, rules).withColumn("__spans", ordered(rules)).drop(*names)
+    found = scan(docs, rules).withColumn("__spans", ordered(rules)).drop(*names)
     text = F.when(F.size("__spans") > 0, redacted(F.col("text"), F.col("__spans"))).otherwise(F.col("text"))
     out = found.withColumn("text", text)
     if "n_chars" in docs.columns:

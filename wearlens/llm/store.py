@@ -79,6 +79,18 @@ def own(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{n}`") for n in names])
 
 
+def set_aside(docs: DataFrame, stage: Callable[[DataFrame], DataFrame], *used: str) -> DataFrame:
+    """``stage`` applied to ``docs`` with all but the ``used`` columns under numbered names; they come back under their own.
+
+    So a stage's own names cannot clash with a column, and names with dots need no care.
+    """
+    given = docs.columns
+    inner = [c if c in used else f"__x{i}" for i, c in enumerate(given)]
+    out = stage(docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(given, inner)]))
+    new = [c for c in out.columns if c not in inner]
+    return out.select(*inner, *new).toDF(*given, *new)
+
+
 def id_blocks(ids: DataFrame, *flags: str) -> DataFrame:
     """Rows (doc_id, boolean flags) as a table of one row per 64 neighbouring ids, a bitmap per flag.
 
