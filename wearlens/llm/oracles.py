@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wearlens.llm import licenses, outliers, secret_scan
+from wearlens.llm import licenses, secret_scan
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -86,39 +86,64 @@ def _cut(name: str, rows: str, keys: str, bin_: str, share: float) -> str:
     from (select {keys}, {bin_} b, count(*) n from {rows} group by all)) where upto >= {share} * total group by all)"""
 
 
-def _distance(name: str, rows: str, params: str) -> str:
-    p = range(outliers.P)
-    factors, ys = [], []
-    for i in p:
-        for j in range(i + 1):
-            rest = f"s{i}{j}" + "".join(f" - l{i}{k} * l{j}{k}" for k in range(j))
-            factors.append(f"sqrt({rest}) l{i}{j}" if i == j else f"({rest}) / l{j}{j} l{i}{j}")
-        ys.append(f"(x{i} - m{i}" + "".join(f" - l{i}{k} * y{k}" for k in range(i)) + f") / l{i}{i} y{i}")
+def _factors() -> str:
+    made = []
+    for i, j in _PAIRS:
+        rest = f"s{i}{j}" + "".join(f" - l{i}{k} * l{j}{k}" for k in range(j))
+        made.append(f"sqrt({rest}) l{i}{j}" if i == j else f"({rest}) / l{j}{j} l{i}{j}")
+    return ", ".join(made)
+
+
+def _distance(name: str, params: str) -> str:
+    """Rows of vec once per estimate of their group, with the squared Mahalanobis distance."""
+    ys = ", ".join(f"(x{i} - m{i}" + "".join(f" - l{i}{k} * y{k}" for k in range(i)) + f") / l{i}{i} y{i}" for i in range(4))
     return f"""{name} as materialized (
-  select *, {" + ".join(f"y{i} * y{i}" for i in p)} d2 from (
-    select r.*, {", ".join(ys)} from {rows} r join (select *, {", ".join(factors)} from {params}) f using (g)))"""
+  select *, y0 * y0 + y1 * y1 + y2 * y2 + y3 * y3 d2 from (
+    select r.*, k, {ys} from vec r join (select *, {_factors()} from {params}) f using (g)))"""
+
+
+#: op10's own constants: share of a group inside, documents the target counts for, floors of the deviations,
+#: the 0.75 share's consistency factor and the 0.9999 quantile for four dimensions, and steps unrolled
+_PAIRS = [(i, j) for i in range(4) for j in range(i + 1)]
+_INSIDE, _PRIOR, _FLOOR, _FACTOR, _BEYOND, _UNROLLED = 0.75, 20.0, (0.3, 0.05, 0.5, 0.5), 1.4864156071332657, 23.512742444989872, 30
 
 
 def _op10() -> str:
-    p, floor = range(outliers.P), outliers.FLOOR
-    pairs = [(i, j) for i in p for j in range(i + 1)]
     x = ["ln(n_words)", "ln(word_chars / n_words)", "ln(1 + 100 * n_symbols / n_words)", "ln(1 + 100 * n_repeat_words / n_words)"]
-    start = ", ".join(f"max(case when i = {i} then median end) / 1000 m{i}" for i in p)
-    spread = ", ".join(f"max(case when i = {i} then cut end) / 1000 d{i}" for i in p)
-    cov = ", ".join(f"pow(1.4826 * d{i}, 2) + {floor[i] ** 2} s{i}{j}" if i == j else f"0.0 s{i}{j}" for i, j in pairs)
+    means = ", ".join(f"m{i}" for i in range(4))
+    kinds = {1: "tanh(z{i}) * tanh(z{j})", 2: "case when nz > 0 then z{i} * z{j} / (nz * nz) else 0 end"}
+    sums = ", ".join(f"sum({kinds[k].format(i=i, j=j)}) c{k}{i}{j}" for k in (1, 2) for i, j in _PAIRS)
+
+    def begun(k: int) -> str:
+        def of(i: int, j: int) -> str:
+            if i == j:
+                return f"d{i} * d{i} + {_FLOOR[i] ** 2} s{i}{i}"
+            return (f"coalesce(c{k}{i}{j} / nullif(sqrt(c{k}{i}{i} * c{k}{j}{j}), 0), 0) * d{i} * d{j}" if k else "0.0") + f" s{i}{j}"
+
+        return f"select g, {k} k, {means}, {', '.join(of(i, j) for i, j in _PAIRS)}, 1e300 f, true moved from scale join first using (g)"
+
+    moments = ", ".join(f"avg(x{i} * x{j}) e{i}{j}" for i, j in _PAIRS)
+    shape = ", ".join(
+        f"(n * ({_FACTOR} * greatest(e{i}{i} - m{i} * m{i}, 0) + {_FLOOR[i] ** 2}) + {_PRIOR} * t{i}) / (n + {_PRIOR}) s{i}{i}"
+        if i == j else f"n * {_FACTOR} * (e{i}{j} - m{i} * m{j}) / (n + {_PRIOR}) s{i}{j}"
+        for i, j in _PAIRS
+    )
+    kept = [f"m{i}" for i in range(4)] + [f"s{i}{j}" for i, j in _PAIRS] + ["f"]
     ctes = []
-    for k in range(outliers.STEPS):
-        ctes.append(_distance(f"near{k}", "vec", f"est{k}"))
-        ctes.append(_cut(f"edge{k}", f"near{k}", "g", "cast(floor(ln(1 + d2) * 200) as bigint)", outliers.SHARE))
-        means = ", ".join(f"avg(x{i}) m{i}" for i in p)
-        moments = ", ".join(f"sum(x{i} * x{j}) / count(*) e{i}{j}" for i, j in pairs)
-        shape = ", ".join(
-            f"{outliers.CONSISTENT} * greatest(e{i}{j} - m{i} * m{j}, {'0.0' if i == j else '-1e9'}) + {floor[i] ** 2 if i == j else 0.0} s{i}{j}" for i, j in pairs
-        )
-        ctes.append(f"""est{k + 1} as materialized (
-  select g, {", ".join(f"m{i}" for i in p)}, {shape} from (
-    select g, {means}, {moments} from near{k} join edge{k} using (g) where cast(floor(ln(1 + d2) * 200) as bigint) <= cut group by g))""")
-    ctes.append(_distance("final", "vec", f"est{outliers.STEPS}"))
+    for t in range(_UNROLLED):
+        bin_ = "cast(floor(ln(1 + d2) * 200) as bigint)"
+        ctes += [
+            _distance(f"near{t}", f"(select * from est{t} where moved)"),
+            _cut(f"edge{t}", f"near{t}", "g, k", bin_, _INSIDE),
+            f"""new{t} as materialized (
+  select *, 2 * (ln(l00) + ln(l11) + ln(l22) + ln(l33)) f from (select *, {_factors()} from (
+    select g, k, {means}, {shape} from target, (
+      select g, k, count(*) n, {", ".join(f"avg(x{i}) m{i}" for i in range(4))}, {moments}
+      from near{t} join edge{t} using (g, k) where {bin_} <= cut group by g, k))))""",
+            f"""est{t + 1} as materialized (
+  select g, k, {", ".join(f"case when b.moved then n.{c} else o.{c} end {c}" for c in kept)}, b.moved moved
+  from est{t} o left join new{t} n using (g, k), lateral (select coalesce(n.f < o.f - 1e-6, false) moved) b)""",
+        ]
     return f"""
 with words as (select doc_id, lang, source, coalesce(text, '') t, regexp_extract_all(coalesce(text, ''), '{_SPACED}') w from documents),
 win as (select doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] g from (select doc_id, w, unnest(range(1, len(w) - 1)) i from words where len(w) >= 3)),
@@ -127,27 +152,30 @@ rep as (select doc_id, count(distinct x) r from (select doc_id, unnest([i, i + 1
 base as (
   select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words base_failed from (
     select doc_id, lang, source, cast(len(w) as bigint) n_words, cast(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) as bigint) word_chars,
-      cast(len(regexp_extract_all(t, '{outliers.SYMBOLS}')) as bigint) n_symbols, cast(len(l) - len(list_distinct(l)) as bigint) n_dup_lines,
+      cast(len(regexp_extract_all(t, '[#*$%&|<>]')) as bigint) n_symbols, cast(len(l) - len(list_distinct(l)) as bigint) n_dup_lines,
       cast(coalesce(r, 0) as bigint) n_repeat_words
     from (select *, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) l from words) left join rep using (doc_id))),
-ok as (select * from base where not base_failed),
-sized as (select *, count(*) over (partition by lang, source) n from ok),
-pooled as (select *, case when n < {outliers.LEAST} then sum(case when n < {outliers.LEAST} then 1 else 0 end) over (partition by lang) end m from sized),
-resting as (select *, sum(case when m < {outliers.LEAST} then 1 else 0 end) over () r from pooled),
 vec as materialized (
-  select * from (
-    select doc_id, case when n >= {outliers.LEAST} then concat_ws('|', '1', lang, source) when m >= {outliers.LEAST} then concat_ws('|', '2', lang)
-      when r >= {outliers.LEAST} then 'rest' end g, {", ".join(f"{e} x{i}" for i, e in enumerate(x))}
-    from resting) where g is not null),
-long as (select g, i, cast(floor(v * 1000) as bigint) q from (select g, unnest([{", ".join(f"x{i}" for i in p)}]) v, unnest([{", ".join(map(str, p))}]) i from vec)),
+  select doc_id, to_json({{'l': lang, 's': source}}) g, {", ".join(f"{e} x{i}" for i, e in enumerate(x))} from base where not base_failed),
+long as (select g, i, cast(floor(v * 1000) as bigint) q from (select g, unnest([x0, x1, x2, x3]) v, unnest([0, 1, 2, 3]) i from vec)),
 {_cut("med", "long", "g, i", "q", 0.5)},
 off as (select g, i, abs(q - cut) q, cut median from long join med using (g, i)),
 {_cut("mad", "off", "g, i", "q", 0.5)},
-est0 as materialized (
-  select *, {cov} from (select g, {start}, {spread} from (select mad.g, mad.i, mad.cut, med.cut median from mad join med using (g, i)) group by g)),
-{", ".join(ctes)}
-select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  not base_failed and coalesce(d2, 0) <= {outliers.CUT} kept
+{_cut("wide", "off", "i", "q", 0.5)},
+target as (select {", ".join(f"max(case when i = {i} then pow(1.4826 * cut / 1000, 2) + {v ** 2} end) t{i}" for i, v in enumerate(_FLOOR))} from wide),
+scale as materialized (
+  select g, {", ".join(f"max(case when i = {i} then med.cut end) / 1000 m{i}" for i in range(4))},
+    {", ".join(f"sqrt(pow(1.4826 * max(case when i = {i} then mad.cut end) / 1000, 2) + {v ** 2}) d{i}" for i, v in enumerate(_FLOOR))}
+  from mad join med using (g, i) group by g),
+first as materialized (
+  select g, {sums} from (
+    select *, sqrt(z0 * z0 + z1 * z1 + z2 * z2 + z3 * z3) nz from (select g, {", ".join(f"(x{i} - m{i}) / d{i} z{i}" for i in range(4))} from vec join scale using (g)))
+  group by g),
+est0 as materialized ({" union all ".join(map(begun, range(3)))}),
+{", ".join(ctes)},
+best as (select * from est{_UNROLLED} qualify row_number() over (partition by g order by round(f, 6), k) = 1),
+{_distance("final", "best")}
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and coalesce(d2, 0) <= {_BEYOND} kept
 from base left join (select doc_id, d2 from final) using (doc_id)
 """
 
