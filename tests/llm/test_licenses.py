@@ -1,4 +1,8 @@
-from wearlens.llm import licenses
+import textwrap
+
+import duckdb
+
+from wearlens.llm import licenses, oracles
 
 
 def scan(spark, docs):
@@ -40,3 +44,34 @@ def test_full_texts_alone_and_inside_documents(spark, documents):
     assert {i for i, _ in texts} >= {"Apache-2.0", "GPL-3.0", "MPL-2.0", "BSD-2-Clause", "BSD-3-Clause"}
     assert all(i in rows[k].whole_licenses for k, (i, _) in enumerate(texts))
     assert "MIT" in rows[100].licenses and "GPL-3.0" in rows[101].licenses and "MIT" not in rows[102].licenses
+
+
+def wrapped(text, width):
+    return "\n\n".join(textwrap.fill(p, width) for p in text.replace("\r", "").split("\n\n"))
+
+
+def test_every_known_text_is_recognised_in_any_wrap(spark, documents):
+    given = [(i, t) for i, t in [*licenses.full_texts(), *[k for k in licenses.KNOWN if len(k[1]) > 300]]]
+    rows = [(k * 10 + j, wrapped(t, w)) for k, (_, t) in enumerate(given) for j, w in enumerate((60, 80, 100))]
+    got = {r.doc_id: list(r.whole_licenses) for r in scan(spark, documents(*rows))}
+    assert [(given[i // 10][0], i % 10) for i in got if given[i // 10][0] not in got[i]] == []
+
+
+def test_a_sentence_that_wraps_before_copyright_stays(spark, documents):
+    whole = "You keep every\ncopyright notice that is included, and\n(c) You must retain it."
+    one, other, less = scan(spark, documents((1, whole), (2, whole.replace("\n", " ")), (3, whole.replace("copyright notice", "notice"))))
+    assert one.digest == other.digest != less.digest
+
+
+def test_equals_sql_on_full_texts_and_runs(spark, documents):
+    texts = dict(licenses.full_texts())
+    rows = [
+        (1, texts["GPL-2.0"]), (2, "a\n\n" + wrapped(texts["Apache-2.0"], 70) + "\n\nb"), (3, "Copyright (c) 2020 A\n\n" + texts["BSD-2-Clause"]), (4, None), (5, ""), (5, ""),
+        (6, "Released under the MIT Licence.\n\nCopyright 2001 B\nAll rights reserved."), (7, wrapped(texts["GPL-3.0"], 100)), (8, "© x\nnon-\ncommercial version\n2"),
+    ]
+    duck = duckdb.connect()
+    duck.execute("create table documents(doc_id bigint, text varchar)")
+    duck.executemany("insert into documents values (?, ?)", rows)
+    expected = sorted(duck.execute(f"select doc_id, digest, whole_licenses, licenses from ({oracles.oracle_sql()['op7_license_scan']})").fetchall())
+    assert sorted((r.doc_id, r.digest, ",".join(r.whole_licenses), ",".join(r.licenses)) for r in scan(spark, documents(*rows))) == expected
+    assert dict((r[0], r[2]) for r in expected)[7] == "GPL-3.0"

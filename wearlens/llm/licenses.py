@@ -1,10 +1,16 @@
 """License scans by canonical digest, with built-in functions alone.
 
-A text becomes canonical: lower case; copyright lines dropped; equivalent spellings made one;
-punctuation and white space between words reduced to one space. The SHA-256 of a canonical text is
-joined with those of the known licence texts. Looked up are the whole text, its paragraphs (blocks
-between blank lines) and its lines, each as an entire text; also runs of consecutive paragraphs that
-begin with the first paragraph of a known text and have as many.
+A text becomes canonical: lower case; copyright lines dropped; equivalent spellings made one, also
+across a line break; punctuation and white space between words reduced to one space. The SHA-256 of a
+canonical text is joined with those of the known licence texts. Looked up are the whole text, its
+paragraphs (blocks between blank lines) and its lines, each as an entire text; also runs of consecutive
+paragraphs that begin with the first paragraph of a known text and have as many.
+
+A copyright line is one that begins with a notice: the sign ©, or the word or (c) followed by the other
+sign, a year or a bracketed placeholder; a sentence whose wrapped line begins with "copyright" is none.
+Where a notice shares a paragraph with the licence, as in the GPL, a new wrap moves words onto the
+notice's line. So a text with such lines is looked up a second time with them left in, and known texts
+have both digests: a known text is recognised however its paragraphs are wrapped.
 
 The known texts are a table given by the caller; Spark joins it by its size. Here they are ``KNOWN``
 and the full texts in the folder ``license_texts``, named by licence.
@@ -22,7 +28,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wearlens.llm.store import let, own
 
-COPYRIGHT = r"(?m)^[ \t*#/;]*(?:copyright|\(c\)|©)[^\n]*$"
+COPYRIGHT = (
+    r"(?m)^[ \t*#/;]*(?:©|copyright[ \t,:]*(?:by[ \t]+|the[ \t]+|year[ \t]+)?(?:\(c\)|©|[0-9]{4}|[\[<{])|\(c\)[ \t,]*(?:copyright|[0-9]{4}|[\[<{]))[^\n]*$"
+)
+GAP = r"(?: ?\n ?| )"  # between two words: a space, or one line break
 SEPARATORS = r"[\x00-\x09\x0B-\x2F\x3A-\x60\x7B-\x7F “”‘’–—…©®™•·]+"
 #: equivalent spellings: regex over words, and what they become
 SPELLINGS = (
@@ -30,12 +39,12 @@ SPELLINGS = (
     (r"\b(organ|recogn|author|util|modern|general)is(e|ed|es|ing|ation|ations)\b", "$1iz$2"),
     (r"\b(fav|hon|behavi|col)our", "$1or"),
     (r"\bfulfil\b", "fulfill"),
-    (r"\bnon commercial\b", "noncommercial"),
-    (r"\bsub licens", "sublicens"),
-    (r"\bper cent\b", "percent"),
-    (r"\bcopyright (holder|owner)s?\b", "copyright holder"),
+    (rf"\bnon{GAP}commercial\b", "noncommercial"),
+    (rf"\bsub{GAP}licens", "sublicens"),
+    (rf"\bper{GAP}cent\b", "percent"),
+    (rf"\bcopyright{GAP}(holder|owner)s?\b", "copyright holder"),
     (r"\bhttps?\b", "http"),
-    (r"\bv(?:ersion|er)? ?([0-9])", "version $1"),
+    (rf"\bv(?:ersion|er)?{GAP}?([0-9])", "version $1"),
 )
 
 _AS_IS = (
@@ -80,9 +89,10 @@ KNOWN = (
 )
 
 
-def canonical(text: Column) -> Column:
-    """Canonical words, one space between; line ends stay as single \\n with canonical lines around."""
-    c = F.regexp_replace(F.lower(text), COPYRIGHT, "")
+def canonical(text: Column, notices: bool = False) -> Column:
+    """Canonical words, one space between; line ends stay as single \\n. With ``notices`` null if there are none to leave in."""
+    lower = F.lower(text)
+    c = F.when(lower.rlike(COPYRIGHT), lower) if notices else F.regexp_replace(lower, COPYRIGHT, "")
     c = F.regexp_replace(c, SEPARATORS, " ")
     for pattern, to in SPELLINGS:
         c = F.regexp_replace(c, pattern, to)
@@ -98,7 +108,8 @@ def full_texts() -> list[tuple[str, str]]:
 def known_licenses(spark: SparkSession, texts=None) -> DataFrame:
     """Rows (license, digest, first, n), distinct: ``first`` is the digest of the first of ``n`` paragraphs."""
     texts = [*KNOWN, *full_texts()] if texts is None else list(texts)
-    given = spark.createDataFrame(texts, "license string, text string").select("license", canonical(F.col("text")).alias("c"))
+    forms = F.explode(F.array(canonical(F.col("text")), canonical(F.col("text"), notices=True))).alias("c")
+    given = spark.createDataFrame(texts, "license string, text string").select("license", forms).filter("c is not null")
     parts = given.withColumn("p", _paragraphs(F.col("c")))
     return parts.select("license", F.sha2(_whole(F.col("c")), 256).alias("digest"), F.sha2(F.get("p", F.lit(0)), 256).alias("first"), F.size("p").alias("n")).distinct()
 
@@ -142,10 +153,13 @@ def scan_licenses(docs: DataFrame, known: DataFrame) -> DataFrame:
         return F.struct(F.sha2(_whole(c), 256).alias("whole"), (F.array_union(units, runs(c)) if starts else units).alias("units"))
 
     # computed once per row, in a generator: the steps below must not repeat it for every unit
-    once = F.explode(F.array(let(canonical(text), digests))).alias("d")
+    forms = F.filter(F.array(canonical(text), canonical(text, notices=True)), lambda c: c.isNotNull())
+    once = F.explode(F.array(F.transform(forms, digests))).alias("d")
     rows = own(docs, "doc_id", "text").select("doc_id", F.monotonically_increasing_id().alias("row"), once)
-    units = rows.select("doc_id", "row", F.col("d.whole").alias("whole"), F.explode_outer("d.units").alias("digest"))
-    hit = units.join(known.select("license", "digest").distinct(), "digest", "left").select("row", "doc_id", "whole", "license", F.when(F.col("digest") == F.col("whole"), F.col("license")).alias("of_whole"))
+    wholes, every = F.col("d.whole").alias("wholes"), F.explode_outer(F.array_distinct(F.flatten("d.units"))).alias("digest")
+    units = rows.select("doc_id", "row", wholes, every).withColumn("whole", F.get("wholes", F.lit(0)))
+    of_whole = F.when(F.array_contains("wholes", F.col("digest")), F.col("license")).alias("of_whole")
+    hit = units.join(known.select("license", "digest").distinct(), "digest", "left").select("row", "doc_id", "whole", "license", of_whole)
     ids = lambda some: F.array_sort(F.collect_set(some))
     return (
         hit.groupBy("row", "doc_id", "whole")

@@ -208,30 +208,40 @@ from parts
 """
 
 
-def _canonical(text: str) -> str:
+def _canonical(text: str, notices: bool = False) -> str:
     steps = [(licenses.COPYRIGHT, "", "g"), (licenses.SEPARATORS, " ", "g"), *[(p, to.replace("$", "\\"), "g") for p, to in licenses.SPELLINGS]]
     out = f"lower({text})"
-    for pattern, to, flags in steps:
+    for pattern, to, flags in steps[1:] if notices else steps:
         out = f"regexp_replace({out}, '{pattern}', '{to}', '{flags}')"
-    return out
+    return f"case when regexp_matches(lower({text}), '{licenses.COPYRIGHT}') then {out} end" if notices else out
 
 
 def _op7() -> str:
-    given = ", ".join("('" + i + "', '" + t.replace("'", "''") + "')" for i, t in licenses.KNOWN)
+    given = ", ".join("('" + i + "', '" + t.replace("'", "''") + "')" for i, t in [*licenses.KNOWN, *licenses.full_texts()])
     whole = "trim(regexp_replace(translate({}, chr(10), ' '), ' +', ' ', 'g'))"
+    paragraphs = f"list_filter(list_transform(string_split_regex(c, '\\n *\\n'), lambda x: {whole.format('x')}), lambda x: x != '')"
     return f"""
-with known as (
-  select distinct license, sha256({whole.format(_canonical("text"))}) digest from (values {given}) t(license, text)),
-docs as (select row_number() over () row, doc_id, {_canonical("coalesce(text, '')")} c from documents),
+with texts as (from (values {given}) t(license, text)),
+known as (
+  select distinct license, sha256({whole.format("c")}) digest, {paragraphs}[1] first, len({paragraphs}) n
+  from (select license, {_canonical("text")} c from texts union all select license, {_canonical("text", True)} c from texts) where c is not null),
+docs as materialized (select row_number() over () row, doc_id, coalesce(text, '') t from documents),
+forms as materialized (
+  select row, true plain, {_canonical("t")} c from docs union all select row, false plain, {_canonical("t", True)} c from docs where regexp_matches(lower(t), '{licenses.COPYRIGHT}')),
+whole as (select row, plain, sha256({whole.format("c")}) digest from forms),
+blocks as (select row, plain, {paragraphs} p from forms),
+runs as (
+  select row, array_to_string(p[i:i + n - 1], ' ') u
+  from (select row, plain, p, unnest(range(1, len(p) + 1)) i from blocks) join (select distinct first, n from known where n > 1) on p[i] = first and i + n - 1 <= len(p)),
 units as (
-  select distinct row, unnest(list_concat([{whole.format("c")}], list_transform(string_split_regex(c, '\\n *\\n'), lambda x: {whole.format("x")}),
-    list_transform(string_split(c, chr(10)), lambda x: trim(x)))) u from docs),
+  select row, unnest(list_concat([{whole.format("c")}], {paragraphs}, list_transform(string_split(c, chr(10)), lambda x: trim(x)))) u from forms
+  union select row, u from runs),
 hit as (select distinct row, license, digest from units join known on sha256(u) = digest where u != ''),
-own as (select row, doc_id, sha256({whole.format("c")}) digest from docs)
-select doc_id, own.digest,
-  coalesce(string_agg(distinct license, ',' order by license) filter (hit.digest = own.digest), '') whole_licenses,
+marked as (select hit.row, license, bool_or(whole.digest is not null) is_whole from hit left join whole on whole.row = hit.row and whole.digest = hit.digest group by all)
+select doc_id, whole.digest,
+  coalesce(string_agg(distinct license, ',' order by license) filter (is_whole), '') whole_licenses,
   coalesce(string_agg(distinct license, ',' order by license), '') licenses
-from own left join hit using (row) group by row, doc_id, own.digest
+from docs join whole on whole.row = docs.row and plain left join marked on marked.row = docs.row group by docs.row, doc_id, whole.digest
 """
 
 
