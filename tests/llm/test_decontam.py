@@ -65,3 +65,15 @@ def test_contaminated_documents_are_dropped_whole(spark, documents, words):
     left = decontam.drop_contaminated(docs, spark.createDataFrame([(1, text)], "item_id long, text string"))
     assert left.columns == docs.columns
     assert sorted(str(r.doc_id) for r in left.collect()) == ["2", "4", "None"]
+
+
+def test_one_word_over_and_over_meets_itself_once(spark, documents):
+    """Places of one context are joined once: thousands of places on either side stay thousands of rows."""
+    items = [(k, "ha " * 3000) for k in range(5)] + [(9, "a b " * 1500), (10, "ha " * 12 + "end")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = documents((1, "ha " * 4000), (2, "x y " + "a b " * 2000 + "z"), (3, "ha " * 12), (4, "start " + "ha " * 13 + "stop"), (5, "ha " * 12 + "end"))
+    rows = {r.doc_id: r for r in decontam.find_contamination(docs, bench).collect()}
+    assert [(rows[k].n_words, rows[k].n_hit, list(rows[k]["items"])) for k in range(1, 6)] == [
+        (4000, 4000, ["0", "1", "2", "3", "4"]), (4003, 4000, ["9"]), (12, 0, []), (15, 13, ["0", "1", "2", "3", "4"]), (13, 13, ["10"]),
+    ]
+    assert len(rows[1].spans) < 20 * 4000

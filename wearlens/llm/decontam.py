@@ -35,7 +35,7 @@ _HIT = T.StructType(
     [
         T.StructField("length", T.IntegerType()),
         T.StructField("fingerprint", T.LongType()),
-        T.StructField("at", T.IntegerType()),
+        T.StructField("at", T.ArrayType(T.IntegerType())),
         T.StructField("gram", T.StringType()),
         T.StructField("before", T.ArrayType(T.StringType())),
         T.StructField("after", T.ArrayType(T.StringType())),
@@ -67,11 +67,14 @@ def _fingerprints(words: W.Words, lengths) -> tuple:
         yield length, k, at, W.mix(made[k][at] + np.uint64(length))
 
 
-def _context(words: W.Words, lo: int, hi: int, p: int, length: int, k: int) -> dict:
-    """The gram at word p and what surrounds it, as far as a window that holds it can reach."""
-    reach = length - k
-    left = words.strings(max(lo, p - reach), p)
-    return {"at": p - lo, "gram": " ".join(words.strings(p, p + k)), "before": left[::-1], "after": words.strings(p + k, min(hi, p + length))}
+def _place(found: dict, words: W.Words, lo: int, hi: int, p: int, length: int, k: int, h: int) -> None:
+    """Add word p to the places in ``found`` of its gram with what surrounds it, as far as a window that holds it can reach."""
+    left, right = words.strings(max(lo, p - (length - k)), p), words.strings(p + k, min(hi, p + length))
+    found.setdefault((length, h, " ".join(words.strings(p, p + k)), tuple(left[::-1]), tuple(right)), []).append(p - lo)
+
+
+def _hits(found: dict) -> list[dict]:
+    return [{"length": length, "fingerprint": h, "at": at, "gram": gram, "before": left, "after": right} for (length, h, gram, left, right), at in found.items()]
 
 
 def _signed(h: np.ndarray) -> np.ndarray:
@@ -85,7 +88,7 @@ def _item_batches(window: int):
         for row, stop, data, offsets in W.text_chunks(b.column("text")):
             words = W.split(data, offsets, W.ALNUM)
             texts = words.text()
-            found = [[] for _ in range(stop - row)]
+            found = [{} for _ in range(stop - row)]
             counts = words.counts
             for length in np.unique(np.minimum(counts[counts > 0], window)).tolist():
                 fits = counts == length if length < window else counts >= window
@@ -93,9 +96,8 @@ def _item_batches(window: int):
                     for p, h in zip(at.tolist(), _signed(prints).tolist()):
                         i = int(texts[p])
                         if fits[i]:
-                            lo, hi = int(words.ptr[i]), int(words.ptr[i + 1])
-                            found[i].append({"length": size, "fingerprint": h, **_context(words, lo, hi, p, size, k)})
-            yield pa.RecordBatch.from_arrays([b.column("item_id").slice(row, stop - row), pa.array(found, arrow)], ["item_id", "hits"])
+                            _place(found[i], words, int(words.ptr[i]), int(words.ptr[i + 1]), p, size, k, h)
+            yield pa.RecordBatch.from_arrays([b.column("item_id").slice(row, stop - row), pa.array(map(_hits, found), arrow)], ["item_id", "hits"])
 
     return batch
 
@@ -114,12 +116,11 @@ def _doc_batches(lengths: list[int], bits):
                 hit = np.flatnonzero(table[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8) & 1)
                 texts = np.searchsorted(words.ptr, at[hit], side="right") - 1
                 for p, h, i in zip(at[hit].tolist(), _signed(prints[hit]).tolist(), texts.tolist()):
-                    lo, hi = int(words.ptr[i]), int(words.ptr[i + 1])
-                    found[i] = found[i] or []
-                    found[i].append({"length": length, "fingerprint": h, **_context(words, lo, hi, p, length, k)})
+                    found[i] = found[i] or {}
+                    _place(found[i], words, int(words.ptr[i]), int(words.ptr[i + 1]), p, length, k, h)
             digest = [int.from_bytes(blake2b(data[a:z], digest_size=8).digest(), "little", signed=True) for a, z in zip(offsets[:-1], offsets[1:])]
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id").slice(row, stop - row), pa.array(digest, pa.int64()), pa.array(words.counts, pa.int64()), pa.array(found, arrow)],
+                [b.column("doc_id").slice(row, stop - row), pa.array(digest, pa.int64()), pa.array(words.counts, pa.int64()), pa.array([f and _hits(f) for f in found], arrow)],
                 ["doc_id", "digest", "n_words", "hits"],
             )
 
@@ -128,7 +129,7 @@ def _doc_batches(lengths: list[int], bits):
 
 def _arrow_hit() -> pa.DataType:
     text = pa.list_(pa.string())
-    return pa.struct([("length", pa.int32()), ("fingerprint", pa.int64()), ("at", pa.int32()), ("gram", pa.string()), ("before", text), ("after", text)])
+    return pa.struct([("length", pa.int32()), ("fingerprint", pa.int64()), ("at", pa.list_(pa.int32())), ("gram", pa.string()), ("before", text), ("after", text)])
 
 
 def _run(a: Column, b: Column) -> Column:
@@ -158,9 +159,13 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     spark = docs.sparkSession
     ids = docs.schema["doc_id"].dataType
     item = T.StructType([benchmark.schema["item_id"], T.StructField("hits", T.ArrayType(_HIT))])
-    items = keep(map_arrow(own(benchmark, "item_id", "text"), ["item_id", "text"], item, _item_batches(window)).select("item_id", F.explode("hits").alias("h")).select("item_id", "h.*"), "items")
+    # equal grams in equal surroundings are one context, whatever the items and places they stand in
+    found = map_arrow(own(benchmark, "item_id", "text"), ["item_id", "text"], item, _item_batches(window)).select("item_id", F.explode("hits").alias("h")).select("item_id", "h.*")
+    context = F.sha2(F.to_json(F.struct("length", "gram", "before", "after")), 256).alias("context")
+    items = keep(found.select("item_id", context, "length", "fingerprint", "gram", "before", "after"), "items")
+    contexts = items.drop("item_id").dropDuplicates(["context"])
     lengths = sorted(r[0] for r in items.select("length").distinct().collect())  # at most ``window`` rows
-    place = items.select((F.col("fingerprint").bitwiseAND(F.lit(FILTER_BITS - 1))).alias("place"))
+    place = contexts.select((F.col("fingerprint").bitwiseAND(F.lit(FILTER_BITS - 1))).alias("place"))
     filled = place.groupBy(F.shiftright("place", 3).alias("byte")).agg(F.bit_or(F.expr("shiftleft(1, cast(place & 7 as int))")).alias("bits")).toPandas()
     table = np.zeros(FILTER_BITS // 8, dtype=np.uint8)  # at most as many rows as it has bytes
     table[filled["byte"].to_numpy(dtype=np.int64)] = filled["bits"].to_numpy(dtype=np.uint8)
@@ -171,21 +176,24 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     scanned = keep(map_arrow(own(docs, "doc_id", "text"), ["doc_id", "text"], passed, _doc_batches(lengths, shared)), "scanned")
 
     left = scanned.filter(F.col("hits").isNotNull()).select("doc_id", "digest", F.explode("hits").alias("d"))
-    right = items.select("item_id", "length", "fingerprint", F.struct("gram", "before", "after").alias("i"))
+    right = contexts.select("context", "length", "fingerprint", F.struct("gram", "before", "after").alias("i"))
     same = (F.col("d.length") == right["length"]) & (F.col("d.fingerprint") == right["fingerprint"])
-    start = F.col("d.at") - _run(F.col("d.before"), F.col("i.before"))
-    end = F.col("d.at") + F.least(F.lit(GRAM), F.col("d.length")) + _run(F.col("d.after"), F.col("i.after"))
-    spans = (
+    document = ["doc_id", "digest"]
+    k = F.least(F.lit(GRAM), F.col("d.length"))
+    runs = (
         left.join(right, same)
         .filter(F.col("d.gram") == F.col("i.gram"))
-        .select("doc_id", "digest", "item_id", F.col("d.length").alias("length"), start.alias("start"), end.alias("end"))
-        .filter(F.col("end") - F.col("start") >= F.col("length"))
-    )
-    hits = (
-        spans.groupBy(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"))
-        .agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans"), F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
-        .withColumn("n_hit", covered(F.col("spans")))
+        .select(*document, "context", "d.at", F.col("d.length").alias("length"), _run(F.col("d.before"), F.col("i.before")).alias("back"), (k + _run(F.col("d.after"), F.col("i.after"))).alias("on"))
     )
+    met = keep(runs.filter(F.col("back") + F.col("on") >= F.col("length")).drop("length"), "met")
+    # expanded to places only now: a context of n places meets one of m places once, not n * m times
+    places = met.select(*document, "at", "back", "on").distinct().select(*document, F.explode("at").alias("p"), "back", "on")
+    spans = places.groupBy(*document).agg(F.array_sort(F.collect_set(F.struct((F.col("p") - F.col("back")).alias("start"), (F.col("p") + F.col("on")).alias("end")))).alias("spans"))
+    members = items.select("context", F.col("item_id").cast("string").alias("item")).distinct()
+    named = met.select(*document, "context").distinct().join(members, "context").groupBy(*document).agg(F.array_sort(F.collect_set("item")).alias("items"))
+    there = named.toDF("__id", "__digest", "items")
+    both = spans.join(there, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("digest") == F.col("__digest")), "left")
+    hits = both.select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"), "spans", "items", covered(F.col("spans")).alias("n_hit"))
     mine = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("digest") == F.col("__digest"))
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
     return (
