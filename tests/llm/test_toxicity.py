@@ -1,3 +1,6 @@
+import math
+import random
+
 import numpy as np
 import pytest
 
@@ -63,3 +66,43 @@ def test_rejected_documents_go_and_others_keep_all_columns(spark, documents, lab
     left = toxicity.drop_toxic(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
     assert left.schema == docs.schema
     assert {r.doc_id for r in left.select("doc_id").collect()} == {k for k in range(1200) if k % 8}
+
+
+def test_fit_equals_a_plain_search_on_few_rows():
+    """The same likelihood written row by row, minimized one parameter at a time."""
+    r = random.Random(12)
+    present, grade = [], []
+    for _ in range(50):
+        x = [k for k in range(3) if r.random() < 0.5]
+        s = 1.5 * (0 in x) - 1.0 * (1 in x) + r.gauss(0, 1.2)
+        present.append(x)
+        grade.append(0 if s < 0 else 1 if s < 1.2 else 2)
+
+    def sigmoid(x):
+        return 1 / (1 + math.exp(-x))
+
+    def loss(v):  # three weights, two thresholds
+        if v[3] >= v[4]:
+            return math.inf
+        total = 0.0
+        for x, g in zip(present, grade):
+            s = sum(v[k] for k in x)
+            low, high = (0.0 if g == 0 else sigmoid(v[2 + g] - s)), (1.0 if g == 2 else sigmoid(v[3 + g] - s))
+            total -= math.log(max(high - low, 1e-12))
+        return total / len(grade) + toxicity.RIDGE / 2 * sum(w * w for w in v[:3])
+
+    v = [0.0, 0.0, 0.0, 0.0, 1.0]
+    for _ in range(60):
+        for i in range(5):
+            lo, hi = v[i] - 2, v[i] + 2
+            while hi - lo > 1e-7:  # the loss is convex in each parameter
+                a, b = lo + (hi - lo) / 3, hi - (hi - lo) / 3
+                if loss(v[:i] + [a] + v[i + 1 :]) < loss(v[:i] + [b] + v[i + 1 :]):
+                    hi = b
+                else:
+                    lo = a
+            v[i] = (lo + hi) / 2
+    rows = np.repeat(np.arange(50), [len(x) for x in present])
+    weights, thresholds = toxicity.fit(rows, np.array([k for x in present for k in x]), np.array(grade), 3)
+    assert loss([*weights, *thresholds]) <= loss(v) + 1e-9
+    assert np.allclose([*weights, *thresholds], v, atol=2e-3)
