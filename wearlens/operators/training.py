@@ -11,12 +11,12 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import MinMaxScaler, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wearlens.contract import DEFAULT_WINDOWS, SEED, SENSORS, feature_names
 from wearlens.operators.cleaning import action_tier
 from wearlens.operators.forest import ALL, BoundedForest, Sample, grow_forests
+from wearlens.operators.isotonic import IsotonicMap
 from wearlens.operators.metrics import best_threshold, brier, confusion, ranking_metrics, rates
 from wearlens.operators.rolling import rolling_features
 from wearlens.operators.splits import class_weights, reference_sample, stratified_folds, stratified_split
@@ -156,7 +156,7 @@ class Calibrated:
                 a, b = mapping
                 df = df.withColumn(f"__p{i}", 1.0 / (1.0 + F.exp(-(F.lit(a) * F.col(f"__s{i}") + F.lit(b)))))
             else:
-                df = mapping.transform(df)
+                df = mapping.transform(df, f"__s{i}", f"__p{i}")
         mean = sum((F.col(f"__p{i}") for i in range(len(self.members))), F.lit(0.0)) / len(self.members)
         return df.select(*keep, mean.alias(out))
 
@@ -180,15 +180,6 @@ def _sigmoid(held_out: DataFrame, counts: tuple[int, int]) -> tuple[float, float
     return float(model.coefficients[0]), float(model.intercept)
 
 
-def _isotonic(held_out: DataFrame, i: int) -> IsotonicRegressionModel:
-    """Equal scores are merged first, so the pooling runs over distinct scores."""
-    merged = held_out.groupBy("score").agg(
-        F.avg("label").alias("label"), F.count(F.lit(1)).cast("double").alias("w")
-    )
-    model = IsotonicRegression(featuresCol="score", labelCol="label", weightCol="w").fit(merged)
-    return model.setFeaturesCol(f"__s{i}").setPredictionCol(f"__p{i}")
-
-
 def _folds(df: DataFrame, folds: int, seed: int) -> tuple[DataFrame, dict]:
     """The written fold table and its label counts per fold; every fold needs both classes."""
     parted = materialize(stratified_folds(df, folds, seed=seed), "folds")
@@ -214,7 +205,7 @@ def fit_calibrated(
     def member(i: int):
         model = fit(parted.filter(F.col("fold") != i), config, numeric, seed, _others(counts, i))
         held_out = score(model, parted.filter(F.col("fold") == i)).select("label", "score")
-        return model, _sigmoid(held_out, counts[i]) if config.calibration == "sigmoid" else _isotonic(held_out, i)
+        return model, _sigmoid(held_out, counts[i]) if config.calibration == "sigmoid" else IsotonicMap.fit(held_out)
 
     return Calibrated(config.calibration, together(df.sparkSession, [partial(member, i) for i in range(folds)], parallelism))
 
@@ -380,7 +371,7 @@ def save_model(spark: SparkSession, model: Calibrated | BoundedForest, threshold
     for i, (member, mapping) in enumerate(model.members):
         member.write().overwrite().save(f"{path}/member-{i}")
         if model.method != "sigmoid":
-            mapping.write().overwrite().save(f"{path}/map-{i}")
+            mapping.save(f"{path}/map-{i}")
     row = [(model.method, len(model.members), float(threshold), version, a, b)]
     spark.createDataFrame(row, META).write.mode("overwrite").parquet(f"{path}/meta")
 
@@ -394,7 +385,7 @@ def load_model_at(spark: SparkSession, path: str) -> tuple[Calibrated | BoundedF
         if meta["method"] == "sigmoid":
             mapping = (meta["a"][i], meta["b"][i])
         else:
-            mapping = IsotonicRegressionModel.load(f"{path}/map-{i}")
+            mapping = IsotonicMap(spark, f"{path}/map-{i}")
         members.append((PipelineModel.load(f"{path}/member-{i}"), mapping))
     return Calibrated(meta["method"], members), meta["threshold"], meta["version"]
 
