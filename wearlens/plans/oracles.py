@@ -519,6 +519,12 @@ def oracle_sql() -> dict[str, str]:
         "classification_report": report_sql(doubles=[*RATE_NAMES, "threshold", "brier_score"]),
         "average_precision": sql(totals, "SELECT pr_auc, reason FROM ranked", ["pr_auc"]),
         "roc_auc": sql(totals, "SELECT roc_auc, reason FROM ranked", ["roc_auc"]),
+        "isotonic_fit": sql(CLEAN + """, g AS (
+            SELECT tool_wear_min AS x, count(*) AS n, sum(machine_failure) AS f FROM clean WHERE machine_failure IS NOT NULL GROUP BY 1
+            ), c AS (SELECT x, n, f, sum(n) OVER (ORDER BY x) AS cn, sum(f) OVER (ORDER BY x) AS cf FROM g
+            ), m AS (SELECT s.x AS s, t.x AS t, t.n, (t.cf - s.cf + s.f) * 1e0 / (t.cn - s.cn + s.n) AS mean FROM c s JOIN c t ON t.x >= s.x
+            ), w AS (SELECT t, n, min(mean) OVER (PARTITION BY s ORDER BY t DESC) AS least FROM m)""",
+            "SELECT t AS tool_wear_min, any_value(n) AS rows, max(least) AS value FROM w GROUP BY 1", ["value"]),
         "brier": sql(SCORED, "SELECT avg((score - label) * (score - label)) AS brier_score FROM scored", ["brier_score"]),
         "expected_cost": report_sql("threshold, expected_cost_per_1000", doubles=["threshold", "expected_cost_per_1000"]),
         "error_rates": report_sql("fn_rate, fp_rate, n_samples, n_positive", doubles=["fn_rate", "fp_rate"]),
@@ -609,6 +615,8 @@ def oracle_sql() -> dict[str, str]:
     out |= {
         "stream_rolling_features": rolling_sql(),
         "stream_vehicle_features": vehicle,
+        "stream_reordered_features": vehicle,
+        "stream_reconcile": out["log_reconcile"],
         "stream_late_rows": sql(CLEAN, """SELECT vehicle_id, unit_id FROM clean c WHERE unit_id % 29 = 0 AND EXISTS (
             SELECT 1 FROM clean e WHERE e.vehicle_id = c.vehicle_id AND e.unit_id % 29 <> 0
               AND (e.ts > c.ts OR (e.ts = c.ts AND e.unit_id > c.unit_id)))"""),

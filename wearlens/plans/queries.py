@@ -11,6 +11,7 @@ from wearlens.operators import (
     audits, cleaning, drift, metrics, oplog, profiling, requests, runs, splits, validation,
     rolling as roll,
 )
+from wearlens.operators.isotonic import IsotonicMap
 from wearlens.session import new_folder
 from wearlens.sources import files, tables
 
@@ -262,6 +263,13 @@ def split_of(spark, d):
     return splits.stratified_split(labelled(spark, d))
 
 
+def isotonic_fit(spark, d):
+    """The share of failures as it can only grow with wear: fitted over ranges of 32 values, then read at every row's wear."""
+    rows = cleaned(spark, d).filter(F.col(LABEL).isNotNull())
+    fitted = IsotonicMap.fit(rows, "tool_wear_min", LABEL, rows_per_range=32, few=0)
+    return fitted.transform(rows, "tool_wear_min", "value").groupBy("tool_wear_min").agg(F.count(F.lit(1)).alias("rows"), F.first("value").alias("value"))
+
+
 def folds_of(spark, d):
     return splits.stratified_folds(labelled(spark, d))
 
@@ -404,6 +412,7 @@ def batch_queries() -> dict:
         "classification_report": report,
         "average_precision": partial(ranking, "pr_auc"),
         "roc_auc": partial(ranking, "roc_auc"),
+        "isotonic_fit": isotonic_fit,
         "brier": lambda s, d: scored(s, d).agg(metrics.brier().alias("brier_score")),
         "expected_cost": lambda s, d: report(s, d).select("threshold", "expected_cost_per_1000"),
         "error_rates": lambda s, d: report(s, d).select("fn_rate", "fp_rate", "n_samples", "n_positive"),

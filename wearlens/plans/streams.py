@@ -12,6 +12,7 @@ from wearlens.plans.models import DEFAULT, bounded
 from wearlens.plans.queries import cleaned, drift_frames, flat_summary
 from wearlens.session import new_folder
 from wearlens.sources import files, tables
+from wearlens.streaming.reorder import ReorderBuffer, live_reconcile
 from wearlens.streaming.requests import RequestSink
 from wearlens.streaming.rolling import RollingSink, keyed_rolling
 from wearlens.streaming.run import ROCKSDB, start, write_batch
@@ -77,6 +78,36 @@ def stream_vehicle_features(spark, d):
     return spark.read.parquet(folder).select("vehicle_id", "unit_id", *feature_names())
 
 
+def stream_reordered_features(spark, d):
+    """Readings come up to two days late, in three parts: the buffer hands them on in order, so features equal the batch."""
+    late = 2 * 86_400
+    rows = cleaned(spark, d).withColumn("arrived", F.unix_seconds("ts") + F.pmod(F.xxhash64("unit_id"), F.lit(late)))
+    rows = materialize(rows, "arrivals")
+    first, last = rows.agg(F.min("arrived"), F.max("arrived")).first()
+    third = ((last or 0) - (first or 0)) // 3 + 1
+    sink = RollingSink(new_folder(spark, "reordered"), ["vehicle_id"], ["ts", "unit_id"])
+    buffer = ReorderBuffer(new_folder(spark, "waiting"), sink, late)
+    part = F.expr(f"(arrived - {first or 0}) div {third}")
+    in_stages([rows.filter(part == i).drop("arrived") for i in range(3)], buffer, "arrivals")
+    buffer.close(spark, 2)
+    return sink.read(spark).select("vehicle_id", "unit_id", *feature_names())
+
+
+def stream_reconcile(spark, d):
+    """Both logs of ``log_reconcile`` live: what one lacks comes out when its time is over; a last line without marker ends the logs."""
+    ev = materialize(tables.events(spark, d).select(F.concat(F.lit("veh-"), F.col("event_id")).alias("marker"), "event_id", "ts"), "markers")
+    end = ev.agg(F.lit(None).cast("string").alias("marker"), (F.max("ts") + F.expr("INTERVAL 1 day")).alias("ts"))
+    folders = [new_folder(spark, n) for n in ("left-log", "right-log")]
+    out, checkpoint = new_folder(spark, "reconciled"), new_folder(spark, "reconcile-checkpoint")
+    logs = [ev.filter("event_id % 17 <> 0").drop("event_id"), ev.filter("event_id % 13 <> 0").drop("event_id")]
+    for parts in (logs, [end, end]):
+        for part, folder in zip(parts, folders):
+            part.select("marker", "ts").write.mode("append").parquet(folder)
+        left, right = (spark.readStream.schema(logs[0].schema).parquet(f) for f in folders)
+        start(live_reconcile(left, right, "marker"), lambda df, i: write_batch(df, out, i), checkpoint).awaitTermination()
+    return spark.read.parquet(out).select("marker", "status")
+
+
 def _requests(spark, d, sink):
     bodies = tables.request_bodies(tables.telemetry(spark, d))
     in_stages([bodies], sink, "requests")
@@ -148,7 +179,7 @@ def stream_queries() -> dict:
     return {
         f.__name__: f
         for f in (
-            stream_rolling_features, stream_reading_scores, stream_late_rows, stream_vehicle_features, stream_rejections,
+            stream_rolling_features, stream_reading_scores, stream_late_rows, stream_vehicle_features, stream_reordered_features, stream_reconcile, stream_rejections,
             stream_request_scores, log_to_drift, stream_status_mix, stream_throughput, stream_error_rate, stream_latency_quantiles,
             stream_drift,
         )

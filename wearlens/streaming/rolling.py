@@ -84,6 +84,10 @@ class RollingSink:
         return spark.read.parquet(os.path.join(self.folder, what)).drop("batch")
 
 
+#: rows of one key whose features are held in memory together
+ROWS_AT_ONCE = 20_000
+
+
 def frame_features(
     past: np.ndarray, now: np.ndarray, sensors: list[str], windows: tuple[int, ...]
 ) -> dict[str, np.ndarray]:
@@ -107,15 +111,18 @@ def frame_features(
 
 
 class RollingProcessor(StatefulProcessor):
-    """Keeps the last readings of one key in list state; one output row per reading, late ones marked."""
+    """Keeps the last readings of one key in list state; one output row per reading, late ones marked.
 
-    def __init__(self, order: list[str], sensors: list[str], windows: tuple[int, ...], keep: list[str]):
-        self.order, self.sensors, self.windows, self.keep = order, sensors, windows, keep
+    A key silent for ``idle_ms`` loses its state. Features are made for ``ROWS_AT_ONCE`` rows at a time.
+    """
+
+    def __init__(self, order: list[str], sensors: list[str], windows: tuple[int, ...], keep: list[str], idle_ms: int | None = None):
+        self.order, self.sensors, self.windows, self.keep, self.idle_ms = order, sensors, windows, keep, idle_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         fields = [T.StructField(f"o{i}", T.LongType()) for i in range(len(self.order))]
         fields += [T.StructField(c, T.DoubleType()) for c in self.sensors]
-        self.past = handle.getListState("past", T.StructType(fields))
+        self.past = handle.getListState("past", T.StructType(fields), self.idle_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         batch = pd.concat(list(rows), ignore_index=True).sort_values(self.order, kind="stable")
@@ -127,15 +134,19 @@ class RollingProcessor(StatefulProcessor):
         history = np.array([[float(v) for v in s[width:]] for s in state]).reshape(-1, len(self.sensors))
         fresh = batch[~late]
         if len(fresh):
-            now = fresh[self.sensors].to_numpy(dtype=float)
-            out = fresh[self.keep].copy()
-            for name, column in frame_features(history, now, self.sensors, self.windows).items():
-                out[name] = column
-            out["late"] = False
             reach = max(max(self.windows) - 1, 1)
-            known = state + [(*s, *map(float, r)) for s, r in zip([s for s, l in zip(stamps, late) if not l], now)]
+            stamps = [s for s, l in zip(stamps, late) if not l]
+            for at in range(0, len(fresh), ROWS_AT_ONCE):
+                some = fresh.iloc[at: at + ROWS_AT_ONCE]
+                now = some[self.sensors].to_numpy(dtype=float)
+                out = some[self.keep].copy()
+                for name, column in frame_features(history, now, self.sensors, self.windows).items():
+                    out[name] = column
+                out["late"] = False
+                history = np.vstack([history, now])[-max(reach, 1):]
+                yield out
+            known = state + [(*s, *map(float, r)) for s, r in zip(stamps[-reach:], fresh[self.sensors].to_numpy(dtype=float)[-reach:])]
             self.past.put([tuple(s) for s in known[-reach:]])
-            yield out
         if late.any():
             out = batch[late][self.keep].copy()
             for name in feature_names(self.sensors, self.windows):
@@ -148,12 +159,14 @@ class RollingProcessor(StatefulProcessor):
 
 
 def keyed_rolling(
-    stream: DataFrame, key: str, order: list[str], sensors=SENSORS, windows=DEFAULT_WINDOWS
+    stream: DataFrame, key: str, order: list[str], sensors=SENSORS, windows=DEFAULT_WINDOWS, idle_ms: int | None = None
 ) -> DataFrame:
     """Stateful features for many small keys. ``order`` names integer columns, the last one unique.
 
     One key's rows of one micro-batch are sorted in memory, so bound the micro-batch at the source;
-    few hot keys belong to ``RollingSink``. Needs the RocksDB state store.
+    few hot keys belong to ``RollingSink``. With ``idle_ms`` the state of a key leaves the store when
+    no reading has come for that long; its next reading starts anew. Such a stream has to run at an
+    interval: timed state asks for another batch for ever. Needs the RocksDB state store.
     """
     # executors need not have this package installed: its classes travel with the query
     cloudpickle.register_pickle_by_value(sys.modules[__package__.split(".")[0]])
@@ -165,8 +178,8 @@ def keyed_rolling(
     )
     narrow = stream.select(*keep, *[F.col(c).cast("double").alias(c) for c in sensors])
     return narrow.groupBy(key).transformWithStateInPandas(
-        statefulProcessor=RollingProcessor(list(order), list(sensors), tuple(windows), keep),
+        statefulProcessor=RollingProcessor(list(order), list(sensors), tuple(windows), keep, idle_ms),
         outputStructType=schema,
         outputMode="append",
-        timeMode="none",
+        timeMode="none" if idle_ms is None else "processingTime",
     )
