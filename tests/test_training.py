@@ -7,6 +7,7 @@ from wearlens.contract import SENSORS
 from wearlens.operators import audits, training
 from wearlens.operators.cleaning import action_tier
 from wearlens.plans import models
+from wearlens.sources import committed
 
 SMALL = training.Config("small", trees=15, depth=5, rolling=False)
 
@@ -128,7 +129,7 @@ def test_grid_rows(spark, tmp_path):
     rows = training.run_grid(df, configs, "b1", folds=2, runs_path=path).toPandas()
     assert list(rows.sort_values("seq").name) == ["plain", "iso"] and rows.val_expected_cost_per_1000.notna().all()
     assert (rows.test_tn + rows.test_fp + rows.test_fn + rows.test_tp == 36).all()
-    assert spark.read.parquet(path).count() == 2
+    assert committed.read(spark, path).count() == 2
     assert len(training.GRID) == 12 and len({c.name for c in training.GRID}) == 12
 
 

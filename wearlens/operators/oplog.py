@@ -109,9 +109,14 @@ def latest_metric(series: DataFrame, by: list[str], order: list[str] = ("ts",))
 
 def alert_state(
     series: DataFrame, by: list[str], as_of, threshold: float = 0.3, lookback_minutes: int = 10,
-    order: list[str] = ("ts",),
+    order: list[str] = ("ts",), names: DataFrame | None = None,
 ) -> DataFrame:
-    """ALERT when the last value in the lookback reaches the threshold, OK below, NoData without one."""
+    """ALERT when the last value in the lookback reaches the threshold, OK below, NoData without one.
+
+    With ``names``, the table of all series, ``series`` need hold no more than the lookback.
+    """
+    if names is not None:
+        series = names.select(*by).distinct().unionByName(series, allowMissingColumns=True)
     end = F.lit(as_of).cast("timestamp")
     recent = (F.col("ts") > end - F.make_dt_interval(mins=F.lit(lookback_minutes))) & (F.col("ts") <= end)
     last = F.max_by(F.when(recent, F.col("value")), F.when(recent, F.struct(*order)))

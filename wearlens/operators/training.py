@@ -333,7 +333,7 @@ def run_grid(
             save_model(df.sparkSession, models[r["seq"]], r["threshold"], f"{models_path}/{run_id}", run_id)
         rows = rows.withColumn("path", F.concat(F.lit(f"{models_path}/"), F.col("run_id")))
     if runs_path:
-        append_rows(rows, runs_path)
+        append_rows(rows, runs_path, batch_id)
     return rows
 
 

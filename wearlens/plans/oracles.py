@@ -419,6 +419,7 @@ def oracle_sql() -> dict[str, str]:
             for c in ["unit_id", "type", *SENSORS, LABEL])),
         "training_frame": sql(CLEAN, f"SELECT unit_id, type, {sensors}, machine_failure AS label FROM clean", reading),
         "prediction_log_flat": sql(TELEMETRY, f"SELECT {log_cols} FROM telemetry WHERE {log_rows}", log_doubles),
+        "appended_twice": sql(TELEMETRY, "SELECT type, count(*) AS rows, 2 AS batches FROM telemetry WHERE type IN ('L', 'M', 'H') GROUP BY 1"),
         "prediction_log_window": sql(
             TELEMETRY,
             f"SELECT {log_cols} FROM telemetry WHERE {log_rows} AND unit_id % 3 <> 0 AND date_trunc('second', ts) >= TIMESTAMP '2024-01-21'",
@@ -570,6 +571,10 @@ def oracle_sql() -> dict[str, str]:
             FROM (SELECT DISTINCT series FROM series) a LEFT JOIN (
               SELECT series, value, row_number() OVER (PARTITION BY series ORDER BY ts DESC, event_id DESC) AS r FROM series
               WHERE ts > TIMESTAMP '2024-01-30' AND ts <= TIMESTAMP '2024-01-31') v ON v.series = a.series AND v.r = 1""", ["value"]),
+        "alert_state_daily": sql(series, """SELECT a.series, v.value, CASE WHEN v.value IS NULL THEN 'NoData' WHEN v.value >= 3e-1 THEN 'ALERT' ELSE 'OK' END AS state
+            FROM (SELECT DISTINCT series FROM series) a LEFT JOIN (
+              SELECT series, value, row_number() OVER (PARTITION BY series ORDER BY ts DESC, event_id DESC) AS r FROM series
+              WHERE ts > TIMESTAMP '2024-01-30 23:50:00' AND ts <= TIMESTAMP '2024-01-31') v ON v.series = a.series AND v.r = 1""", ["value"]),
         "series_gaps": sql(series, """SELECT *, gap_seconds <= 300 AS hidden FROM (
             SELECT series, prev_ts, ts, event_id, (epoch_us(ts) - epoch_us(prev_ts)) / 1e6 AS gap_seconds FROM (
               SELECT *, lag(ts) OVER (PARTITION BY series ORDER BY ts, event_id) AS prev_ts FROM series))
@@ -614,6 +619,7 @@ def oracle_sql() -> dict[str, str]:
         CLEAN, f"SELECT vehicle_id, unit_id, {rolling_exprs('vehicle_id', 'ts, unit_id')} FROM clean", names())
     out |= {
         "stream_rolling_features": rolling_sql(),
+        "prediction_log_daily": out["prediction_log_window"],
         "stream_vehicle_features": vehicle,
         "stream_reordered_features": vehicle,
         "stream_reconcile": out["log_reconcile"],

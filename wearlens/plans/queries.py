@@ -13,7 +13,7 @@ from wearlens.operators import (
 )
 from wearlens.operators.isotonic import IsotonicMap
 from wearlens.session import new_folder
-from wearlens.sources import files, tables
+from wearlens.sources import committed, daily, files, tables
 
 AS_OF = "2024-01-31 00:00:00"
 CURRENT_FROM = "2024-01-16 00:00:00"  # the two drift windows meet here and cover all rows
@@ -157,6 +157,13 @@ def prediction_log_window(spark, d):
     return files.prediction_log(lines, as_of=AS_OF, window_minutes=10 * 24 * 60, model_version="2")
 
 
+def prediction_log_daily(spark, d):
+    """The same window read from a log laid out by day."""
+    path, minutes = new_folder(spark, "daily-log"), 10 * 24 * 60
+    daily.write_log_daily(tables.prediction_log_lines(telemetry(spark, d)), path)
+    return files.prediction_log(daily.read_log_since(spark, path, AS_OF, minutes), as_of=AS_OF, window_minutes=minutes, model_version="2")
+
+
 def probe_log_parse(spark, d):
     return files.probe_log(tables.probe_lines(tables.events(spark, d)))
 
@@ -340,6 +347,22 @@ def alert_state(spark, d):
     )
 
 
+def alert_state_daily(spark, d):
+    """The alert's own ten minutes, of a series laid out by day."""
+    path = new_folder(spark, "daily-series")
+    daily.write_daily(metric_series(spark, d), path)
+    recent = daily.read_lookback(spark, path, AS_OF, 10)
+    return oplog.alert_state(recent, ["series"], AS_OF, order=["ts", "event_id"], names=metric_series(spark, d))
+
+
+def appended_twice(spark, d):
+    """Two batches of readings, the second sent again after its commit, then a replacement by what is in the table and valid."""
+    rows, path = telemetry(spark, d).select("unit_id", "type"), new_folder(spark, "committed")
+    sent = [files.append_rows(rows.filter(f"unit_id % 2 = {k}"), path, f"part {k}") for k in (0, 1, 1)]
+    committed.replace(committed.read(spark, path).filter(F.col("type").isin(MACHINE_TYPES)), path, "valid")
+    return committed.read(spark, path).groupBy("type").agg(F.count(F.lit(1)).alias("rows"), F.lit(sum(sent)).alias("batches"))
+
+
 def with_queries(op, source, select=None, **options):
     def query(spark, d):
         out = op(source(spark, d), **options)
@@ -359,6 +382,8 @@ def batch_queries() -> dict:
         "training_frame": training_frame,
         "prediction_log_flat": prediction_log_flat,
         "prediction_log_window": prediction_log_window,
+        "prediction_log_daily": prediction_log_daily,
+        "appended_twice": appended_twice,
         "probe_log_parse": probe_log_parse,
         "runs_by_batch": runs_by_batch,
         "drop_missing": lambda s, d: cleaning.drop_missing(telemetry(s, d)).drop("ts"),
@@ -435,6 +460,7 @@ def batch_queries() -> dict:
         "status_mix": with_queries(oplog.status_mix, request_log),
         "latest_metric": latest_metric,
         "alert_state": alert_state,
+        "alert_state_daily": alert_state_daily,
         "series_gaps": with_queries(oplog.series_gaps, metric_series, by=["series"], id_col="event_id"),
         "asof_fill": with_queries(oplog.asof_fill, metric_series, by=["series"], id_col="event_id", step_seconds=60),
         "rejection_rate": with_queries(oplog.rejection_rate, checked_requests),

@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -54,5 +55,25 @@ def remove(spark: SparkSession, path: str) -> None:
     store.delete(path, True)
 
 
+def publish(spark: SparkSession, text: str, path: str) -> bool:
+    """Make ``path`` appear with its whole text; False, and nothing changed, where it exists."""
+    jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
+    store, final = _path(spark, path)
+    aside = jvm.org.apache.hadoop.fs.Path(final.getParent(), f".{uuid.uuid4().hex}")
+    out = store.create(aside, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+    options = gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)  # none: an existing file is not replaced
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(store.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        files.rename(store.makeQualified(aside), store.makeQualified(final), options)
+    except Py4JJavaError as error:
+        store.delete(aside, False)
+        if store.exists(final):
+            return False
+        raise error
+    return True
+
+
 def new_folder(spark: SparkSession, purpose: str) -> str:
     return os.path.join(shared_folder(spark), f"{purpose}-{uuid.uuid4().hex}")

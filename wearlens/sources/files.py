@@ -8,6 +8,7 @@ from wearlens.contract import (
     FAILURE_FLAGS, LABEL, RAW_SCHEMA, RAW_TO_WORKING, SENSORS, require_columns,
 )
 from wearlens.operators.cleaning import absent
+from wearlens.sources import committed
 
 PREDICTION_SCHEMA = (
     "timestamp STRING, level STRING, event STRING, vehicle_id STRING, machine_type STRING, "
@@ -50,7 +51,7 @@ def to_working_schema(df: DataFrame) -> DataFrame:
 
 def load_cleaned(spark: SparkSession, path: str) -> DataFrame:
     """Cleaned Parquet with its required columns; raises when any of them holds a null."""
-    df = spark.read.parquet(path)
+    df = committed.read(spark, path) if committed.is_committed(spark, path) else spark.read.parquet(path)
     needed = ["unit_id", "type", *SENSORS, LABEL]
     require_columns(df, needed)
     found = null_tripwire(df, needed).filter("nulls > 0").collect()
@@ -128,19 +129,25 @@ def probe_log(lines: DataFrame) -> DataFrame:
     )
 
 
-def write_if_valid(df: DataFrame, path: str) -> tuple[bool, DataFrame]:
-    """Write ``df`` only when the contract holds, types included: whether it did, and the failures by check."""
+def write_if_valid(df: DataFrame, path: str, key: str | None = None) -> tuple[bool, DataFrame]:
+    """Replace the committed table by ``df`` only when the contract holds, types included: whether it did, and the failures by check.
+
+    Readers see the old rows until the new ones are all there; the same ``key`` is written once.
+    """
     from wearlens.operators.validation import validate
 
     valid, failures = validate(df)
     if valid:
-        df.write.mode("overwrite").parquet(path)
+        committed.replace(df, path, key)
     return valid, failures
 
 
-def append_rows(df: DataFrame, path: str) -> None:
-    """Append-only tables: runs, versions, alias events, decisions, drift summaries, metrics."""
-    df.write.mode("append").parquet(path)
+def append_rows(df: DataFrame, path: str, key: str | None = None) -> bool:
+    """Append-only tables: runs, versions, alias events, decisions, drift summaries, metrics.
+
+    A batch with the ``key`` of an earlier one adds nothing. ``committed.read`` reads them.
+    """
+    return committed.append(df, path, key)
 
 
 def event_lines(df: DataFrame, event: str, level: str = "INFO", at: str = "ts") -> DataFrame:
