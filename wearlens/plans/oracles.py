@@ -419,6 +419,8 @@ def oracle_sql() -> dict[str, str]:
             for c in ["unit_id", "type", *SENSORS, LABEL])),
         "training_frame": sql(CLEAN, f"SELECT unit_id, type, {sensors}, machine_failure AS label FROM clean", reading),
         "prediction_log_flat": sql(TELEMETRY, f"SELECT {log_cols} FROM telemetry WHERE {log_rows}", log_doubles),
+        "delivered_before": sql(CLEAN, """SELECT unit_id, false AS accepted FROM clean
+            WHERE type IN ('L', 'M', 'H') AND unit_id % 3 <> 0 AND unit_id % 100 = 1"""),
         "appended_twice": sql(TELEMETRY, "SELECT type, count(*) AS rows, 2 AS batches FROM telemetry WHERE type IN ('L', 'M', 'H') GROUP BY 1"),
         "prediction_log_window": sql(
             TELEMETRY,

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from wearlens.contract import LABEL, MACHINE_TYPES, SENSORS, feature_names
 from wearlens.operators import (
-    audits, cleaning, drift, metrics, oplog, profiling, requests, runs, splits, validation,
+    audits, cleaning, deliveries, drift, metrics, oplog, profiling, requests, runs, splits, validation,
     rolling as roll,
 )
 from wearlens.operators.isotonic import IsotonicMap
@@ -363,6 +363,16 @@ def appended_twice(spark, d):
     return committed.read(spark, path).groupBy("type").agg(F.count(F.lit(1)).alias("rows"), F.lit(sum(sent)).alias("batches"))
 
 
+def delivered_before(spark, d):
+    """Two deliveries that overlap: the ids of the second that the index of the first holds, and whether it was refused."""
+    rows = cleaning.clean(telemetry(spark, d)).filter(F.col("type").isin(MACHINE_TYPES))
+    table, index = new_folder(spark, "delivered"), new_folder(spark, "delivered-ids")
+    deliveries.accept_delivery(rows.filter("unit_id % 3 <> 0"), table, index, "first")
+    second = rows.filter("unit_id % 3 = 0 or unit_id % 100 = 1")
+    accepted, _ = deliveries.accept_delivery(second, table, index, "second")
+    return deliveries.seen_before(second, deliveries.known_ids(spark, index)).withColumn("accepted", F.lit(accepted))
+
+
 def with_queries(op, source, select=None, **options):
     def query(spark, d):
         out = op(source(spark, d), **options)
@@ -384,6 +394,7 @@ def batch_queries() -> dict:
         "prediction_log_window": prediction_log_window,
         "prediction_log_daily": prediction_log_daily,
         "appended_twice": appended_twice,
+        "delivered_before": delivered_before,
         "probe_log_parse": probe_log_parse,
         "runs_by_batch": runs_by_batch,
         "drop_missing": lambda s, d: cleaning.drop_missing(telemetry(s, d)).drop("ts"),
