@@ -2,7 +2,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from wearlens.contract import SEED
+from wearlens.functions.search import HASH_PRIME, portable_hash
 from wearlens.operators import metrics, splits
+from wearlens.plans import models
 
 
 def frame(spark, labels, scores, groups=None):
@@ -106,3 +109,16 @@ def test_sample_is_exact_and_weights_balance(spark):
     assert np.allclose(weights.rows * weights.weight, 500)
     audit = splits.split_audit(df.withColumn("split", F.when(F.col("unit_id") < 3, "a").otherwise("b"))).toPandas()
     assert audit.set_index("split").degenerate["a"] and not audit.set_index("split").degenerate["b"]
+
+
+def classes_apart(spark):
+    """The hash that splits go by puts all rows of class 0 before those of class 1."""
+    df = spark.range(4000).withColumnRenamed("id", "unit_id")
+    return df.withColumn("label", (portable_hash("unit_id", SEED) * 2 > HASH_PRIME).cast("long"))
+
+
+def test_rows_of_a_fit_have_the_classes_shares_wherever_their_splits_begin(spark, monkeypatch):
+    monkeypatch.setattr(models, "FIT_ROWS", 200)
+    train = splits.stratified_split(classes_apart(spark)).filter("split = 'train'")
+    taken = models.bounded(train).toPandas()
+    assert len(taken) == 200 and 0.4 < taken.label.mean() < 0.6
