@@ -165,3 +165,38 @@ def test_processor_loads_where_the_package_is_not_installed(spark, tmp_path):
     code = f"import pickle, sys; p = pickle.load(open({str(path)!r}, 'rb')); assert 'wearlens' not in sys.modules; print(p.windows)"
     out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=60)
     assert out.stdout.strip() == "(3, 5)", out.stderr
+
+
+def test_one_call_serves_many_keys():
+    """Keys of one part in one call, over two calls and with late rows: every key as if it were alone."""
+    import numpy as np
+
+    from wearlens.streaming.rolling import RollingProcessor
+
+    class State:
+        rows = []
+        get, put = (lambda self: iter(self.rows)), (lambda self, rows: setattr(self, "rows", rows))
+
+    rng = np.random.default_rng(4)
+    df = pd.DataFrame({"v": rng.integers(0, 30, 400), "at": np.arange(400) // 3, "id": 2**60 + np.arange(400), **{c: rng.random(400) for c in SENSORS}})
+    behind = df[(df["at"] < 60) & (df["v"] == 7)].tail(1)
+    parts = [df[df["at"] < 60].sample(frac=1, random_state=1), pd.concat([df[df["at"] >= 60], behind])]
+
+    def run(frames):
+        p = RollingProcessor(["at", "id"], SENSORS, (3, 5), ["v", "at", "id"])
+        p.past = State()
+        out = [o for f in frames for o in p.handleInputRows((0,), iter([f]), None)]
+        return pd.concat([o for o in out if len(o)], ignore_index=True)
+
+    got = run(parts)
+    assert got[got.late].id.tolist() == behind.id.tolist()
+    want = df.sort_values(["v", "at", "id"])
+    for c in SENSORS:
+        of = want.groupby("v")[c]
+        for w in (3, 5):
+            want[f"{c}_rollmean_w{w}"] = of.transform(lambda x: x.rolling(w, min_periods=1).mean())
+            want[f"{c}_rollstd_w{w}"] = of.transform(lambda x: x.rolling(w, min_periods=1).std().fillna(0.0))
+        want[f"{c}_roc"] = of.diff().fillna(0.0)
+    fresh, want = (x.sort_values("id").reset_index(drop=True) for x in (got[~got.late.astype(bool)], want))
+    assert fresh[["v", "at", "id"]].equals(want[["v", "at", "id"]])
+    assert (fresh[feature_names()] - want[feature_names()]).abs().max().max() < 1e-6

@@ -84,89 +84,119 @@ class RollingSink:
         return spark.read.parquet(os.path.join(self.folder, what)).drop("batch")
 
 
-#: rows of one key whose features are held in memory together
+#: rows whose features are held in memory together
 ROWS_AT_ONCE = 20_000
+#: parts that the keys of a keyed stream are dealt to by hash; it stays what it was when the stream began
+KEY_PARTS = 1024
 
 
 def frame_features(
-    past: np.ndarray, now: np.ndarray, sensors: list[str], windows: tuple[int, ...]
+    values: np.ndarray, before: np.ndarray, sensors: list[str], windows: tuple[int, ...]
 ) -> dict[str, np.ndarray]:
-    """Features of the rows of ``now`` that follow the rows of ``past``; two-pass deviation."""
+    """Features of rows of which ``before`` earlier ones of their key stand right above; two-pass deviation."""
     reach = max(max(windows), 2) - 1
-    lead = np.full((max(reach - len(past), 0), now.shape[1]), np.nan)
-    padded = np.vstack([lead, past[-reach:], now])
+    padded = np.vstack([np.full((reach, values.shape[1]), np.nan), values])
     out = {}
     for j, c in enumerate(sensors):
         x = padded[:, j]
         for w in windows:
             frames = np.lib.stride_tricks.sliding_window_view(x, w)[reach - w + 1:]
-            n = np.sum(~np.isnan(frames), axis=1)
-            mean = np.nansum(frames, axis=1) / n
-            squares = np.nansum((frames - mean[:, None]) ** 2, axis=1)
+            own = np.arange(w - 1, -1, -1)[None, :] <= before[:, None]
+            valid = own & ~np.isnan(frames)
+            n = np.sum(valid, axis=1)
+            mean = np.sum(np.where(valid, frames, 0.0), axis=1) / n
+            squares = np.sum(np.where(valid, (frames - mean[:, None]) ** 2, 0.0), axis=1)
             out[f"{c}_rollmean_w{w}"] = mean
             out[f"{c}_rollstd_w{w}"] = np.sqrt(squares / np.maximum(n - 1, 1))
-        previous = x[reach - 1: -1]
+        previous = np.where(before > 0, x[reach - 1: -1], np.nan)
         out[f"{c}_roc"] = np.where(np.isnan(previous), 0.0, x[reach:] - previous)
     return out
 
 
 class RollingProcessor(StatefulProcessor):
-    """Keeps the last readings of one key in list state; one output row per reading, late ones marked.
+    """Keeps the last readings of every key of one part in list state; one output row per reading, late ones marked.
 
-    A key silent for ``idle_ms`` loses its state. Features are made for ``ROWS_AT_ONCE`` rows at a time.
+    A call's fixed cost, some ten milliseconds, is paid per part instead of per key: all keys of a part are
+    sorted and framed together. A key silent for ``idle_ms`` loses its state. Features are made for
+    ``ROWS_AT_ONCE`` rows at a time.
     """
 
-    def __init__(self, order: list[str], sensors: list[str], windows: tuple[int, ...], keep: list[str], idle_ms: int | None = None):
+    def __init__(self, order: list[str], sensors: list[str], windows: tuple[int, ...], keep: list[str], idle_ms: int | None = None, key_types=()):
         self.order, self.sensors, self.windows, self.keep, self.idle_ms = order, sensors, windows, keep, idle_ms
+        self.keys, self.key_types = [c for c in keep if c not in order], list(key_types)  # of ``keep``, what is not order tells keys apart
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        fields = [T.StructField(f"o{i}", T.LongType()) for i in range(len(self.order))]
+        fields = [T.StructField(f"k{i}", t) for i, t in enumerate(self.key_types)] + [T.StructField("seen", T.LongType())]
+        fields += [T.StructField(f"o{i}", T.LongType()) for i in range(len(self.order))]
         fields += [T.StructField(c, T.DoubleType()) for c in self.sensors]
         self.past = handle.getListState("past", T.StructType(fields), self.idle_ms)
 
+    def _known(self, batch: pd.DataFrame, clock: int) -> pd.DataFrame:
+        """State that has not expired, then the new rows; ``__k`` numbers the keys."""
+        state = pd.DataFrame(list(map(tuple, self.past.get())), columns=[*self.keys, "__seen", *self.order, *self.sensors])
+        if self.idle_ms is not None:
+            state = state[state["__seen"] > clock - self.idle_ms]
+        both = batch.assign(__seen=clock, __old=False)
+        if len(state):
+            both = pd.concat([state.assign(__old=True), both], ignore_index=True)
+        both["__k"] = both.groupby(self.keys, dropna=False, sort=False).ngroup() if self.keys else 0
+        return both
+
+    def _late(self, both: pd.DataFrame) -> np.ndarray:
+        """New rows at or before the newest reading that their key has emitted."""
+        code, old = both["__k"].to_numpy(), both["__old"].to_numpy(dtype=bool)
+        newest = both[old].sort_values(self.order).groupby("__k").tail(1)
+        known = np.zeros(len(both), dtype=bool)  # by key
+        known[newest["__k"].to_numpy()] = True
+        same, late = ~old & known[code], np.zeros(len(both), dtype=bool)
+        for c in self.order:
+            last = np.zeros(len(both), dtype=np.int64)
+            last[newest["__k"].to_numpy()] = newest[c].to_numpy(dtype=np.int64)
+            mine = both[c].to_numpy(dtype=np.int64)
+            late |= same & (mine < last[code])
+            same &= mine == last[code]
+        return late | same
+
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True).sort_values(self.order, kind="stable")
-        width = len(self.order)
-        state = list(self.past.get())
-        last = tuple(int(v) for v in state[-1][:width]) if state else None
-        stamps = list(zip(*[batch[c].astype("int64") for c in self.order]))
-        late = np.array([last is not None and s <= last for s in stamps])
-        history = np.array([[float(v) for v in s[width:]] for s in state]).reshape(-1, len(self.sensors))
-        fresh = batch[~late]
-        if len(fresh):
-            reach = max(max(self.windows) - 1, 1)
-            stamps = [s for s, l in zip(stamps, late) if not l]
-            for at in range(0, len(fresh), ROWS_AT_ONCE):
-                some = fresh.iloc[at: at + ROWS_AT_ONCE]
-                now = some[self.sensors].to_numpy(dtype=float)
-                out = some[self.keep].copy()
-                for name, column in frame_features(history, now, self.sensors, self.windows).items():
-                    out[name] = column
-                out["late"] = False
-                history = np.vstack([history, now])[-max(reach, 1):]
-                yield out
-            known = state + [(*s, *map(float, r)) for s, r in zip(stamps[-reach:], fresh[self.sensors].to_numpy(dtype=float)[-reach:])]
-            self.past.put([tuple(s) for s in known[-reach:]])
+        clock = 0 if self.idle_ms is None else int(timerValues.getCurrentProcessingTimeInMs())
+        both = self._known(pd.concat(list(rows), ignore_index=True)[[*self.keep, *self.sensors]], clock)
+        late = self._late(both)
+        fresh = both[~late].sort_values(["__k", *self.order], kind="stable", ignore_index=True)
+        seat, new = fresh.groupby("__k").cumcount().to_numpy(), ~fresh["__old"].to_numpy(dtype=bool)
+        values, reach = fresh[self.sensors].to_numpy(dtype=float), max(max(self.windows), 2) - 1
+        for at in range(0, len(fresh), ROWS_AT_ONCE):
+            lead = max(at - reach, 0)  # rows above, for the windows only
+            part, wanted = slice(lead, at + ROWS_AT_ONCE), new[lead: at + ROWS_AT_ONCE].copy()
+            wanted[: at - lead] = False
+            if wanted.any():
+                made = frame_features(values[part], seat[part], self.sensors, self.windows)
+                out = fresh[self.keep].iloc[part][wanted].reset_index(drop=True)
+                yield out.assign(**{n: v[wanted] for n, v in made.items()}, late=False)
+        if new.any():
+            fresh["__seen"] = fresh.groupby("__k")["__seen"].transform("max")
+            tail = fresh[fresh.groupby("__k").cumcount(ascending=False) < reach].astype(object)
+            for c in self.keys:
+                tail[c] = tail[c].where(tail[c].notna(), None)
+            self.past.put(list(tail[[*self.keys, "__seen", *self.order, *self.sensors]].itertuples(index=False, name=None)))
         if late.any():
-            out = batch[late][self.keep].copy()
-            for name in feature_names(self.sensors, self.windows):
-                out[name] = np.nan
-            out["late"] = True
-            yield out
+            out = both.loc[late, self.keep].reset_index(drop=True)
+            yield out.assign(**{n: np.nan for n in feature_names(self.sensors, self.windows)}, late=True)
 
     def close(self) -> None:
         pass
 
 
 def keyed_rolling(
-    stream: DataFrame, key: str, order: list[str], sensors=SENSORS, windows=DEFAULT_WINDOWS, idle_ms: int | None = None
+    stream: DataFrame, key: str, order: list[str], sensors=SENSORS, windows=DEFAULT_WINDOWS, idle_ms: int | None = None,
+    parts: int = KEY_PARTS,
 ) -> DataFrame:
     """Stateful features for many small keys. ``order`` names integer columns, the last one unique.
 
-    One key's rows of one micro-batch are sorted in memory, so bound the micro-batch at the source;
-    few hot keys belong to ``RollingSink``. With ``idle_ms`` the state of a key leaves the store when
-    no reading has come for that long; its next reading starts anew. Such a stream has to run at an
-    interval: timed state asks for another batch for ever. Needs the RocksDB state store.
+    Keys are dealt to ``parts`` parts by hash, and a part's rows of one micro-batch are sorted in memory, so bound
+    the micro-batch at the source; few hot keys belong to ``RollingSink``. With ``idle_ms`` the state of a key
+    leaves the store when no reading has come for that long and its part is next read, or all of its part is
+    silent; its next reading starts anew. Such a stream has to run at an interval: timed state asks for another
+    batch for ever. Needs the RocksDB state store.
     """
     # executors need not have this package installed: its classes travel with the query
     cloudpickle.register_pickle_by_value(sys.modules[__package__.split(".")[0]])
@@ -177,8 +207,10 @@ def keyed_rolling(
         + [T.StructField("late", T.BooleanType())]
     )
     narrow = stream.select(*keep, *[F.col(c).cast("double").alias(c) for c in sensors])
-    return narrow.groupBy(key).transformWithStateInPandas(
-        statefulProcessor=RollingProcessor(list(order), list(sensors), tuple(windows), keep, idle_ms),
+    part = F.when(F.col(key).isNull(), -1).otherwise(F.pmod(F.xxhash64(key), F.lit(parts)).cast("int"))
+    dealt = narrow.withColumn("__part", part)
+    return dealt.groupBy("__part").transformWithStateInPandas(
+        statefulProcessor=RollingProcessor(list(order), list(sensors), tuple(windows), keep, idle_ms, [stream.schema[key].dataType]),
         outputStructType=schema,
         outputMode="append",
         timeMode="none" if idle_ms is None else "processingTime",
