@@ -122,3 +122,11 @@ def test_rows_of_a_fit_have_the_classes_shares_wherever_their_splits_begin(spark
     train = splits.stratified_split(classes_apart(spark)).filter("split = 'train'")
     taken = models.bounded(train).toPandas()
     assert len(taken) == 200 and 0.4 < taken.label.mean() < 0.6
+
+
+def test_rows_of_a_fit_are_the_smallest_by_hash_and_id(spark):
+    df = classes_apart(spark)
+    want = splits.reference_sample(df, 300, seed=SEED + 1)
+    got = splits.fit_sample(df, 300)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert splits.fit_sample(df.limit(0), 300).isEmpty() and splits.fit_sample(df, 9000).count() == 4000
