@@ -200,3 +200,26 @@ def test_one_call_serves_many_keys():
     fresh, want = (x.sort_values("id").reset_index(drop=True) for x in (got[~got.late.astype(bool)], want))
     assert fresh[["v", "at", "id"]].equals(want[["v", "at", "id"]])
     assert (fresh[feature_names()] - want[feature_names()]).abs().max().max() < 1e-6
+
+
+def test_scores_are_dealt_to_all_cores_and_made_once(spark, tmp_path):
+    """A few slices come out of the windows, yet scoring has more tasks than cores; no row of requests is scored twice."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def score(df):
+        def run(batches):
+            for b in batches:
+                seen.add(b.num_rows)
+                yield b
+
+        return df.mapInArrow(run, df.schema).withColumns({"score": F.lit(0.5), "task": F.spark_partition_id()})
+
+    sink = RollingSink(str(tmp_path / "rolling"), order=ORDER, score=score)
+    sink(stream_like(spark, 3000), 0)
+    assert sink.read(spark).select("task").distinct().count() > spark.sparkContext.defaultParallelism
+    assert seen.value == sink.read(spark).count()
+    seen.value = 0
+    rows = [(i, body(), "2026-01-01 00:00:00") for i in range(20)]
+    df = spark.createDataFrame(rows, "request_id int, body string, ts string").withColumn("ts", F.col("ts").cast("timestamp"))
+    RequestSink(str(tmp_path / "requests"), score)(df, 0)
+    assert seen.value == 20

@@ -8,7 +8,7 @@ from wearlens.contract import SENSORS, feature_names
 from wearlens.operators import oplog, training
 from wearlens.operators.requests import rejection_errors
 from wearlens.operators.training import materialize
-from wearlens.plans.models import DEFAULT, bounded
+from wearlens.plans.models import bounded_forest
 from wearlens.plans.queries import cleaned, drift_frames, flat_summary
 from wearlens.session import new_folder
 from wearlens.sources import files, tables
@@ -45,9 +45,9 @@ def stream_rolling_features(spark, d):
 
 def stream_reading_scores(spark, d):
     """Every reading of the stream scored from its rolling features: rows and probabilities per type."""
-    rows = cleaned(spark, d)
-    model = training.fit(materialize(bounded(training.feature_table(rows)), "features"), DEFAULT)
-    sink = RollingSink(new_folder(spark, "scored"), score=lambda df: training.score(model, df))
+    rows = materialize(cleaned(spark, d), "cleaned")
+    model = bounded_forest(training.feature_table(rows))
+    sink = RollingSink(new_folder(spark, "scored"), score=model.score)
     in_stages([rows], sink, "readings")
     return sink.read(spark).groupBy("type").agg(
         F.countDistinct("unit_id").alias("rows"), F.count_if(F.col("failure_probability").between(0, 1)).alias("probabilities")
@@ -121,8 +121,8 @@ def stream_rejections(spark, d):
 
 def stream_request_scores(spark, d):
     """The accepted requests, scored: rows, readings used and probabilities per version."""
-    model = training.fit(materialize(bounded(training.feature_table(cleaned(spark, d))), "training"), DEFAULT)
-    sink = RequestSink(new_folder(spark, "score-sink"), lambda df: training.score(model, df))
+    model = bounded_forest(training.feature_table(materialize(cleaned(spark, d), "cleaned")))
+    sink = RequestSink(new_folder(spark, "score-sink"), model.score)
     out = spark.read.parquet(_requests(spark, d, sink).accepted)
     return out.groupBy("model_version").agg(
         F.count(F.lit(1)).alias("rows"), F.sum("readings_used").alias("readings"), F.count_if(F.col("failure_probability").between(0, 1)).alias("probabilities")

@@ -33,12 +33,15 @@ class RequestSink:
         lines = event_lines(refused.select("request_id", "ts", "errors"), "validation_rejected", "WARNING")
         if self.score is not None:
             out = with_actions(self.score(out), self.version)
+            write_batch(out, self.accepted, batch_id)  # scored once: the log lines read what was written
+            out = batch.sparkSession.read.schema(out.schema).parquet(os.path.join(self.accepted, f"batch={batch_id}"))
             told = [
                 "vehicle_id", "readings_used", "failure_probability", "recommended_action", "model_version",
             ]
             raw = F.struct(*SENSORS).alias("features")  # the last reading as it came: what drift compares
             made = out.select("ts", F.col("type").alias("machine_type"), *told, raw)
             lines = lines.unionByName(event_lines(made, "prediction_made"))
-        write_batch(out, self.accepted, batch_id)
+        else:
+            write_batch(out, self.accepted, batch_id)
         lines.write.mode("overwrite").text(os.path.join(self.log, f"batch={batch_id}"))
         checked.unpersist()

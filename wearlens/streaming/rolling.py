@@ -75,7 +75,9 @@ class RollingSink:
         )
         out = out.filter(~F.col("__old")).drop("__old")
         if self.score is not None:
-            out = with_actions(self.score(out), self.version)
+            # few slices hold many rows, and a row's score costs more than its features: deal rows to all cores
+            spread = 4 * batch.sparkSession.sparkContext.defaultParallelism
+            out = with_actions(self.score(out.repartition(spread, *self.order)), self.version)
         write_batch(out, self.features, batch_id)
         self._tail(both).write.mode("overwrite").parquet(os.path.join(self.folder, f"state-{batch_id % 2}"))
         batch.unpersist()
