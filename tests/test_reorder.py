@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from tests.test_rolling import by_id
@@ -9,6 +10,7 @@ from tests.test_streaming import feed, stream_like
 from wearlens.contract import SENSORS, feature_names
 from wearlens.operators.oplog import reconcile
 from wearlens.operators.rolling import rolling_features
+from wearlens.plans import streams
 from wearlens.streaming.reorder import ReorderBuffer, live_reconcile
 from wearlens.streaming.rolling import RollingSink, keyed_rolling
 from wearlens.streaming.run import ROCKSDB, start, write_batch
@@ -71,6 +73,30 @@ def test_an_empty_first_batch_keeps_the_buffer_empty(spark, tmp_path):
     assert spark.read.parquet(out).count() == 10
 
 
+def test_features_keep_the_columns_asked_for(spark, tmp_path):
+    df = timed(spark, 60)
+    sink = RollingSink(str(tmp_path / "out"), order=["ts", "unit_id"], columns=["unit_id"])
+    feed(spark, tmp_path, [df.filter("unit_id < 30"), df.filter("unit_id >= 30")], sink)
+    got, want = by_id(sink.read(spark)), by_id(rolling_features(df, order=["ts", "unit_id"]))
+    assert sorted(got.columns) == sorted(["unit_id", *feature_names()])
+    assert (got == want[got.columns]).all().all()
+
+
+def test_arrivals_of_one_file_are_dealt_to_many_tasks(spark, monkeypatch):
+    class Seen(Exception):
+        pass
+
+    def look(parts, process, purpose):
+        parts = [p.groupBy(F.spark_partition_id().alias("task")).count().collect() for p in parts]
+        raise Seen([[r["count"] for r in p] for p in parts])
+
+    monkeypatch.setattr(streams, "in_stages", look)
+    with pytest.raises(Seen) as seen:
+        streams.stream_reordered_features(spark, "/root/testdata/sf0.1")  # one file, by time
+    for rows in seen.value.args[0]:
+        assert len(rows) > 1 and max(rows) < 2 * sum(rows) / len(rows)
+
+
 def test_live_reconcile_equals_batch_and_forgets(spark, tmp_path):
     df = spark.range(2000).select(F.concat(F.lit("m"), F.col("id")).alias("marker"), F.timestamp_seconds(F.lit(1_767_225_600) + F.col("id") * 5).alias("ts"), "id")
     left, right = df.filter("id % 17 <> 0").drop("id"), df.filter("id % 13 <> 0").withColumn("ts", F.col("ts") + F.expr("INTERVAL 30 seconds")).drop("id")

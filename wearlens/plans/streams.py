@@ -81,11 +81,12 @@ def stream_vehicle_features(spark, d):
 def stream_reordered_features(spark, d):
     """Readings come up to two days late, in three parts: the buffer hands them on in order, so features equal the batch."""
     late = 2 * 86_400
-    rows = cleaned(spark, d).withColumn("arrived", F.unix_seconds("ts") + F.pmod(F.xxhash64("unit_id"), F.lit(late)))
-    rows = materialize(rows, "arrivals")
+    rows = cleaned(spark, d).select("vehicle_id", "unit_id", "ts", *SENSORS)  # what features are made of and known by
+    rows = rows.withColumn("arrived", F.unix_seconds("ts") + F.pmod(F.xxhash64("unit_id"), F.lit(late)))
+    rows = materialize(rows.repartition("unit_id"), "arrivals")  # else a part's span of time sits in a few files
     first, last = rows.agg(F.min("arrived"), F.max("arrived")).first()
     third = ((last or 0) - (first or 0)) // 3 + 1
-    sink = RollingSink(new_folder(spark, "reordered"), ["vehicle_id"], ["ts", "unit_id"])
+    sink = RollingSink(new_folder(spark, "reordered"), ["vehicle_id"], ["ts", "unit_id"], columns=["vehicle_id", "unit_id"])
     buffer = ReorderBuffer(new_folder(spark, "waiting"), sink, late)
     part = F.expr(f"(arrived - {first or 0}) div {third}")
     in_stages([rows.filter(part == i).drop("arrived") for i in range(3)], buffer, "arrivals")

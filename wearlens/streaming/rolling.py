@@ -26,18 +26,21 @@ class RollingSink:
     hot key is sliced over tasks as in batch. Those last rows are the whole state. They alternate
     between two folders by batch number: a batch that runs again reads the folder it did before.
     Rows at or before the last emitted reading of their key go to ``late`` instead. With ``score``
-    every reading is also scored and given its action.
+    every reading is also scored and given its action. Of a reading's own columns the features keep
+    ``columns`` beside them, all by default.
     """
 
     def __init__(
         self, folder: str, keys=STREAM_KEY, order=STREAM_ORDER, sensors=SENSORS, windows=DEFAULT_WINDOWS,
         rows_per_slice: int = ROWS_PER_SLICE, history: DataFrame | None = None, score=None, version: str = "1",
+        columns: list[str] | None = None,
     ):
         self.folder, self.keys, self.order = folder, list(keys), list(order)
         self.sensors, self.windows, self.rows_per_slice = list(sensors), tuple(windows), rows_per_slice
         self.features, self.late = os.path.join(folder, "features"), os.path.join(folder, "late")
         self.history = history  # readings before the stream began, for a seeded start
         self.score, self.version = score, version  # adds ``score`` to a feature frame
+        self.columns = columns
 
     def _tail(self, df: DataFrame) -> DataFrame:
         """The rows the next batch can still reach, at least one per key to know what was emitted."""
@@ -58,15 +61,14 @@ class RollingSink:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         require_columns(batch, [*self.keys, *self.order, *self.sensors])
-        batch.persist()
         state = self._state(batch, batch_id)
         at = F.struct(*self.order)
         emitted = state.groupBy(*[F.col(k).alias(f"__k_{k}") for k in self.keys]).agg(F.max(at).alias("__last"))
         same = [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in self.keys]
-        known = batch.join(emitted, same, "left").drop(*[f"__k_{k}" for k in self.keys])
-        is_late = F.coalesce(at <= F.col("__last"), F.lit(False))
-        write_batch(known.filter(is_late).drop("__last"), self.late, batch_id)
-        fresh = known.filter(~is_late).drop("__last")
+        known = batch.join(emitted, same, "left").withColumn("__late", F.coalesce(at <= F.col("__last"), F.lit(False)))
+        known = known.drop("__last", *[f"__k_{k}" for k in self.keys]).persist()  # read and joined once for all that follows
+        write_batch(known.filter("__late").drop("__late"), self.late, batch_id)
+        fresh = known.filter(~F.col("__late")).drop("__late")
         both = fresh.withColumn("__old", F.lit(False)).unionByName(
             state.withColumn("__old", F.lit(True)), allowMissingColumns=True
         )
@@ -78,9 +80,10 @@ class RollingSink:
             # few slices hold many rows, and a row's score costs more than its features: deal rows to all cores
             spread = 4 * batch.sparkSession.sparkContext.defaultParallelism
             out = with_actions(self.score(out.repartition(spread, *self.order)), self.version)
-        write_batch(out, self.features, batch_id)
+        unwanted = [] if self.columns is None else [c for c in batch.columns if c not in self.columns]
+        write_batch(out.drop(*unwanted), self.features, batch_id)
         self._tail(both).write.mode("overwrite").parquet(os.path.join(self.folder, f"state-{batch_id % 2}"))
-        batch.unpersist()
+        known.unpersist()
 
     def read(self, spark: SparkSession, what: str = "features") -> DataFrame:
         return spark.read.parquet(os.path.join(self.folder, what)).drop("batch")
