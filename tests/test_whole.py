@@ -39,6 +39,12 @@ def test_rf_scores_are_fitted_on_all_training_rows(query, fitted, table):
     assert all(r.rows == r.probabilities == r.tiers for r in rows)
 
 
+def test_cv_pr_auc_is_fitted_on_all_rows_of_the_other_folds(query, fitted):
+    rows = [r for r in query(models.cv_pr_auc) if r.fold >= 0]
+    assert sorted(f[1] for f in fitted) == list(range(5))
+    assert {f: n for _, f, n in fitted} == {r.fold: 450 - r.rows for r in rows}
+
+
 def test_equal_to_a_fit_on_its_own(spark, table):
     """Runs that share trees score as runs alone do."""
     parted = training._folds(table, 2, 1)
