@@ -45,6 +45,17 @@ def test_cv_pr_auc_is_fitted_on_all_rows_of_the_other_folds(query, fitted):
     assert {f: n for _, f, n in fitted} == {r.fold: 450 - r.rows for r in rows}
 
 
+@pytest.mark.parametrize("name", ["calibrated_scores", "isotonic_scores"])
+def test_calibration_takes_all_training_rows(query, fitted, table, monkeypatch, name):
+    held, maps = [], training._sigmoids
+    monkeypatch.setattr(training, "_sigmoids", lambda scored, counts: held.append(scored.count()) or maps(scored, counts))
+    of = training.IsotonicMap.fit.__func__
+    monkeypatch.setattr(training.IsotonicMap, "fit", classmethod(lambda cls, df, *more: held.append(df.count()) or of(cls, df, *more)))
+    assert len(query(getattr(models, name))) == 2
+    train = training.stratified_split(table).filter("split = 'train'").count()
+    assert fitted[0] == (15, forest.ALL, train) and sum(n for _, _, n in fitted[1:]) == 4 * train and sum(held) == train
+
+
 def test_equal_to_a_fit_on_its_own(spark, table):
     """Runs that share trees score as runs alone do."""
     parted = training._folds(table, 2, 1)
