@@ -56,6 +56,24 @@ def test_calibration_takes_all_training_rows(query, fitted, table, monkeypatch,
     assert fitted[0] == (15, forest.ALL, train) and sum(n for _, _, n in fitted[1:]) == 4 * train and sum(held) == train
 
 
+def test_grid_is_fitted_on_all_training_rows_and_shares_equal_trees(spark, fitted, tmp_path):
+    df = spark.createDataFrame(synthetic(60))
+    few = {"trees": 4, "depth": 3, "rolling": False}
+    configs = [
+        training.Config("a", **few), training.Config("b", **few, scaler="minmax"), training.Config("c", **few, calibration="isotonic"),
+        training.Config("d", **{**few, "trees": 6}), training.Config("e", **{**few, "depth": None}, class_weight="balanced_subsample"),
+    ]
+    path = str(tmp_path)
+    rows = training.run_grid(df, configs, folds=2, models_path=path).orderBy("seq").toPandas()
+    assert [f[0] for f in fitted] == [6, 6, 4, 4] and sum(f[2] for f in fitted) == 2 * 107  # both folds of all 107 rows, twice
+    assert rows.val_brier_score[0] == rows.val_brier_score[1] and len(set(rows.val_brier_score)) == 4
+    frame = training.materialize(training.feature_table(df), "features")
+    for seq in (2, 3):
+        model, threshold, _ = training.load_model_at(spark, rows.path[seq])
+        test = model.score(training.stratified_split(frame).filter("split = 'test'")).toPandas()
+        assert ((test.score - test.label) ** 2).mean() == pytest.approx(rows.test_brier_score[seq]) and threshold == rows.threshold[seq]
+
+
 def test_equal_to_a_fit_on_its_own(spark, table):
     """Runs that share trees score as runs alone do."""
     parted = training._folds(table, 2, 1)
