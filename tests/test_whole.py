@@ -103,13 +103,13 @@ def test_trees_of_rows_in_parts_equal_those_of_rows_in_one_task(spark, table, mo
 
 def test_rows_in_parts_learn_all_features(spark, table):
     rows = whole.Rows.of(table, SENSORS)
-    config = training.Config("c", trees=30, depth=6, rolling=False)
+    config = training.Config("c", trees=60, depth=6, rolling=False)
     scores = []
     for held in (1000, 150):
-        model = training.Whole(rows.features, whole.grow_fits(spark, [(rows, config, forest.ALL)], 1, held), "sigmoid", [(0, 30, None)])
+        model = training.Whole(rows.features, whole.grow_fits(spark, [(rows, config, forest.ALL)], 1, held), "sigmoid", [(0, 60, None)])
         scores.append(model.score(table).orderBy("unit_id").toPandas().score)
     other = training.score(training.fit(table, config), table).orderBy("unit_id").toPandas().score
-    assert all(np.corrcoef(s, other)[0, 1] > 0.95 and abs(s - other).mean() < 0.08 for s in scores)
+    assert min(np.corrcoef(s, other)[0, 1] for s in scores) > 0.95 and max(abs(s - other).mean() for s in scores) < 0.08
 
 
 def test_a_cut_is_the_best_of_all():
